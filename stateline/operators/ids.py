@@ -3,16 +3,16 @@
 A window without partitions would sort every row in one task, and a window per leading key (per
 day, say) would do the same for a key that holds a third of the rows. So the order is cut into
 ranges of the *whole* order key. Rows of the ranges before a range give its offset, and a window
-inside the range does the rest. Any cut gives the same numbers; a sample only decides how even the
-ranges are. The cut is a literal in the plan, so a row falls into the same range in every pass and
-in every retried task.
+inside the range does the rest. Any cut gives the same numbers: a sample decides only how even the
+ranges are. The cut points are fixed before the plan runs, so a row falls into the same range in
+every pass and in every retried task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -20,36 +20,59 @@ from stateline.operators.columns import require
 from stateline.operators.sets import tagged_union
 from stateline.session import shuffle_partitions
 
+KEYS_PER_RANGE = 10_000
+MOST_RANGES = 32_768
 SAMPLES_PER_RANGE = 16
-MOST_RANGES = 8192
 COPIES_PER_CHUNK = 100_000
+HASH_SPACE = 2**31
 
 
-def order_range(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> Column:
-    """Number of the range of the order key that a row falls into, ascending with the order.
+def cut_points(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> tuple[int, DataFrame]:
+    """The number of ranges, and one row with the sorted array of order keys between them.
 
-    Runs one job: a scan of the order columns that keeps a sample of bounded size. The cut points
-    go through JSON, which may round them; they are sorted again afterwards and then used as they
-    are, so rounding moves a cut but never a result.
+    Two scans of the order columns: an approximate count of the distinct keys, which sets the
+    number of ranges, then the keys whose hash falls under the share that gives
+    ``SAMPLES_PER_RANGE`` keys per range. Copies of a key hash alike and collapse, so a frequent
+    key does not crowd out the others. Few keys make one range and need no sample.
     """
-    ranges = min(ranges or 4 * shuffle_partitions(df.sparkSession), MOST_RANGES)
-    key = F.struct(*[F.col(name) for name in order])
-    sample = df.select(key.alias("k")).orderBy(F.rand(17)).limit(ranges * SAMPLES_PER_RANGE)
-    sample = sample.agg(F.sort_array(F.collect_list("k")).alias("ks"))
-    stride = F.greatest(F.lit(1), F.ceil(F.size("ks") / F.lit(ranges)))
-    picked = F.array_distinct(F.filter("ks", lambda _, i: (i + 1) % stride == 0))
-    row = sample.select(F.to_json(picked).alias("cuts"), F.size(picked).alias("n")).first()
-    if row.n == 0:
-        return F.lit(0)
-
-    kind = sample.schema["ks"].dataType.simpleString()
-    cuts = F.sort_array(F.from_json(F.lit(row.cuts), kind))
-    steps = F.array(*[F.lit(2**bit) for bit in reversed(range(row.n.bit_length()))])
-
-    def advance(at: Column, step: Column) -> Column:
-        return at + F.when(F.get(cuts, at + step - 1) <= key, step).otherwise(0)
+    spark = df.sparkSession
+    number = F.xxhash64(*order)
+    keys = df.select(*order)
+    distinct = keys.agg(F.approx_count_distinct(number)).first()[0]
+    ranges = min(ranges or -(-distinct // KEYS_PER_RANGE), MOST_RANGES)
+    key = F.struct(*order)
+    if ranges <= 1:
+        kind = df.select(F.array(key).alias("cuts")).schema
+        return 1, spark.createDataFrame([([],)], kind)
+
+    share = HASH_SPACE * ranges * SAMPLES_PER_RANGE // max(distinct, 1)
+    sample = keys.where(F.pmod(number, F.lit(HASH_SPACE)) <= share).distinct()
+    sample = sample.agg(F.sort_array(F.collect_list(key)).alias("keys"))
+    stride = F.ceil((F.size("keys") + 1) / F.lit(ranges))
+    points = sample.select(F.filter("keys", lambda _, i: (i + 1) % stride == 0).alias("cuts"))
+    # A bounded array goes through the driver and back as a local relation, types unchanged.
+    return ranges, spark.createDataFrame(points.toArrow(), points.schema)
+
+
+def with_range(
+    df: DataFrame,
+    order: Sequence[str],
+    name: str,
+    ranges: int | None = None,
+    sample: DataFrame | None = None,
+) -> DataFrame:
+    """Adds the number of the range of the order key a row falls into, ascending with the order.
 
-    return F.aggregate(steps, F.lit(0), advance)
+    A binary search over the cut points, one generated comparison per halving. ``sample`` may name
+    a cheaper frame with the same order keys to take the cut points from.
+    """
+    ranges, cuts = cut_points(df if sample is None else sample, order, ranges)
+    found = df.withColumns({"_cuts": cuts.scalar(), "_key": F.struct(*order), name: F.lit(0)})
+    for bit in reversed(range((ranges - 1).bit_length())):
+        step = 2**bit
+        beyond = F.get("_cuts", F.col(name) + (step - 1)) <= F.col("_key")
+        found = found.withColumn(name, F.col(name) + F.when(beyond, step).otherwise(0))
+    return found.drop("_cuts", "_key")
 
 
 def running_weight(
@@ -59,6 +82,7 @@ def running_weight(
     weight: str | None = None,
     within: Sequence[str] = (),
     ranges: int | None = None,
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``name``: the summed weight (or the number) of the rows before a row.
 
@@ -69,7 +93,7 @@ def running_weight(
     require(df, order)
     if list(order[: len(within)]) != within:
         raise ValueError("the order must start with the columns of `within`")
-    cut = df.withColumn("_range", order_range(df, order, ranges))
+    cut = with_range(df, order, "_range", ranges, sample)
 
     amount = F.lit(1) if weight is None else F.col(weight)
     sizes = cut.groupBy(*within, "_range").agg(F.sum(amount).alias("_n"))
@@ -85,8 +109,8 @@ def running_weight(
     else:
         upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
         before = F.sum(weight).over(upto) - F.col(weight)
-    numbered = cut.join(F.broadcast(offsets), [*within, "_range"])
-    position = (F.col("_offset") + before).cast("bigint")
+    numbered = cut.withColumn("_before", before).join(F.broadcast(offsets), [*within, "_range"])
+    position = (F.col("_offset") + F.col("_before")).cast("bigint")
     return numbered.select(*df.columns, position.alias(name))
 
 
@@ -105,7 +129,7 @@ def dense_ids(
 
     total_order = [*order, *[c for c in df.columns if c not in order]]
     folded = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    numbered = running_weight(folded, total_order, "_first", weight="_copies")
+    numbered = running_weight(folded, total_order, "_first", weight="_copies", sample=df)
 
     few = numbered.where(F.col("_copies") <= COPIES_PER_CHUNK)
     many = numbered.where(F.col("_copies") > COPIES_PER_CHUNK)

@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from stateline.functions.exact import mean
 from stateline.operators.clean import positive
 from stateline.operators.columns import require, unpivot
-from stateline.operators.ids import running_weight
+from stateline.operators.ids import with_range
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -51,43 +52,50 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: rows of (column_name, p, value).
 
-    The built-in ``percentile`` gathers all distinct values of a column in one buffer. Here equal
-    values are counted first, and the values that cover the wanted ranks are found by their
-    running count.
+    The built-in ``percentile`` gathers all distinct values of a column in one buffer. Here the
+    values are cut into ranges and the ranges counted; only the few ranges that cover a wanted rank
+    are shuffled, equal values folded first, and searched.
     """
     require(df, names)
-    cells = {n: {"value": F.col(n).cast("double")} for n in names}
-    values = unpivot(df.select(*names), cells, "column_name").where(F.col("value").isNotNull())
-    counted = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_weight(
-        counted, ["column_name", "value"], "before", weight="n", within=["column_name"]
-    )
-
-    sizes = df.agg(*[F.count(n).alias(n) for n in names])
-    sizes = unpivot(sizes, {n: {"rows": F.col(n)} for n in names}, "column_name")
-    wanted = sizes.where(F.col("rows") > 0).select(
-        "column_name", "rows", F.explode(F.array(*[F.lit(float(p)) for p in at])).alias("p")
+    numbers = {n: i for i, n in enumerate(names)}
+    cells = {i: {"value": F.col(n).cast("double")} for n, i in numbers.items()}
+    values = unpivot(df.select(*names), cells, "column").where(F.col("value").isNotNull())
+    cut = with_range(values, ["column", "value"], "_range")
+
+    counts = cut.groupBy("column", "_range").agg(F.count(F.lit(1)).alias("n"))
+    ahead = W.partitionBy("column").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    sizes = counts.withColumns(
+        {
+            "start": F.coalesce(F.sum("n").over(ahead), F.lit(0)),
+            "rows": F.sum("n").over(W.partitionBy("column")),
+        }
     )
     rank = F.col("p") * (F.col("rows") - 1)
-    wanted = wanted.select(
-        "column_name", "p", F.floor(rank).alias("low"), F.ceil(rank).alias("high"),
-        (rank - F.floor(rank)).alias("part"),
-    )
-
-    # One row per column and quantile, so this side is as small as the request.
-    hits = ranked.join(F.broadcast(wanted), "column_name").where(
-        (F.col("before") <= F.col("high")) & (F.col("before") + F.col("n") > F.col("low"))
-    )
+    wanted = sizes.select("*", F.explode(F.array(*[F.lit(float(p)) for p in at])).alias("p"))
+    wanted = wanted.withColumns({"low": F.floor(rank), "high": F.ceil(rank), "part": rank - F.floor(rank)})
+    wanted = wanted.where(
+        (F.col("start") <= F.col("high")) & (F.col("start") + F.col("n") > F.col("low"))
+    ).select("column", "_range", "p", "start", "low", "high", "part")
+
+    # At most two ranges per column and quantile, so this side is as small as the request.
+    needed = wanted.select("column", "_range").distinct()
+    kept = cut.join(F.broadcast(needed), ["column", "_range"], "left_semi")
+    folded = kept.groupBy("column", "_range", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = W.partitionBy("column", "_range").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    ranked = folded.withColumn("end", F.sum("n").over(upto))
+    hits = ranked.join(F.broadcast(wanted), ["column", "_range"])
 
     def at_rank(name: str) -> Column:
-        covers = (F.col("before") <= F.col(name)) & (F.col("before") + F.col("n") > F.col(name))
+        end = F.col("start") + F.col("end")
+        covers = (end - F.col("n") <= F.col(name)) & (end > F.col(name))
         return F.max(F.when(covers, F.col("value")))
 
-    ends = hits.groupBy("column_name", "p", "part").agg(
+    ends = hits.groupBy("column", "p", "part").agg(
         at_rank("low").alias("_low"), at_rank("high").alias("_high")
     )
     value = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("part")
-    return ends.select("column_name", "p", value.alias("value"))
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("column") + 1)
+    return ends.select(name.alias("column_name"), "p", value.alias("value"))
 
 
 def numeric_profile(
