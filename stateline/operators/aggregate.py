@@ -134,9 +134,11 @@ def ratio_of_means(
 
 
 def with_group_total(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = None
+    df: DataFrame, keys: Sequence[str], totals: Mapping[str, str], scale: int | None = None
 ) -> DataFrame:
-    """Every row with the total of its group (rows with a null key: null).
+    """Every row with totals of its group (rows with a null key: null).
+
+    ``totals`` maps a result name to the column it sums.
 
     A window would put a whole group into one task. Instead the totals are grouped first, with
     map-side partial sums, and brought back in two ways. A key is hot when it holds more than the
@@ -144,20 +146,20 @@ def with_group_total(
     partitions, so their totals can be broadcast and their rows are never shuffled. The rows of
     all other keys are joined by key.
     """
-    keys = list(keys)
+    keys, names = list(keys), list(totals)
     parts = shuffle_partitions(df.sparkSession)
     rows = df.where(known(keys))
-    totals = rows.groupBy(*keys).agg(
-        total(or_zero(F.col(value)), scale).alias(name), F.count(F.lit(1)).alias("_rows")
+    grouped = rows.groupBy(*keys).agg(
+        *[total(or_zero(F.col(value)), scale).alias(name) for name, value in totals.items()],
+        F.count(F.lit(1)).alias("_rows"),
     )
     is_hot = F.col("_rows") * F.lit(parts) > rows.agg(F.count(F.lit(1))).scalar()
-    hot = totals.where(is_hot)
-    cold = totals.where(~is_hot).select(*keys, F.col(name).alias("_total"), F.col("_rows").alias("_n"))
+    hot, cold = grouped.where(is_hot), grouped.where(~is_hot)
 
     marked = df.join(F.broadcast(hot), keys, "left")
     settled = F.col("_rows").isNotNull() | ~known(keys)
-    direct = marked.where(settled).select(*df.columns, name)
-    joined = marked.where(~settled).join(cold, keys)
-    return direct.unionByName(
-        joined.select(*df.columns, F.coalesce(F.col(name), F.col("_total")).alias(name))
-    )
+    direct = marked.where(settled).select(*df.columns, *names)
+    open_rows = marked.where(~settled)
+    cold = cold.select(*keys, *[F.col(n).alias(f"_{n}") for n in names], F.col("_rows").alias("_n"))
+    found = [F.coalesce(F.col(n), F.col(f"_{n}")).alias(n) for n in names]
+    return direct.unionByName(open_rows.join(cold, keys).select(*df.columns, *found))

@@ -85,7 +85,9 @@ def share_sums(spark, folder):
 )
 def row_share(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    rows = aggregate.with_group_total(orders, ["o_custkey"], "o_totalprice", "customer_total", scale=2)
+    rows = aggregate.with_group_total(
+        orders, ["o_custkey"], {"customer_total": "o_totalprice"}, scale=2
+    )
     share = ratio(F.col("o_totalprice"), F.col("customer_total"))
     return rows.select("o_orderkey", "o_custkey", share.alias("share"))
 
@@ -93,7 +95,7 @@ def row_share(spark, folder):
 @query(
     f"""
     select l_returnflag, l_linestatus,
-           count(*) over (partition by l_returnflag, l_linestatus) as n_rows_seen,
+           cast(count(*) over (partition by l_returnflag, l_linestatus) as double) as flag_rows,
            {sql_units('l_extendedprice')} as cents, l_orderkey, l_linenumber, l_partkey, l_suppkey,
            cast(sum({sql_units('l_quantity')}) over (partition by l_returnflag, l_linestatus) as double)
            / cast(100 as double) as flag_quantity
@@ -108,9 +110,8 @@ def row_total_of_large_groups(spark, folder):
         F.floor(F.col("l_extendedprice") * 100.0 + 0.5).cast("bigint").alias("cents"),
     )
     keys = ["l_returnflag", "l_linestatus"]
-    rows = aggregate.with_group_total(lines, keys, "l_quantity", "flag_quantity", scale=2)
-    rows = aggregate.with_group_total(rows, keys, "one", "n_rows_seen")
-    return rows.drop("l_quantity", "one")
+    totals = {"flag_quantity": "l_quantity", "flag_rows": "one"}
+    return aggregate.with_group_total(lines, keys, totals, scale=2).drop("l_quantity", "one")
 
 
 def _seasonal_sql(key: str, value: str, day: str, source: str, overall: str) -> str:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stateline.functions.codes import STATES
+from stateline.functions.exact import total
 from stateline.plans import reports
 from stateline.plans.cases import build_covid, clean_daily_cases, county_profile
 from stateline.plans.demographics import state_shares
@@ -448,28 +449,41 @@ def model_quality(spark, folder):
     )
 
 
+def reported_cases(spark, folder, settled_only):
+    """Daily counts by state as one report states them; the early report lacks pending orders."""
+    cases = daily_cases(spark, folder)
+    if settled_only:
+        cases = cases.where(F.col("hospitalizedCurrently").isNotNull())
+    return cases.groupBy("date", "state").agg(
+        total(F.col("positive"), 2).alias("positive"),
+        total(F.col("hospitalizedCurrently"), 2).alias("hospitalizedCurrently"),
+        F.max("hospitalizedCumulative").alias("hospitalizedCumulative"),
+        F.sum("death").alias("death"),
+    )
+
+
 @query(
     f"""
-    with rows as (
-        select *, row_number() over (partition by id_state, day_date order by positive desc,
-               hospitalized_curr desc, hospitalized_acum desc, death desc) as rn
-        from ({TIDY_CASES_SQL})
+    select {NUMBERED}, *, cast({sql_case("name_state", STATE_IDS)} as bigint) as id_state
+    from (
+        select day_date, name_state, {sql_total('positive')} as positive,
+               coalesce({sql_total('current')}, 0) as hospitalized_curr,
+               max(hospitalized_acum) as hospitalized_acum, sum(death) as death
+        from (select *, nullif(hospitalized_curr, 0) as current from ({TIDY_CASES_SQL}))
+        group by day_date, name_state
     )
-    select {NUMBERED}, * exclude (rn) from rows where rn = 1
     """
 )
 def incremental_equals_batch(spark, folder):
-    """Orders landed as files and ingested in two runs, the second of which brings new files.
+    """Daily reports landed and ingested in two runs; the second one corrects the first.
 
-    The versions of all files but the last column order are equal here, so the greatest row per
-    state and day is the current one.
+    Orders still pending come in with the second report only, so most of its rows replace a row
+    of the first. The result must be what the second report alone says.
     """
     landing = scratch_path(spark, "landing")
     log, checkpoint = scratch_path(spark, "log"), scratch_path(spark, "progress")
-    cases = daily_cases(spark, folder).withColumn("month", F.floor(F.col("date") / 100) % 100)
-    for half in (F.col("month") <= 6, F.col("month") > 6):
-        # A state and day comes in one file only: all its rows are in the same partition.
-        files = cases.where(half).drop("month").repartition("date", "state")
-        files.write.mode("append").option("header", True).csv(landing)
+    for settled_only in (True, False):
+        report = reported_cases(spark, folder, settled_only)
+        report.write.mode("append").option("header", True).csv(landing)
         incremental.ingest_daily_cases(spark, landing, log, checkpoint)
     return incremental.current_cases(spark, log)
