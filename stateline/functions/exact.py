@@ -25,3 +25,10 @@ def mean(value: Column, scale: int | None = None) -> Column:
     if scale is None:
         return F.avg(value)
     return F.try_divide(total(value, scale), F.count(value).cast("double"))
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over the pairs; null, not an error, where one side is constant."""
+    paired_x, paired_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    spread = F.sqrt(F.var_pop(paired_x) * F.var_pop(paired_y))
+    return F.try_divide(F.covar_pop(x, y), spread)

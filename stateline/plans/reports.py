@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from stateline.functions.exact import total
+from stateline.functions.exact import correlation, total
 from stateline.functions.scalars import SEASONS, ratio, season
 from stateline.operators.columns import unpivot
 from stateline.plans.model import SHARES
@@ -117,7 +117,7 @@ def growth_by_season(growth: DataFrame, state: DataFrame) -> DataFrame:
         F.count("new_positive").alias("n_days"),
         F.avg("new_positive").alias("mean_new_positive"),
         F.avg(F.when(F.col("new_positive").isNotNull(), F.col("temperature"))).alias("mean_temp"),
-        F.corr("temperature", "new_positive").alias("correlation"),
+        correlation(F.col("temperature"), F.col("new_positive")).alias("correlation"),
     )
 
 
@@ -149,8 +149,8 @@ def rate_by_share(rates: DataFrame) -> DataFrame:
     rows = unpivot(rates, {s: {"share": F.col(s)} for s in SHARES}, "race", ["positive_rate", "death_rate"])
     return rows.groupBy("race").agg(
         F.count("share").alias("n_states"),
-        F.corr("share", "positive_rate").alias("positive_correlation"),
-        F.corr("share", "death_rate").alias("death_correlation"),
+        correlation(F.col("share"), F.col("positive_rate")).alias("positive_correlation"),
+        correlation(F.col("share"), F.col("death_rate")).alias("death_correlation"),
     )
 
 

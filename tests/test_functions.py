@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stateline.functions import lookup
 from stateline.functions.codes import CODE_TO_NAME, NAME_TO_ID, STATES
-from stateline.functions.exact import mean, total
+from stateline.functions.exact import correlation, mean, total
 from stateline.functions.scalars import (
     blank_to_null,
     cut,
@@ -95,3 +95,11 @@ def test_exact_measures_do_not_depend_on_layout(spark):
 def test_exact_mean_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert tuple(df.agg(mean(F.col("x"), 2), mean(F.col("x"))).first()) == (None, None)
+
+
+def test_correlation(spark):
+    data = [("a", 1.0, 2.0), ("a", 2.0, 4.0), ("a", 5.0, None), ("b", 1.0, 3.0), ("b", 1.0, 5.0), ("c", None, 1.0)]
+    df = spark.createDataFrame(data, "k string, x double, y double")
+    found = dict(tuple(r) for r in df.groupBy("k").agg(correlation(F.col("x"), F.col("y"))).collect())
+    assert found["a"] == pytest.approx(1.0)
+    assert found["b"] is None and found["c"] is None
