@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 
 def units(value: Column, scale: int) -> Column:
+    """Whole units of 10^-scale, exact for magnitudes up to about 10^(15 - scale)."""
     return F.floor(value * F.lit(float(10**scale)) + F.lit(0.5)).cast("bigint")
 
 

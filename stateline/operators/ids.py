@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 
 from stateline.operators.columns import require
 from stateline.operators.sets import tagged_union
-from stateline.session import shuffle_partitions
+from stateline.session import shuffle_partitions, written
 
 KEYS_PER_RANGE = 10_000
 MOST_RANGES = 32_768
@@ -119,17 +119,19 @@ def dense_ids(
 ) -> DataFrame:
     """Ids ``start``, ``start`` + 1, … in the given order, as the leading column.
 
-    Without ``copies`` the order must be total. With ``copies`` the remaining columns break ties,
-    so only exact copies are interchangeable; copies are folded into one counted row before they
-    are shuffled and unfolded in chunks, so a row with very many copies is spread over tasks.
+    Without ``copies`` the order must be total, and ``df`` is computed four times: meant for a
+    scan. With ``copies`` the remaining columns break ties, so only exact copies are
+    interchangeable. Copies are folded into one counted row before they are shuffled, and unfolded
+    in chunks, so a row with very many copies is spread over tasks. The folded rows are written
+    once and numbered from there, so whatever makes ``df`` runs once.
     """
     if not copies:
         numbered = running_weight(df, order, name)
         return numbered.select((F.col(name) + start).alias(name), *df.columns)
 
     total_order = [*order, *[c for c in df.columns if c not in order]]
-    folded = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    numbered = running_weight(folded, total_order, "_first", weight="_copies", sample=df)
+    folded = written(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")), "folded")
+    numbered = running_weight(folded, total_order, "_first", weight="_copies")
 
     few = numbered.where(F.col("_copies") <= COPIES_PER_CHUNK)
     many = numbered.where(F.col("_copies") > COPIES_PER_CHUNK)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +13,10 @@ from pyspark.sql import Window as W
 from stateline.functions.exact import mean
 from stateline.operators.clean import positive
 from stateline.operators.columns import require, unpivot
-from stateline.operators.ids import with_range
 
 QUARTILES = (0.25, 0.5, 0.75)
+KEPT_VALUES = 50_000
+SKETCH_ACCURACY = 10_000
 
 
 def mean_where_positive(df: DataFrame, names: Sequence[str], scale: int | None = None) -> DataFrame:
@@ -47,55 +50,108 @@ def column_profile(df: DataFrame) -> DataFrame:
     return unpivot(counts, rows, "column_name")
 
 
+@dataclass(frozen=True)
+class Bracket:
+    """Values from ``lo`` to ``hi`` of a column, known to hold the wanted ranks of a quantile."""
+
+    column: str
+    p: float
+    rows: int
+    lo: float = -math.inf
+    hi: float = math.nan
+    below: int = 0
+    inside: int = 0
+
+    @property
+    def rank(self) -> float:
+        return self.p * (self.rows - 1)
+
+    @property
+    def holds(self) -> bool:
+        return self.below <= math.floor(self.rank) and math.ceil(self.rank) < self.below + self.inside
+
+    @property
+    def is_large(self) -> bool:
+        return self.inside > KEPT_VALUES and self.lo != self.hi
+
+    def value(self) -> Column:
+        return F.col(self.column).cast("double")
+
+    def covers(self) -> Column:
+        return (self.value() >= F.lit(self.lo)) & (self.value() <= F.lit(self.hi))
+
+
+def _narrow(df: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
+    """Two scans: a quantile sketch inside each bracket, then exact counts around the new ends.
+
+    A new bracket counts only if it holds the wanted ranks, so the sketch never decides a result.
+    """
+    slack = 2 / SKETCH_ACCURACY
+    sketches = []
+    for b in brackets:
+        share = (b.rank - b.below) / b.inside
+        ends = F.array(F.lit(max(share - slack, 0.0)), F.lit(min(share + slack, 1.0)))
+        sketches.append(F.percentile_approx(F.when(b.covers(), b.value()), ends, SKETCH_ACCURACY))
+    found = df.agg(*[c.alias(f"s{i}") for i, c in enumerate(sketches)]).first()
+    tried = [replace(b, lo=ends[0], hi=ends[1]) for b, ends in zip(brackets, found, strict=True)]
+
+    counts = []
+    for b in tried:
+        counts += [F.count_if(b.value() < F.lit(b.lo)), F.count_if(b.covers())]
+    found = df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first()
+    tried = [replace(b, below=found[2 * i], inside=found[2 * i + 1]) for i, b in enumerate(tried)]
+    return [new if new.holds else old for old, new in zip(brackets, tried, strict=True)]
+
+
 def exact_quantiles(
     df: DataFrame, names: Sequence[str], at: Sequence[float] = QUARTILES
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: rows of (column_name, p, value).
 
-    The built-in ``percentile`` gathers all distinct values of a column in one buffer. Here the
-    values are cut into ranges and the ranges counted; only the few ranges that cover a wanted rank
-    are shuffled, equal values folded first, and searched.
+    The built-in ``percentile`` gathers all distinct values of a column in one buffer. Here each
+    quantile is enclosed by two values, narrowed with bounded sketches until few rows lie between
+    them (a factor of some thousand per round), and only those rows are shuffled, equal values
+    folded first, and ranked.
     """
     require(df, names)
-    numbers = {n: i for i, n in enumerate(names)}
-    cells = {i: {"value": F.col(n).cast("double")} for n, i in numbers.items()}
-    values = unpivot(df.select(*names), cells, "column").where(F.col("value").isNotNull())
-    cut = with_range(values, ["column", "value"], "_range")
-
-    counts = cut.groupBy("column", "_range").agg(F.count(F.lit(1)).alias("n"))
-    ahead = W.partitionBy("column").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    sizes = counts.withColumns(
-        {
-            "start": F.coalesce(F.sum("n").over(ahead), F.lit(0)),
-            "rows": F.sum("n").over(W.partitionBy("column")),
-        }
-    )
-    rank = F.col("p") * (F.col("rows") - 1)
-    wanted = sizes.select("*", F.explode(F.array(*[F.lit(float(p)) for p in at])).alias("p"))
-    wanted = wanted.withColumns({"low": F.floor(rank), "high": F.ceil(rank), "part": rank - F.floor(rank)})
-    wanted = wanted.where(
-        (F.col("start") <= F.col("high")) & (F.col("start") + F.col("n") > F.col("low"))
-    ).select("column", "_range", "p", "start", "low", "high", "part")
-
-    # At most two ranges per column and quantile, so this side is as small as the request.
-    needed = wanted.select("column", "_range").distinct()
-    kept = cut.join(F.broadcast(needed), ["column", "_range"], "left_semi")
-    folded = kept.groupBy("column", "_range", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = W.partitionBy("column", "_range").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    spark = df.sparkSession
+    sizes = df.agg(*[F.count(n).alias(n) for n in names]).first().asDict()
+    brackets = [Bracket(n, float(p), sizes[n], inside=sizes[n]) for n in names if sizes[n] for p in at]
+    while large := [b for b in brackets if b.is_large]:
+        narrowed = dict(zip(large, _narrow(df, large), strict=True))
+        brackets = [narrowed.get(b, b) for b in brackets]
+        if not any(2 * narrowed[b].inside <= b.inside for b in large):
+            break
+    if not brackets:
+        return spark.createDataFrame([], "column_name string, p double, value double")
+
+    # Quantiles enclosed by the same values share their rows.
+    spans = list({(b.column, b.lo, b.hi): b for b in brackets}.values())
+    kept = [
+        F.when(b.covers(), F.struct(F.lit(i).alias("span"), b.value().alias("value")))
+        for i, b in enumerate(spans)
+    ]
+    values = df.select(F.inline(F.array_compact(F.array(*kept))))
+    folded = values.groupBy("span", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = W.partitionBy("span").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = folded.withColumn("end", F.sum("n").over(upto))
-    hits = ranked.join(F.broadcast(wanted), ["column", "_range"])
 
-    def at_rank(name: str) -> Column:
-        end = F.col("start") + F.col("end")
-        covers = (end - F.col("n") <= F.col(name)) & (end > F.col(name))
-        return F.max(F.when(covers, F.col("value")))
+    def at_rank(b: Bracket, rank: int) -> Column:
+        span = next(i for i, s in enumerate(spans) if (s.column, s.lo, s.hi) == (b.column, b.lo, b.hi))
+        place = F.lit(rank - b.below)
+        covers = (F.col("end") - F.col("n") <= place) & (F.col("end") > place)
+        return F.max(F.when((F.col("span") == span) & covers, F.col("value")))
 
-    ends = hits.groupBy("column", "p", "part").agg(
-        at_rank("low").alias("_low"), at_rank("high").alias("_high")
+    ends = ranked.agg(
+        *[at_rank(b, math.floor(b.rank)).alias(f"low{i}") for i, b in enumerate(brackets)],
+        *[at_rank(b, math.ceil(b.rank)).alias(f"high{i}") for i, b in enumerate(brackets)],
     )
-    value = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("part")
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("column") + 1)
-    return ends.select(name.alias("column_name"), "p", value.alias("value"))
+    cells = {}
+    for i, b in enumerate(brackets):
+        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+        value = low + (high - low) * F.lit(b.rank - math.floor(b.rank))
+        cells[i] = {"column_name": F.lit(b.column), "p": F.lit(b.p), "value": value}
+    return unpivot(ends, cells, "_label").drop("_label")
 
 
 def numeric_profile(

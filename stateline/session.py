@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -40,3 +40,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="stateline-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the scratch folder: what made it runs once, whatever reads it later.
+
+    Lost executors cost a re-read. The folder lives as long as the checkpoint folder does.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -228,11 +228,10 @@ def test_numeric_profile_of_an_empty_column(spark, rows):
     assert rows(profile.numeric_profile(df, ["x"])) == [("x", 0, None, None, None, None, None, None, None)]
 
 
-@pytest.mark.parametrize("keys_per_range", [10_000, 20])
-def test_exact_quantiles_with_a_hot_value(spark, monkeypatch, keys_per_range):
-    from stateline.operators import ids
-
-    monkeypatch.setattr(ids, "KEYS_PER_RANGE", keys_per_range)
+@pytest.mark.parametrize("kept, accuracy", [(50_000, 10_000), (30, 50), (1, 10)])
+def test_exact_quantiles_with_a_hot_value(spark, monkeypatch, kept, accuracy):
+    monkeypatch.setattr(profile, "KEPT_VALUES", kept)
+    monkeypatch.setattr(profile, "SKETCH_ACCURACY", accuracy)
     values = [7.25 if i % 3 == 0 else (i * 7919 % 1009) / 4 for i in range(2000)]
     df = spark.createDataFrame([(v, -v) for v in values], "x double, y double").repartition(5)
     at = [0.0, 0.1, 0.25, 0.333, 0.5, 0.75, 0.99, 1.0]
