@@ -14,9 +14,13 @@ from stateline.functions.exact import mean
 from stateline.operators.clean import positive
 from stateline.operators.columns import require, unpivot
 
+# The greatest double in Spark's order; one object, so that it equals itself in a tuple.
+LARGEST = math.nan
 QUARTILES = (0.25, 0.5, 0.75)
 KEPT_VALUES = 50_000
 SKETCH_ACCURACY = 10_000
+SKETCHED_VALUES = 200_000
+LEAST_DRAWN = 0.001
 
 
 def mean_where_positive(df: DataFrame, names: Sequence[str], scale: int | None = None) -> DataFrame:
@@ -58,10 +62,14 @@ class Bracket:
     p: float
     rows: int
     lo: float = -math.inf
-    hi: float = math.nan
+    hi: float = LARGEST
     below: int = 0
     inside: int = 0
 
+    @property
+    def span(self) -> tuple[str, float, float]:
+        return self.column, self.lo, self.hi
+
     @property
     def rank(self) -> float:
         return self.p * (self.rows - 1)
@@ -81,26 +89,44 @@ class Bracket:
         return (self.value() >= F.lit(self.lo)) & (self.value() <= F.lit(self.hi))
 
 
-def _narrow(df: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
-    """Two scans: a quantile sketch inside each bracket, then exact counts around the new ends.
+def _by_span(brackets: list[Bracket]) -> dict[tuple, list[Bracket]]:
+    """Brackets of the same values of the same column."""
+    spans: dict[tuple, list[Bracket]] = {}
+    for b in brackets:
+        spans.setdefault(b.span, []).append(b)
+    return spans
+
+
+def _narrow(df: DataFrame, brackets: list[Bracket]) -> dict[Bracket, Bracket]:
+    """Two scans: sketches of a sample inside the brackets, then exact counts around the new ends.
 
-    A new bracket counts only if it holds the wanted ranks, so the sketch never decides a result.
+    A new bracket counts only if it holds the wanted ranks, so neither the sample nor the sketch
+    decides a result.
     """
-    slack = 2 / SKETCH_ACCURACY
-    sketches = []
-    for b in brackets:
-        share = (b.rank - b.below) / b.inside
-        ends = F.array(F.lit(max(share - slack, 0.0)), F.lit(min(share + slack, 1.0)))
-        sketches.append(F.percentile_approx(F.when(b.covers(), b.value()), ends, SKETCH_ACCURACY))
-    found = df.agg(*[c.alias(f"s{i}") for i, c in enumerate(sketches)]).first()
-    tried = [replace(b, lo=ends[0], hi=ends[1]) for b, ends in zip(brackets, found, strict=True)]
+    sketches, ends = {}, {}
+    for span, members in _by_span(brackets).items():
+        size = members[0].inside
+        drawn = min(1.0, max(SKETCHED_VALUES / size, LEAST_DRAWN))
+        slack = 2 / SKETCH_ACCURACY + 3 / math.sqrt(size * drawn)
+        shares = [(b.rank - b.below) / size for b in members]
+        ends[span] = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-slack, slack)]
+        value = F.when(members[0].covers() & (F.col("_draw") < drawn), members[0].value())
+        sketches[span] = F.percentile_approx(value, F.array(*map(F.lit, ends[span])), SKETCH_ACCURACY)
+    drawn_rows = df.withColumn("_draw", F.rand(17))
+    found = drawn_rows.agg(*[c.alias(f"s{i}") for i, c in enumerate(sketches.values())]).first()
+    tried = []
+    for members, values in zip(_by_span(brackets).values(), found, strict=True):
+        # An empty draw leaves a bracket as it is.
+        values = values or [end for b in members for end in (b.lo, b.hi)]
+        tried += [replace(b, lo=values[2 * i], hi=values[2 * i + 1]) for i, b in enumerate(members)]
+    brackets = [b for members in _by_span(brackets).values() for b in members]
 
     counts = []
     for b in tried:
         counts += [F.count_if(b.value() < F.lit(b.lo)), F.count_if(b.covers())]
     found = df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first()
     tried = [replace(b, below=found[2 * i], inside=found[2 * i + 1]) for i, b in enumerate(tried)]
-    return [new if new.holds else old for old, new in zip(brackets, tried, strict=True)]
+    return {old: new if new.holds else old for old, new in zip(brackets, tried, strict=True)}
 
 
 def exact_quantiles(
@@ -110,15 +136,15 @@ def exact_quantiles(
 
     The built-in ``percentile`` gathers all distinct values of a column in one buffer. Here each
     quantile is enclosed by two values, narrowed with bounded sketches until few rows lie between
-    them (a factor of some thousand per round), and only those rows are shuffled, equal values
-    folded first, and ranked.
+    them, by a factor of a hundred to some thousand per round. Only those rows are shuffled, equal
+    values folded first, and ranked.
     """
     require(df, names)
     spark = df.sparkSession
     sizes = df.agg(*[F.count(n).alias(n) for n in names]).first().asDict()
     brackets = [Bracket(n, float(p), sizes[n], inside=sizes[n]) for n in names if sizes[n] for p in at]
     while large := [b for b in brackets if b.is_large]:
-        narrowed = dict(zip(large, _narrow(df, large), strict=True))
+        narrowed = _narrow(df, large)
         brackets = [narrowed.get(b, b) for b in brackets]
         if not any(2 * narrowed[b].inside <= b.inside for b in large):
             break
@@ -126,7 +152,7 @@ def exact_quantiles(
         return spark.createDataFrame([], "column_name string, p double, value double")
 
     # Quantiles enclosed by the same values share their rows.
-    spans = list({(b.column, b.lo, b.hi): b for b in brackets}.values())
+    spans = [members[0] for members in _by_span(brackets).values()]
     kept = [
         F.when(b.covers(), F.struct(F.lit(i).alias("span"), b.value().alias("value")))
         for i, b in enumerate(spans)
@@ -137,7 +163,7 @@ def exact_quantiles(
     ranked = folded.withColumn("end", F.sum("n").over(upto))
 
     def at_rank(b: Bracket, rank: int) -> Column:
-        span = next(i for i, s in enumerate(spans) if (s.column, s.lo, s.hi) == (b.column, b.lo, b.hi))
+        span = next(i for i, s in enumerate(spans) if s.span == b.span)
         place = F.lit(rank - b.below)
         covers = (F.col("end") - F.col("n") <= place) & (F.col("end") > place)
         return F.max(F.when((F.col("span") == span) & covers, F.col("value")))
