@@ -120,7 +120,7 @@ KNOWN = {k: v for k, v in STATUS.items() if k != "P"}
 
 @query(
     f"""
-    select status, count(*) as n, count_if(o_orderstatus not in ('F', 'O')) as defaulted
+    select status, count(*) as n, count(*) filter (where o_orderstatus not in ('F', 'O')) as defaulted
     from (select o_orderstatus, {sql_case('o_orderstatus', KNOWN, "'other'")} as status from orders)
     group by status
     """

@@ -62,7 +62,7 @@ def segment_share_rows(spark, folder):
 
 
 @query(
-    f"select count_if(abs({' + '.join(f'coalesce({n}, 0)' for n in SHARE_NAMES.values())} - 1) > 1e-9)"
+    f"select count(*) filter (where abs({' + '.join(f'coalesce({n}, 0)' for n in SHARE_NAMES.values())} - 1) > 1e-9)"
     f" as off, count(*) as nations from ({SHARES_SQL})"
 )
 def share_sums(spark, folder):
@@ -173,7 +173,7 @@ def seasonal_means_by_city_key(spark, folder):
 @query(
     "select c_nationkey, "
     + ", ".join(
-        f"count_if(c_mktsegment = '{s}') as {name}" for s, name in COUNT_NAMES.items()
+        f"count(*) filter (where c_mktsegment = '{s}') as {name}" for s, name in COUNT_NAMES.items()
     )
     + " from customer group by c_nationkey"
 )
@@ -266,7 +266,7 @@ def group_profile(spark, folder):
 
 @query(
     "select id_state, "
-    + ", ".join(f"count_if(availability = '{s}') as {name}" for s, name in COUNT_NAMES.items())
+    + ", ".join(f"count(*) filter (where availability = '{s}') as {name}" for s, name in COUNT_NAMES.items())
     + f" from ({INSTITUTIONS_SQL}) group by id_state"
 )
 def group_profile_by_type(spark, folder):

@@ -31,7 +31,7 @@ from stateline.queries.registry import (
     sql_units,
     table,
 )
-from stateline.session import scratch_path
+from stateline.session import scratch_path, written
 from stateline.streaming import incremental
 
 RACE_NAMES = dict(zip(SEGMENTS, SHARES, strict=True))
@@ -337,8 +337,8 @@ def growth_by_type(spark, folder):
 @query(
     f"""
     select id_state, count(*) as n_institutions,
-           cast(count_if(availability = 'BUILDING') as double) / count(*) as building,
-           cast(count_if(availability = 'MACHINERY') as double) / count(*) as machinery,
+           cast(count(*) filter (where availability = 'BUILDING') as double) / count(*) as building,
+           cast(count(*) filter (where availability = 'MACHINERY') as double) / count(*) as machinery,
            round(any_value(mean_growth), 8) as mean_growth
     from ({INSTITUTIONS_SQL}) join ({STATE_GROWTH_SQL}) using (id_state) group by id_state
     """
@@ -427,10 +427,10 @@ def rate_by_population(spark, folder):
     f"""
     with state as ({STATE_SQL}), education as ({INSTITUTIONS_SQL}), covid as ({CASES_SQL})
     select 'education' as table_name, 'not_null' as rule, 'id_institution' as column_name,
-           count_if(id_institution is null) as failures from education
-    union all select 'education', 'non_negative', 'n_students', count_if(n_students < 0) from education
-    union all select 'state', 'not_null', 'id_state', count_if(id_state is null) from state
-    union all select 'covid', 'not_null', 'id_covid_data', count_if(id_covid_data is null) from covid
+           count(*) filter (where id_institution is null) as failures from education
+    union all select 'education', 'non_negative', 'n_students', count(*) filter (where n_students < 0) from education
+    union all select 'state', 'not_null', 'id_state', count(*) filter (where id_state is null) from state
+    union all select 'covid', 'not_null', 'id_covid_data', count(*) filter (where id_covid_data is null) from covid
     union all select 'education', 'primary_key', 'id_institution',
                      count(*) - count(distinct id_institution) from education
     union all select 'state', 'primary_key', 'id_state', count(*) - count(distinct id_state) from state
@@ -439,14 +439,15 @@ def rate_by_population(spark, folder):
                      where id_state not in (select id_state from state)
     union all select 'covid', 'foreign_key', 'id_state', count(*) from covid
                      where id_state not in (select id_state from state)
-    union all select 'state', 'shares_sum_to_1', '', count_if(abs(
+    union all select 'state', 'shares_sum_to_1', '', count(*) filter (where abs(
                      american_native + asian + african_american + hispanic + white - 1) > 1e-9) from state
     """
 )
 def model_quality(spark, folder):
-    return model_checks(
-        state_table(spark, folder), institutions(spark, folder), case_table(spark, folder)
-    )
+    """State and cases are written first, as in a full run: each rule scans them again."""
+    state = written(state_table(spark, folder), "state")
+    cases = written(case_table(spark, folder), "cases")
+    return model_checks(state, institutions(spark, folder), cases)
 
 
 def reported_cases(spark, folder, settled_only):

@@ -105,8 +105,8 @@ def mean_of_positive(spark, folder):
 
 @query(
     """
-    select count_if(c_acctbal < 0) as negative, count_if(c_acctbal > 9000) as large,
-           count_if(c_name is null) as nameless
+    select count(*) filter (where c_acctbal < 0) as negative, count(*) filter (where c_acctbal > 9000) as large,
+           count(*) filter (where c_name is null) as nameless
     from customer
     """
 )
@@ -124,9 +124,9 @@ def conditional_counts(spark, folder):
 @query(
     """
     select 'orders' as table_name, 'not_null' as rule, 'o_orderkey' as column_name,
-           count_if(o_orderkey is null) as failures from orders
-    union all select 'orders', 'not_null', 'o_custkey', count_if(o_custkey is null) from orders
-    union all select 'customer', 'not_null', 'c_custkey', count_if(c_custkey is null) from customer
+           count(*) filter (where o_orderkey is null) as failures from orders
+    union all select 'orders', 'not_null', 'o_custkey', count(*) filter (where o_custkey is null) from orders
+    union all select 'customer', 'not_null', 'c_custkey', count(*) filter (where c_custkey is null) from customer
     """
 )
 def dq_nulls(spark, folder):
@@ -139,7 +139,7 @@ def dq_nulls(spark, folder):
 @query(
     """
     select 'customer' as table_name, 'non_negative' as rule, 'c_acctbal' as column_name,
-           count_if(c_acctbal < 0) as failures from customer
+           count(*) filter (where c_acctbal < 0) as failures from customer
     """
 )
 def dq_negatives(spark, folder):
