@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -27,7 +27,9 @@ COPIES_PER_CHUNK = 100_000
 HASH_SPACE = 2**31
 
 
-def cut_points(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> tuple[int, DataFrame]:
+def cut_points(
+    df: DataFrame, order: Sequence[str], ranges: int | None = None
+) -> tuple[int, DataFrame | None]:
     """The number of ranges, and one row with the sorted array of order keys between them.
 
     Two scans of the order columns: an approximate count of the distinct keys, which sets the
@@ -39,34 +41,24 @@ def cut_points(df: DataFrame, order: Sequence[str], ranges: int | None = None) -
     number = F.xxhash64(*order)
     keys = df.select(*order)
     distinct = keys.agg(F.approx_count_distinct(number)).first()[0]
-    ranges = min(ranges or -(-distinct // KEYS_PER_RANGE), MOST_RANGES)
-    key = F.struct(*order)
-    if ranges <= 1:
-        kind = df.select(F.array(key).alias("cuts")).schema
-        return 1, spark.createDataFrame([([],)], kind)
+    ranges = max(1, min(ranges or -(-distinct // KEYS_PER_RANGE), MOST_RANGES))
+    if ranges == 1:
+        return 1, None
 
     share = HASH_SPACE * ranges * SAMPLES_PER_RANGE // max(distinct, 1)
     sample = keys.where(F.pmod(number, F.lit(HASH_SPACE)) <= share).distinct()
-    sample = sample.agg(F.sort_array(F.collect_list(key)).alias("keys"))
+    sample = sample.agg(F.sort_array(F.collect_list(F.struct(*order))).alias("keys"))
     stride = F.ceil((F.size("keys") + 1) / F.lit(ranges))
     points = sample.select(F.filter("keys", lambda _, i: (i + 1) % stride == 0).alias("cuts"))
     # A bounded array goes through the driver and back as a local relation, types unchanged.
     return ranges, spark.createDataFrame(points.toArrow(), points.schema)
 
 
-def with_range(
-    df: DataFrame,
-    order: Sequence[str],
-    name: str,
-    ranges: int | None = None,
-    sample: DataFrame | None = None,
-) -> DataFrame:
+def with_range(df: DataFrame, order: Sequence[str], name: str, ranges: int, cuts: DataFrame) -> DataFrame:
     """Adds the number of the range of the order key a row falls into, ascending with the order.
 
-    A binary search over the cut points, one generated comparison per halving. ``sample`` may name
-    a cheaper frame with the same order keys to take the cut points from.
+    A binary search over the cut points, one generated comparison per halving.
     """
-    ranges, cuts = cut_points(df if sample is None else sample, order, ranges)
     found = df.withColumns({"_cuts": cuts.scalar(), "_key": F.struct(*order), name: F.lit(0)})
     for bit in reversed(range((ranges - 1).bit_length())):
         step = 2**bit
@@ -75,6 +67,13 @@ def with_range(
     return found.drop("_cuts", "_key")
 
 
+def _before(window: WindowSpec, weight: str | None) -> Column:
+    if weight is None:
+        return F.row_number().over(window) - 1
+    upto = window.rowsBetween(W.unboundedPreceding, W.currentRow)
+    return F.sum(weight).over(upto) - F.col(weight)
+
+
 def running_weight(
     df: DataFrame,
     order: Sequence[str],
@@ -82,7 +81,6 @@ def running_weight(
     weight: str | None = None,
     within: Sequence[str] = (),
     ranges: int | None = None,
-    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``name``: the summed weight (or the number) of the rows before a row.
 
@@ -93,8 +91,13 @@ def running_weight(
     require(df, order)
     if list(order[: len(within)]) != within:
         raise ValueError("the order must start with the columns of `within`")
-    cut = with_range(df, order, "_range", ranges, sample)
+    ranges, cuts = cut_points(df, order, ranges)
+    if ranges == 1:
+        # At most about KEYS_PER_RANGE rows.
+        window = W.partitionBy(*within).orderBy(*order)
+        return df.withColumn(name, _before(window, weight).cast("bigint"))
 
+    cut = with_range(df, order, "_range", ranges, cuts)
     amount = F.lit(1) if weight is None else F.col(weight)
     sizes = cut.groupBy(*within, "_range").agg(F.sum(amount).alias("_n"))
     # One row per range, or per range and value of `within` that meet: a window over these is small.
@@ -104,12 +107,8 @@ def running_weight(
     )
 
     inside = W.partitionBy(*within, "_range").orderBy(*order)
-    if weight is None:
-        before = F.row_number().over(inside) - 1
-    else:
-        upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-        before = F.sum(weight).over(upto) - F.col(weight)
-    numbered = cut.withColumn("_before", before).join(F.broadcast(offsets), [*within, "_range"])
+    numbered = cut.withColumn("_before", _before(inside, weight))
+    numbered = numbered.join(F.broadcast(offsets), [*within, "_range"])
     position = (F.col("_offset") + F.col("_before")).cast("bigint")
     return numbered.select(*df.columns, position.alias(name))
 

@@ -35,7 +35,7 @@ def test_hot_leading_key(spark, keys_per_range):
 
 def test_ranges_split_a_hot_leading_key(spark):
     df = spark.range(20000).select((F.col("id") % 3).cast("string").alias("k"), F.col("id"))
-    sizes = [r["count"] for r in ids.with_range(df, ["k", "id"], "r", 40).groupBy("r").count().collect()]
+    sizes = [r["count"] for r in ids.with_range(df, ["k", "id"], "r", *ids.cut_points(df, ["k", "id"], 40)).groupBy("r").count().collect()]
     assert sum(sizes) == 20000
     assert len(sizes) >= 35
     assert max(sizes) < 4 * 20000 / 40
@@ -51,7 +51,7 @@ def test_ranges_follow_the_order(spark):
     ]
     df = spark.createDataFrame(data, kinds).repartition(3)
     order = df.columns
-    ranged = ids.with_range(df, order, "r", 16)
+    ranged = ids.with_range(df, order, "r", *ids.cut_points(df, order, 16))
     numbers = [r.r for r in ranged.orderBy(*order).collect()]
     assert numbers == sorted(numbers) and len(set(numbers)) > 10
 
