@@ -12,9 +12,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def as_map(pairs: Mapping) -> Column:
-    cells = [F.lit(cell) for pair in pairs.items() for cell in pair]
-    return F.create_map(*cells)
+def _literal(cell: str | int) -> str:
+    if isinstance(cell, str):
+        return "'" + cell.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(cell)
+
+
+def as_map(pairs: Mapping[str | int, str | int]) -> Column:
+    """A map literal, parsed in one call rather than built from a call per cell."""
+    return F.expr(f"map({', '.join(_literal(cell) for pair in pairs.items() for cell in pair)})")
 
 
 def get(key: Column, pairs: Mapping) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,7 +159,8 @@ def exact_quantiles(
         F.when(b.covers(), F.struct(F.lit(i).alias("span"), b.value().alias("value")))
         for i, b in enumerate(spans)
     ]
-    values = df.select(F.inline(F.array_compact(F.array(*kept))))
+    covered = reduce(or_, [b.covers() for b in spans])
+    values = df.where(covered).select(F.inline(F.array_compact(F.array(*kept))))
     folded = values.groupBy("span", "value").agg(F.count(F.lit(1)).alias("n"))
     upto = W.partitionBy("span").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = folded.withColumn("end", F.sum("n").over(upto))

@@ -34,7 +34,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     Only a local session may go without that setting: it gets a folder of its own.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")

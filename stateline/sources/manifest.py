@@ -46,6 +46,7 @@ class RawFile:
     schema: T.StructType
 
 
+# Where the raw files lie under the root folder.
 RAW = {
     "cities": RawFile("raw/demographic/us-cities-demographics.json", "enveloped_json", CITIES),
     "population": RawFile("raw/demographic/population.json", "json_matrix", POPULATION),
@@ -57,6 +58,7 @@ RAW = {
     "county_cases": RawFile("raw/covid/us_counties_covid19_daily.csv", "csv", COUNTY_CASES),
 }
 
+# Names, order and types of the staging and model columns.
 STAGING_DEMOGRAPHIC = schema(
     id_state="long", name_state="text", american_native="double", asian="double",
     african_american="double", hispanic="double", white="double", total_population="long",

@@ -46,6 +46,13 @@ def test_lookup_default_and_count(spark):
     assert missed == 2
 
 
+def test_lookup_quotes(spark):
+    pairs = {"it's": "a \\ b", 'say "x"': "c"}
+    for key, value in pairs.items():
+        assert one(spark, lookup.get(F.lit(key), pairs)) == value
+    assert one(spark, lookup.with_default(F.lit(3), {1: 10, 2: 20}, 0)) == 0
+
+
 def test_dates(spark):
     assert one(spark, day_from_int(F.lit(20200307))) == dt.date(2020, 3, 7)
     assert one(spark, day_from_text(F.lit("1970-01-01"))) == dt.date(1970, 1, 1)
