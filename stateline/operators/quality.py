@@ -96,6 +96,15 @@ def check_shares(df: DataFrame, table: str, shares: Sequence[str], tolerance: fl
     return check_rows(df, table, extra={"shares_sum_to_1": off})
 
 
+def check_mean_between(
+    df: DataFrame, table: str, mean: str, parts: Sequence[str], tolerance: float = 1e-9
+) -> DataFrame:
+    """An overall mean lies between the least and the greatest mean of its parts."""
+    low, high = (f(*[F.col(p) for p in parts]) for f in (F.least, F.greatest))
+    off = (F.col(mean) < low - tolerance) | (F.col(mean) > high + tolerance)
+    return check_rows(df, table, extra={f"{mean}_between_parts": off})
+
+
 def all_checks(*reports: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 

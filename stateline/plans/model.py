@@ -19,6 +19,7 @@ from stateline.sources.readers import read_raw
 from stateline.sources.sinks import replace_table
 
 SHARES = ("american_native", "asian", "african_american", "hispanic", "white")
+SEASON_MEANS = ("avg_autumn_temp", "avg_spring_temp", "avg_summer_temp", "avg_winter_temp")
 
 
 def build_state(demographic: DataFrame, temperature: DataFrame, how: str = "inner") -> DataFrame:
@@ -51,6 +52,7 @@ def model_checks(state: DataFrame, education: DataFrame, covid: DataFrame) -> Da
         quality.check_references(education, "education", state, "id_state"),
         quality.check_references(covid, "covid", state, "id_state"),
         quality.check_shares(state, "state", SHARES),
+        quality.check_mean_between(state, "state", "avg_temp", SEASON_MEANS),
     )
 
 

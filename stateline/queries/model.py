@@ -441,6 +441,10 @@ def rate_by_population(spark, folder):
                      where id_state not in (select id_state from state)
     union all select 'state', 'shares_sum_to_1', '', count(*) filter (where abs(
                      american_native + asian + african_american + hispanic + white - 1) > 1e-9) from state
+    union all select 'state', 'avg_temp_between_parts', '', count(*) filter (where
+                     avg_temp < least(avg_autumn_temp, avg_spring_temp, avg_summer_temp, avg_winter_temp) - 1e-9
+                     or avg_temp > greatest(avg_autumn_temp, avg_spring_temp, avg_summer_temp,
+                                            avg_winter_temp) + 1e-9) from state
     """
 )
 def model_quality(spark, folder):

@@ -309,3 +309,8 @@ def test_clean_tables_pass(spark):
 def test_share_check(spark):
     state = spark.createDataFrame([(0.25, 0.70), (0.5, None)], "a double, b double")
     assert quality.check_shares(state, "state", ["a", "b"]).first().failures == 2
+
+
+def test_mean_between_parts(spark):
+    state = spark.createDataFrame([(2.0, 1.0, 3.0), (4.0, 1.0, 3.0), (None, 1.0, 3.0), (2.0, None, 2.0)], "m double, a double, b double")
+    assert quality.check_mean_between(state, "state", "m", ["a", "b"]).first().failures == 1

@@ -342,3 +342,21 @@ def test_incremental_equals_batch(spark, tmp_path, rows):
     land("c.csv", "20200302,WA,99,,,7")
     incremental.ingest_daily_cases(spark, landing, log, progress)
     assert rows(incremental.current_cases(spark, log))[1][3] == 20.0
+
+    # One file per batch, and a batch that runs again because its commit was lost: the same rows.
+    log, progress = str(tmp_path / "log2"), tmp_path / "progress2"
+    incremental.ingest_daily_cases(spark, landing, log, str(progress), files_per_batch=1)
+    expected = rows(incremental.batch_cases(spark, landing))
+    assert len(list((tmp_path / "log2").glob("batch=*"))) == 3
+    assert rows(incremental.current_cases(spark, log)) == expected
+    for name in ("2", ".2.crc"):
+        (progress / "commits" / name).unlink(missing_ok=True)
+    incremental.ingest_daily_cases(spark, landing, log, str(progress), files_per_batch=1)
+    assert spark.read.parquet(log).count() == 5
+    assert rows(incremental.current_cases(spark, log)) == expected
+
+
+def test_landing_files_with_more_columns(spark, tmp_path):
+    with pytest.raises(ValueError, match="lack positive"):
+        incremental.landing_schema(("date", "state"))
+    assert incremental.landing_schema((*DAILY_CASES.names, "hash")).names[-1] == "hash"
