@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 
+from stateline.__main__ import main as command
 from stateline.operators.quality import QualityError
 from stateline.plans import cases, demographics, institutions, model, reports, temperatures
 from stateline.sources.manifest import CITIES, COLLEGES, DAILY_CASES, POPULATION, RAW, SCHOOLS, STATE_TEMPERATURES
@@ -241,6 +242,16 @@ def test_full_run(spark, tmp_path, rows):
     assert spark.table("run_covid").count() == 3
 
 
+def test_command_line(spark, tmp_path, capsys):
+    write_raw(tmp_path)
+    for step in ("stage", "build", "check"):
+        command([step, str(tmp_path), "cli_"])
+    printed = capsys.readouterr().out
+    assert len(printed.splitlines()) == 11
+    assert ["education", "foreign_key", "id_state", "3"] in [line.split() for line in printed.splitlines()]
+    assert spark.table("cli_covid").count() == 3
+
+
 def test_gate_reports_the_college(spark, tmp_path):
     write_raw(tmp_path, college_students=-999)
     with pytest.raises(QualityError, match="education.n_students: non_negative, 1 rows"):
