@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,25 @@ BAD_COLUMNS = "_bad_columns"
 CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
+def csv_header(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """The columns of the file, all text; those of ``schema`` must be among them."""
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    missing = [name for name in schema.names if name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return T.StructType([T.StructField(name, T.StringType()) for name in header])
+
+
+def cell(name: str) -> Column:
+    """Text of a cell, null where the text means that there is no value."""
+    return F.when(~F.col(name).isin(*NULL_TEXTS), F.col(name))
+
+
+def typed(lines: DataFrame, schema: T.StructType, carry: Sequence[str] = ()) -> DataFrame:
+    """Text columns as those of ``schema``; a value of the wrong type fails the job."""
+    return lines.select(*carry, *[cell(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -31,19 +52,14 @@ def read_csv(
     names its column, so that it can be counted. Files whose headers differ are refused. Quoted
     line breaks need ``multi_line``, which gives up splitting the file.
     """
-    options = CSV_OPTIONS | {"multiLine": multi_line}
-    header = spark.read.options(**options).csv(path).columns
-    missing = [name for name in schema.names if name not in header]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
-    raw = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    lines = spark.read.schema(raw).options(enforceSchema=False, **options).csv(path)
-
-    texts = {n: F.when(~F.col(n).isin(*NULL_TEXTS), F.col(n)) for n in schema.names}
+    reader = spark.read.schema(csv_header(spark, path, schema)).options(
+        enforceSchema=False, multiLine=multi_line, **CSV_OPTIONS
+    )
+    lines = reader.csv(path)
     if not lenient:
-        return lines.select(*[texts[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
-    parsed = {f.name: texts[f.name].try_cast(f.dataType) for f in schema.fields}
-    bad = [F.when(texts[n].isNotNull() & parsed[n].isNull(), F.lit(n)) for n in schema.names]
+        return typed(lines, schema)
+    parsed = {f.name: cell(f.name).try_cast(f.dataType) for f in schema.fields}
+    bad = [F.when(cell(n).isNotNull() & parsed[n].isNull(), F.lit(n)) for n in schema.names]
     return lines.select(
         *[value.alias(name) for name, value in parsed.items()],
         F.array_compact(F.array(*bad)).alias(BAD_COLUMNS),
@@ -65,7 +81,7 @@ def stage_csv(
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     lines = spark.read.schema(raw).options(sep=sep, **CSV_OPTIONS).csv(path)
 
-    def cell(field: T.StructField) -> Column:
+    def staged(field: T.StructField) -> Column:
         value = blank_to_null(F.col(field.name))
         if isinstance(field.dataType, T.StringType):
             value = value if cut_text is None else cut(value, cut_text)
@@ -73,7 +89,7 @@ def stage_csv(
             value = F.trim(value).cast(field.dataType)
         return value.alias(field.name)
 
-    return lines.select(*map(cell, schema.fields))
+    return lines.select(*map(staged, schema.fields))
 
 
 def stage_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

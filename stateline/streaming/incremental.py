@@ -12,11 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stateline.plans.cases import number_cases, tidy_daily_cases
 from stateline.sources.manifest import DAILY_CASES
-from stateline.sources.readers import CSV_OPTIONS
+from stateline.sources.readers import CSV_OPTIONS, csv_header, typed
 
 KEYS = ("id_state", "day_date")
 FILE_TIME, FILE_NAME = "_file_time", "_file_name"
@@ -45,13 +44,9 @@ def tidy_with_file(raw: DataFrame) -> DataFrame:
     return tidy.select("*", "_version.*").drop("_version")
 
 
-def landing_schema(columns: tuple[str, ...]) -> T.StructType:
-    """Types of the known columns over the header of the landed files; other columns as text."""
-    kinds = {field.name: field.dataType for field in DAILY_CASES.fields}
-    missing = [name for name in kinds if name not in columns]
-    if missing:
-        raise ValueError(f"the files lack {', '.join(missing)}")
-    return T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in columns])
+def typed_cases(lines: DataFrame) -> DataFrame:
+    """Landed text lines, of a batch or of a stream, as cleaned rows."""
+    return tidy_with_file(typed(with_file(lines), DAILY_CASES, carry=(FILE_TIME, FILE_NAME)))
 
 
 def ingest_daily_cases(
@@ -59,25 +54,24 @@ def ingest_daily_cases(
     landing: str,
     target: str,
     checkpoint: str,
-    columns: tuple[str, ...] = tuple(DAILY_CASES.names),
     files_per_batch: int | None = None,
 ) -> None:
     """Appends the files that are new in ``landing`` to the log in ``target``, then returns.
 
-    ``columns`` is the header of the files.
+    The files share one header, which may have more columns than the table needs.
     """
-    reader = spark.readStream.schema(landing_schema(columns)).options(
-        enforceSchema=False, mode="FAILFAST", **CSV_OPTIONS
+    reader = spark.readStream.schema(csv_header(spark, landing, DAILY_CASES)).options(
+        enforceSchema=False, **CSV_OPTIONS
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = tidy_with_file(with_file(reader.csv(landing)))
 
     def append(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     query = (
-        rows.writeStream.foreachBatch(append)
+        typed_cases(reader.csv(landing))
+        .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -90,11 +84,9 @@ def current_cases(spark: SparkSession, target: str) -> DataFrame:
     return number_cases(newest(spark.read.parquet(target).drop("batch")))
 
 
-def batch_cases(
-    spark: SparkSession, landing: str, columns: tuple[str, ...] = tuple(DAILY_CASES.names)
-) -> DataFrame:
+def batch_cases(spark: SparkSession, landing: str) -> DataFrame:
     """The same from all files at once."""
-    reader = spark.read.schema(landing_schema(columns)).options(
-        enforceSchema=False, mode="FAILFAST", **CSV_OPTIONS
+    reader = spark.read.schema(csv_header(spark, landing, DAILY_CASES)).options(
+        enforceSchema=False, **CSV_OPTIONS
     )
-    return number_cases(newest(tidy_with_file(with_file(reader.csv(landing)))))
+    return number_cases(newest(typed_cases(reader.csv(landing))))

@@ -367,7 +367,13 @@ def test_incremental_equals_batch(spark, tmp_path, rows):
     assert rows(incremental.current_cases(spark, log)) == expected
 
 
-def test_landing_files_with_more_columns(spark, tmp_path):
-    with pytest.raises(ValueError, match="lack positive"):
-        incremental.landing_schema(("date", "state"))
-    assert incremental.landing_schema((*DAILY_CASES.names, "hash")).names[-1] == "hash"
+def test_landed_files_with_more_columns(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(
+        "state,hash,date,death,positive,hospitalizedCumulative,hospitalizedCurrently\nWA,x,20200301,NA,10,,2\n"
+    )
+    landing, log = str(tmp_path / "in"), str(tmp_path / "log")
+    incremental.ingest_daily_cases(spark, landing, log, str(tmp_path / "progress"))
+    expected = [(0, dt.date(2020, 3, 1), "Washington", 10.0, 2.0, 0.0, 0.0, 56)]
+    assert rows(incremental.current_cases(spark, log)) == expected
+    assert rows(incremental.batch_cases(spark, landing)) == expected
