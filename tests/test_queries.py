@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 import check
+from stateline.queries import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,7 +18,7 @@ def db():
     return check.open_tables(FOLDER)
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, db, name):
     frame = driver.queries()[name](spark, FOLDER)
     rows, problems = check.compare(frame, driver.oracle_sql()[name], db)
@@ -35,4 +36,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == SQL.keys()
+    assert driver.queries().keys() >= QUERIES.keys()
