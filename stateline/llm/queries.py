@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stateline.llm.best_fit_packing import best_fit_packing
+from stateline.llm.decontamination import contaminated, hit_words, with_matches
 from stateline.llm.token_counts import token_counts
 from stateline.llm.url_filters import url_filters
 from stateline.queries.registry import QueryFunction, table
@@ -71,3 +72,48 @@ def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's verdict by the rules."""
     rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
     return url_filters(table(spark, folder, "pages"), rules, otherwise="allow")
+
+
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+@_register(
+    f"""
+    with d as (select row_number() over () as r, doc_id, regexp_extract_all({_SMALL}, {_ALNUM}) as w from documents),
+    b as (select item_id, regexp_extract_all({_SMALL}, {_ALNUM}) as w from benchmark),
+    windows as (
+        select item_id, least(13, len(w)) as n, unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2),
+            lambda i: list_aggregate(w[i : i + least(13, len(w)) - 1], 'string_agg', ' '))) as g
+        from b where len(w) > 0),
+    sizes as (select distinct n from windows),
+    places as (
+        select r, n, unnest(range(1, len(w) - n + 2)) as i, w from d, sizes where len(w) >= n),
+    found as (
+        select p.r, p.i, p.n, x.item_id
+        from (select r, i, n, list_aggregate(w[i : i + n - 1], 'string_agg', ' ') as g from places) p
+        join windows x on x.n = p.n and x.g = p.g),
+    hits as (select r, count(distinct j) as n_hit from (select r, unnest(range(i, i + n)) as j from found) group by r),
+    items as (
+        select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+        from (select distinct r, cast(item_id as varchar) as item from found) group by r)
+    select doc_id, cast(coalesce(len(w), 0) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+        sha256(coalesce(items, '')) as items_sha256,
+        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) as contaminated
+    from d left join hits using (r) left join items using (r)"""
+)
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's words that repeat a window of a benchmark item."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = with_matches(docs, table(spark, folder, "benchmark"), window=13)
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item"].cast("string"))))
+    items = F.filter(items, lambda i: i.isNotNull())
+    found = found.select("doc_id", "n_words", hit_words(F.col("matches")).alias("n_hit"), items.alias("items"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
