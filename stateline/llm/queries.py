@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stateline.llm.best_fit_packing import best_fit_packing
 from stateline.llm.decontamination import contaminated, hit_words, with_matches
+from stateline.llm.substring_dedup import substring_dedup
 from stateline.llm.token_counts import token_counts
 from stateline.llm.url_filters import url_filters
 from stateline.queries.registry import QueryFunction, table
@@ -117,3 +118,27 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+@_register(
+    r"""
+    with d as (select row_number() over () as r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+    places as (select r, doc_id, w, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50),
+    windows as (select r, doc_id, i, md5(list_aggregate(w[i : i + 49], 'string_agg', ' ')) as g from places),
+    least as (select g, min(doc_id) as least from windows group by g),
+    gone as (
+        select distinct r, unnest(range(i, i + 50)) as j
+        from windows join least using (g) where doc_id > least),
+    words as (select r, unnest(range(1, len(w) + 1)) as j, unnest(w) as word from d),
+    kept as (
+        select r, count(*) as n, string_agg(word, ' ' order by j) as text
+        from words anti join gone using (r, j) group by r)
+    select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+        sha256(coalesce(text, '')) as kept_sha256
+    from d left join kept using (r)"""
+)
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the runs of 50 words that a smaller document has."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = substring_dedup(docs, window=50, digest=True)
+    return found.select("doc_id", "n_words", "n_removed", F.col("text").alias("kept_sha256"))
