@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stateline.llm.best_fit_packing import best_fit_packing
 from stateline.llm.decontamination import contaminated, hit_words, with_matches
+from stateline.llm.ngram_jaccard import ngram_jaccard
 from stateline.llm.substring_dedup import substring_dedup
 from stateline.llm.token_counts import token_counts
 from stateline.llm.url_filters import url_filters
@@ -142,3 +143,29 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = substring_dedup(docs, window=50, digest=True)
     return found.select("doc_id", "n_words", "n_removed", F.col("text").alias("kept_sha256"))
+
+
+@_register(
+    r"""
+    with recursive d as (
+        select row_number() over () as r, doc_id,
+            coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+'), []) as w
+        from documents),
+    grams as (
+        select distinct r, md5(list_aggregate(w[i : i + 4], 'string_agg', ' ')) as g
+        from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+    sizes as (select r, count(*) as n from grams group by r),
+    links as (
+        select a, b
+        from (select x.r as a, y.r as b, count(*) as c from grams x join grams y on x.g = y.g and x.r <> y.r group by all)
+        join sizes p on p.r = a join sizes q on q.r = b
+        where 100 * c >= 75 * (p.n + q.n - c)),
+    reach as (select r, r as s from d union select reach.r, b from reach join links on a = s)
+    select d.doc_id, coalesce(any_value(n), 0) as n_shingles, min(e.doc_id) as component_id
+    from d join reach using (r) join d e on e.r = reach.s left join sizes on sizes.r = d.r
+    group by d.r, d.doc_id"""
+)
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's component of near duplicates."""
+    return ngram_jaccard(table(spark, folder, "documents"), n=5, percent=75)
