@@ -21,7 +21,7 @@ from stateline.llm.words import blocks
 from stateline.session import written
 
 #: Ranks are given in groups of rows with one length and one hash class of about this many rows.
-ROWS_PER_GROUP = 100_000
+ROWS_PER_GROUP = 1000
 #: A run of ranks joins documents in steps of this many ranks.
 RANKS_PER_STEP = 1024
 
