@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from stateline.llm.words import SPACED, Words, blocks, grams, lists, mix, signed
+from stateline.llm.words import SPACED, Words, blocks, grams, lists, mix, pick, signed
 from stateline.session import scratch_path
 
 WINDOW = 50
@@ -209,16 +209,16 @@ def extended(docs: DataFrame, hits: DataFrame, window: int, digest: bool) -> Dat
             data, offsets = joined_words(words, ~copy[text])
             kept = _texts(data, offsets, digest)
             if not digest:
-                kept = pc.if_else(pa.array(copy), kept, block.column("text"))
+                kept = pick(copy, kept, block.column("text"))
             n_removed = np.where(copy, n, 0)
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("rest"),
                     block.column("id"),
-                    pc.if_else(pa.array(open_), block.column("text"), pa.scalar(None, pa.string())),
+                    pick(open_, block.column("text")),
                     pa.array(n),
                     pa.array(n_removed),
-                    pc.if_else(pa.array(open_), pa.scalar(None, pa.string()), kept),
+                    pick(~open_, kept),
                     lists((starts - words.first[:-1][text[starts]]).astype(np.int32), per_text),
                     lists(signed(windows), per_text),
                 ],
@@ -283,7 +283,7 @@ def finished(rows: DataFrame, removed: DataFrame, window: int, digest: bool) ->
             n_removed = np.bincount(text[~kept], minlength=len(n))
             result = _texts(*joined_words(words, kept), digest)
             if not digest:
-                result = pc.if_else(pa.array(n_removed > 0), result, block.column("text"))
+                result = pick(n_removed > 0, result, block.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [block.column("rest"), block.column("id"), pa.array(n), pa.array(n_removed), result], [f.name for f in schema.fields]
             )

@@ -192,3 +192,11 @@ def lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(offsets, pa.array(values))
+
+
+def pick(chosen: np.ndarray, yes: pa.Array, no: pa.Array | None = None) -> pa.Array:
+    """``yes`` where chosen, else ``no``, or null without it; either may be a slice."""
+    at = np.arange(len(chosen))
+    if no is None:
+        return yes.take(pa.array(at, mask=~chosen))
+    return pa.concat_arrays([yes, no]).take(pa.array(np.where(chosen, at, at + len(chosen))))
