@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stateline.llm.best_fit_packing import best_fit_packing
 from stateline.llm.decontamination import contaminated, hit_words, with_matches
 from stateline.llm.ngram_jaccard import ngram_jaccard
+from stateline.llm.quality_classifier import quality_classifier
 from stateline.llm.substring_dedup import substring_dedup
 from stateline.llm.token_counts import token_counts
 from stateline.llm.url_filters import url_filters
@@ -169,3 +170,9 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's component of near duplicates."""
     return ngram_jaccard(table(spark, folder, "documents"), n=5, percent=75)
+
+
+@_register()
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality, learned from the labels that are not held out."""
+    return quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.3)
