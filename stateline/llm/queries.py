@@ -11,6 +11,7 @@ from stateline.llm.ngram_jaccard import ngram_jaccard
 from stateline.llm.quality_classifier import quality_classifier
 from stateline.llm.substring_dedup import substring_dedup
 from stateline.llm.token_counts import token_counts
+from stateline.llm.toxicity import toxicity
 from stateline.llm.url_filters import url_filters
 from stateline.queries.registry import QueryFunction, table
 
@@ -176,3 +177,11 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's quality, learned from the labels that are not held out."""
     return quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.3)
+
+
+@_register()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's probabilities of the labelled categories, low quality first, then toxic."""
+    labels = table(spark, folder, "labels").withColumn("low_quality", 1 - F.col("quality"))
+    scored = toxicity(table(spark, folder, "documents"), labels, ["low_quality", "toxic"])
+    return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
