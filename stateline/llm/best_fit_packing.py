@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from stateline.llm import encoding
+from stateline.llm.scratch import landed
 from stateline.llm.words import blocks
-from stateline.session import written
 
 #: Ranks are given in groups of rows with one length and one hash class of about this many rows.
 ROWS_PER_GROUP = 1000
@@ -169,5 +169,5 @@ def best_fit_packing(
     Texts are read once: the pieces, a few numbers each, are written to the scratch folder, and the
     histogram, the ranks and the placed rows are made from there.
     """
-    pieces = written(token_pieces(docs, id, text, capacity, end, tokenizer, ranks), "pieces")
+    pieces = landed(token_pieces(docs, id, text, capacity, end, tokenizer, ranks), "pieces")
     return place(pieces, capacity).withColumnRenamed("id", id)

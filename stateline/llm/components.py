@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stateline.session import written
+from stateline.llm.scratch import landed
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,18 +15,18 @@ def components(edges: DataFrame) -> DataFrame:
     between what they joined. At least half of the vertices that still have links disappear in each
     round. Vertices and links stay in tables; the driver sees only whether any link is left.
     """
-    edges = written(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "links")
+    edges = landed(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "links")
     rounds: list[DataFrame] = []
     while True:
         ends = edges.select(F.col("a").alias("vertex"), F.col("b").alias("other"))
         ends = ends.unionByName(edges.select(F.col("b").alias("vertex"), F.col("a").alias("other")))
         least = F.least("vertex", F.min("other")).alias("parent")
-        parents = written(ends.groupBy("vertex").agg(least), "parents")
+        parents = landed(ends.groupBy("vertex").agg(least), "parents")
         rounds.append(parents)
         a = parents.select(F.col("vertex").alias("a"), F.col("parent").alias("pa"))
         b = parents.select(F.col("vertex").alias("b"), F.col("parent").alias("pb"))
         drawn = edges.join(a, "a").join(b, "b").where(F.col("pa") != F.col("pb"))
-        edges = written(drawn.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
+        edges = landed(drawn.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
         if edges.isEmpty():
             break
 

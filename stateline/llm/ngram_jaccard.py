@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from stateline.llm.components import components
+from stateline.llm.scratch import landed
 from stateline.llm.substring_dedup import Routed
 from stateline.llm.words import SPACED_LOWER, Words, blocks, lists, mix, signed, text_grams
-from stateline.session import written
 
 WORDS = 5
 #: Two sets link when 100 * intersection >= 75 * union.
@@ -34,8 +34,8 @@ PERCENT = 75
 MOST_FREQUENT = 1 << 17
 COUNT_BYTES = 8 << 20
 #: A hash of more groups than this is first compared through hubs.
-FEW = 16
-HUBS = 4
+FEW = 8
+HUBS = 3
 
 
 def sets(block: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -49,6 +49,25 @@ def set_key(hashes: np.ndarray) -> np.uint64:
     return mix(np.array([mix(hashes).sum(dtype=np.uint64) + np.uint64(len(hashes))]))[0]
 
 
+def signature(hashes: np.ndarray) -> bytes:
+    """A bit for each residue of the hashes, odd counts set; as many bits as the set is large, or up to twice that.
+
+    Two sets differ by at least as many hashes as their signatures differ by bits.
+    """
+    bits = max(64, 1 << (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """At least so many hashes are in one of the two sets only; the longer signature is folded."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 class Order:
     """The order of all hashes: most of them by value, then the frequent ones by how many have them."""
 
@@ -101,7 +120,7 @@ def frequent_hashes(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """Per row: ``id``, ``size`` of its set, ``cls`` (hash of the set), ``grp`` (of prefix and size), ``prefix``.
+    """Per row: ``id``, ``size`` of its set, ``cls`` (hash of the set), ``grp`` (of prefix and size), ``prefix``, ``sig``.
 
     In a block only the first row of a group carries the prefix.
     """
@@ -110,10 +129,11 @@ def sketches(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Dat
 
     def sketch(batches):
         for block in blocks(batches, "text"):
-            sizes, classes, groups, prefixes, seen = [], [], [], [], set()
+            sizes, classes, groups, prefixes, marks, seen = [], [], [], [], [], set()
             for _, hashes in sets(block, n):
                 sizes.append(len(hashes))
                 classes.append(set_key(hashes))
+                marks.append(signature(hashes) if len(hashes) else b"")
                 first = order.value.prefix(hashes, probe_length(len(hashes), percent)) if len(hashes) else hashes
                 group = mix(np.array([set_key(first) + np.uint64(len(hashes))]))[0]
                 groups.append(group)
@@ -127,11 +147,12 @@ def sketches(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Dat
                     pa.array(signed(np.array(classes, np.uint64))),
                     pa.array(signed(np.array(groups, np.uint64))),
                     lists(values, np.array([len(p) for p in prefixes])),
+                    pa.array(marks, pa.binary()),
                 ],
-                ["id", "size", "cls", "grp", "prefix"],
+                ["id", "size", "cls", "grp", "prefix", "sig"],
             )
 
-    return docs.mapInArrow(sketch, f"id {kind}, size int, cls bigint, grp bigint, prefix array<bigint>")
+    return docs.mapInArrow(sketch, f"id {kind}, size int, cls bigint, grp bigint, prefix array<bigint>, sig binary")
 
 
 def shared_postings(sketched: DataFrame, percent: int) -> DataFrame:
@@ -224,44 +245,66 @@ def class_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return found.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
 
 
-def fetched_sets(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
-    """``cls, hashes`` of the needed classes (``cls, id``), computed again from a document of each."""
-    same = F.col("d.id").eqNullSafe(F.col("c.id"))
-    rows = docs.alias("d").join(needed.alias("c"), same).select("d.text", "c.cls")
+def likely(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose signatures do not rule out that the sets are similar enough."""
+    a = members.select(F.col("cls").alias("a"), F.col("size").alias("m"), F.col("sig").alias("x"))
+    b = members.select(F.col("cls").alias("b"), F.col("size").alias("n"), F.col("sig").alias("y"))
+    rows = pairs.join(a, "a").join(b, "b")
+
+    def compare(batches):
+        for batch in batches:
+            sizes = batch.column("m").to_numpy().astype(np.int64) + batch.column("n").to_numpy()
+            least = [least_difference(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
+            # With a difference d, 2 * intersection = sizes - d and 2 * union = sizes + d.
+            d = np.array(least, np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(100 * (sizes - d) >= percent * (sizes + d)))
+
+    return rows.select("a", "b", "m", "n", "x", "y").mapInArrow(compare, "a bigint, b bigint")
 
-    def fetch(batches):
-        for block in blocks(batches, "text"):
-            wanted = block.column("cls").to_numpy().astype(np.int64).view(np.uint64)
-            found = [(key, hashes) for i, hashes in sets(block, n) if (key := set_key(hashes)) == wanted[i]]
-            if found:
-                keys = signed(np.array([k for k, _ in found], np.uint64))
-                values = signed(np.concatenate([h for _, h in found]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), lists(values, np.array([len(h) for _, h in found]))], ["cls", "hashes"])
 
-    return rows.mapInArrow(fetch, "cls bigint, hashes array<bigint>")
+def fetched_texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """``cls, text`` of the needed classes (``cls, id``), from a document of each.
 
+    Where ids repeat with other texts, a class may get those, too; ``verified`` passes them over.
+    """
+    same = F.col("d.id").eqNullSafe(F.col("c.id"))
+    rows = docs.alias("d").join(needed.alias("c"), same).select("c.cls", "d.text")
+    return rows.dropDuplicates(["cls", "text"])
 
-def verified(pairs: DataFrame, hashes: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of classes whose whole sets are similar enough."""
-    a = hashes.select(F.col("cls").alias("a"), F.col("hashes").alias("x"))
-    b = hashes.select(F.col("cls").alias("b"), F.col("hashes").alias("y"))
+
+def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of classes whose whole sets are similar enough.
+
+    Texts are moved, not sets: they are smaller, and the sets of a frequent partner are made once.
+    """
+    a = texts.select(F.col("cls").alias("a"), F.col("text").alias("x"))
+    b = texts.select(F.col("cls").alias("b"), F.col("text").alias("y"))
     rows = pairs.join(a, "a").join(b, "b")
 
+    def set_of(cls: int, text: pa.Array) -> np.ndarray | None:
+        """None if the text is not of the class."""
+        (_, hashes), = sets(pa.RecordBatch.from_arrays([text], ["text"]), n)
+        return hashes if set_key(hashes).astype(np.int64) == cls else None
+
     def compare(batches):
+        last, q = (None, None), None
         for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
-            xo, yo = x.offsets.to_numpy(), y.offsets.to_numpy()
-            xs, ys = x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64)
+            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
             good = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
-                p, q = xs[xo[i] : xo[i + 1]], ys[yo[i] : yo[i + 1]]
+                y = batch.column("y").slice(i, 1)
+                if last != (b[i], y[0].as_py()):
+                    last, q = (b[i], y[0].as_py()), set_of(b[i], y)
+                p = set_of(a[i], batch.column("x").slice(i, 1))
+                if p is None or q is None:
+                    continue
                 both = np.concatenate([p, q])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 good[i] = 100 * common >= percent * (len(p) + len(q) - common)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    return rows.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
+    return rows.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def open_pairs(postings: DataFrame, counts: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -292,24 +335,24 @@ def ngram_jaccard(docs: DataFrame, id: str = "doc_id", text: str = "text", n: in
     ignored. Sets and n-grams are compared by hashes of 64 bits.
     """
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    sketched = written(sketches(docs, n, percent, frequent_hashes(docs, n)), "sketches")
-    members = sketched.where(F.col("size") > 0).groupBy("cls", "grp", "size").agg(F.min("id").alias("id"))
-    members = written(members, "classes")
-    postings = written(shared_postings(sketched, percent), "postings")
+    sketched = landed(sketches(docs, n, percent, frequent_hashes(docs, n)), "sketches")
+    same = sketched.where(F.col("size") > 0).groupBy("cls", "grp", "size")
+    members = landed(same.agg(F.min("id").alias("id"), F.first("sig").alias("sig")), "classes")
+    postings = landed(shared_postings(sketched, percent), "postings")
     counts = postings.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
 
-    pairs = written(class_pairs(group_pairs(postings, counts, percent), members), "pairs")
-    partly = postings.join(counts.where(F.col("n") > FEW), "hash", "left_semi").select("grp")
-    several = members.groupBy("grp").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("grp")
-    again = members.join(partly.unionByName(several).distinct(), "grp", "left_semi").select("cls")
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).unionByName(again).distinct()
-    hashes = written(fetched_sets(docs, members.join(wanted, "cls", "left_semi").select("cls", "id"), n), "sets")
+    def linked(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+        needed = landed(members.join(ends, "cls", "left_semi").select("cls", "id"), "needed")
+        return landed(verified(pairs, landed(fetched_texts(docs, needed), "texts"), n, percent), "links")
 
-    links = written(verified(pairs, hashes, percent), "links")
+    pairs = landed(class_pairs(group_pairs(postings, counts, percent), members), "pairs")
+    links = linked(landed(likely(pairs, members, percent), "likely"))
     found = components(links)
-    more = written(open_pairs(postings, counts, members, found, percent), "pairs")
+    more = open_pairs(postings, counts, members, found, percent).join(pairs, ["a", "b"], "left_anti")
+    more = landed(likely(more, members, percent), "likely")
     if not more.isEmpty():
-        found = components(links.unionByName(verified(more, hashes, percent)))
+        found = components(links.unionByName(linked(more)))
 
     labelled = members.join(found, F.col("cls") == F.col("vertex"), "left")
     labelled = labelled.select("cls", "id", F.coalesce("component", "cls").alias("component"))

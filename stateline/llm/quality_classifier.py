@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stateline.llm.scratch import landed
 from stateline.llm.substring_dedup import word_places
 from stateline.llm.words import SPACED_LOWER, Words, blocks, byte_table, grams, mix
-from stateline.session import written
 
 FEATURES = (
     "log_bytes",
@@ -240,7 +240,7 @@ def quality_classifier(
     and scored from there.
     """
     width = len(FEATURES)
-    table = written(statistics_table(docs.select(F.col(id).alias("id"), F.col(text).alias("text"))), "statistics")
+    table = landed(statistics_table(docs.select(F.col(id).alias("id"), F.col(text).alias("text"))), "statistics")
     known = labels.select(F.col(id).alias("id"), F.col(label).alias("label")).where(F.col("label").isin(0, 1) & ~held_out(F.col("id"), folds))
     model = Discriminant.fit(class_sums(table.join(known, "id"), "label", width), width, shrinkage)
     kind = table.schema["id"].dataType.simpleString()
