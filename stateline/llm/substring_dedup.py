@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from stateline.llm.scratch import landed
 from stateline.llm.words import SPACED, Words, blocks, grams, lists, mix, pick, signed
-from stateline.session import scratch_path
 
 WINDOW = 50
 #: The differences of these six residues are all residues modulo 31.
@@ -320,9 +320,7 @@ def substring_dedup(
     rows = docs.select(rest.alias("rest"), F.col(id).alias("id"), F.col(text).alias("text"))
     hits = candidates(rows.select("id", "text"), window)
 
-    path = scratch_path(docs.sparkSession, "windows")
-    extended(rows, hits, window, digest).write.option("compression", "zstd").parquet(path)
-    found = docs.sparkSession.read.parquet(path)
+    found = landed(extended(rows, hits, window, digest), "windows")
     open_ = found.where(F.col("kept").isNull())
     done = found.where(F.col("kept").isNotNull()).select("rest", "id", "n_words", "n_removed", "kept")
     result = done.unionByName(finished(open_, removable(open_), window, digest))
