@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from stateline.llm.best_fit_packing import best_fit_packing
 from stateline.llm.decontamination import contaminated, hit_words, with_matches
+from stateline.llm.language_id import language_id
 from stateline.llm.ngram_jaccard import ngram_jaccard
 from stateline.llm.quality_classifier import quality_classifier
 from stateline.llm.substring_dedup import substring_dedup
 from stateline.llm.token_counts import token_counts
 from stateline.llm.toxicity import toxicity
-from stateline.llm.url_filters import url_filters
+from stateline.llm.url_filters import host_and_path, url_filters
 from stateline.queries.registry import QueryFunction, table
 
 QUERIES: dict[str, QueryFunction] = {}
@@ -185,3 +186,21 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").withColumn("low_quality", 1 - F.col("quality"))
     scored = toxicity(table(spark, folder, "documents"), labels, ["low_quality", "toxic"])
     return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
+@_register()
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's language from its text, what it declares and its source."""
+    docs = table(spark, folder, "documents")
+    return language_id(docs, declared="lang", host="source")
+
+
+@_register()
+def pages_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's language from its text, its markup, the language in its address and its host."""
+    host, path = host_and_path(F.col("url"))
+    text = F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1\s*>|<[^>]*>|&\w+;", " ")
+    pages = table(spark, folder, "pages").select("page_id", text.alias("text"), "html", host.alias("host"), path.alias("path"))
+    markup = F.nullif(F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]{2,3})", 1)), F.lit(""))
+    suffix = F.nullif(F.lower(F.regexp_extract("path", r"^/([A-Za-z]{2})(?:/|$)", 1)), F.lit(""))
+    return language_id(pages, id="page_id", declared=markup, suffix=suffix, host="host")
