@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stateline.llm.best_fit_packing import best_fit_packing
 from stateline.llm.decontamination import contaminated, hit_words, with_matches
 from stateline.llm.language_id import language_id
+from stateline.llm.multi_index_hashing import nearest_neighbours
 from stateline.llm.ngram_jaccard import ngram_jaccard
 from stateline.llm.quality_classifier import quality_classifier
 from stateline.llm.substring_dedup import substring_dedup
@@ -204,3 +205,10 @@ def pages_language(spark: SparkSession, folder: str) -> DataFrame:
     markup = F.nullif(F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]{2,3})", 1)), F.lit(""))
     suffix = F.nullif(F.lower(F.regexp_extract("path", r"^/([A-Za-z]{2})(?:/|$)", 1)), F.lit(""))
     return language_id(pages, id="page_id", declared=markup, suffix=suffix, host="host")
+
+
+@_register()
+def op1_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest rows found for every vector whose id is divisible by 20."""
+    vectors = table(spark, folder, "embeddings")
+    return nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
