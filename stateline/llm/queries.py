@@ -15,6 +15,7 @@ from stateline.llm.substring_dedup import substring_dedup
 from stateline.llm.token_counts import token_counts
 from stateline.llm.toxicity import toxicity
 from stateline.llm.url_filters import host_and_path, url_filters
+from stateline.llm.workers import importable
 from stateline.queries.registry import QueryFunction, table
 
 QUERIES: dict[str, QueryFunction] = {}
@@ -32,7 +33,7 @@ URL_RULES = (
 
 def _register(sql: str | None = None):
     def add(function: QueryFunction) -> QueryFunction:
-        QUERIES[function.__name__] = function
+        QUERIES[function.__name__] = lambda spark, folder: function(importable(spark), folder)
         if sql is not None:
             SQL[function.__name__] = sql
         return function
