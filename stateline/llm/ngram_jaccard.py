@@ -49,23 +49,38 @@ def set_key(hashes: np.ndarray) -> np.uint64:
     return mix(np.array([mix(hashes).sum(dtype=np.uint64) + np.uint64(len(hashes))]))[0]
 
 
-def signature(hashes: np.ndarray) -> bytes:
-    """A bit for each residue of the hashes, odd counts set; as many bits as the set is large, or up to twice that.
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each residue of the hashes, odd counts set, in 64-bit words.
 
-    Two sets differ by at least as many hashes as their signatures differ by bits.
+    As many bits as the set is large, or up to twice that. Two sets differ by at least as many hashes
+    as their signatures differ by bits.
     """
     bits = max(64, 1 << (len(hashes) - 1).bit_length())
     odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def least_difference(a: bytes, b: bytes) -> int:
-    """At least so many hashes are in one of the two sets only; the longer signature is folded."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) != len(y):
-        x, y = (x, y) if len(x) > len(y) else (y, x)
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+def least_difference(x: Column, y: Column) -> Column:
+    """At least so many hashes are in one of two sets only; the longer signature is folded onto the shorter."""
+    words = F.least(F.size(x), F.size(y))
+    differing = F.zip_with(_folded(x, words), _folded(y, words), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(differing, F.lit(0), lambda total, n: total + n)
+
+
+def _folded(x: Column, words: Column) -> Column:
+    def all_at(i: Column) -> Column:
+        return F.aggregate(F.sequence(i, F.size(x) - 1, words), F.lit(0).cast("bigint"), lambda done, j: done.bitwiseXOR(F.get(x, j)))
+
+    return F.when(F.size(x) > words, F.transform(F.sequence(F.lit(0), words - 1), all_at)).otherwise(x)
+
+
+def _likely(sizes: Column, x: Column, y: Column, percent: int) -> Column:
+    """Whether signatures leave it open that sets of these sizes together are similar enough.
+
+    With a difference d, 2 * intersection = sizes - d and 2 * union = sizes + d.
+    """
+    d = least_difference(x, y)
+    return (sizes - d) * 100 >= (sizes + d) * percent
 
 
 class Order:
@@ -133,7 +148,7 @@ def sketches(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Dat
             for _, hashes in sets(block, n):
                 sizes.append(len(hashes))
                 classes.append(set_key(hashes))
-                marks.append(signature(hashes) if len(hashes) else b"")
+                marks.append(signature(hashes) if len(hashes) else np.empty(0, np.int64))
                 first = order.value.prefix(hashes, probe_length(len(hashes), percent)) if len(hashes) else hashes
                 group = mix(np.array([set_key(first) + np.uint64(len(hashes))]))[0]
                 groups.append(group)
@@ -147,12 +162,12 @@ def sketches(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Dat
                     pa.array(signed(np.array(classes, np.uint64))),
                     pa.array(signed(np.array(groups, np.uint64))),
                     lists(values, np.array([len(p) for p in prefixes])),
-                    pa.array(marks, pa.binary()),
+                    lists(np.concatenate(marks), np.array([len(m) for m in marks])),
                 ],
                 ["id", "size", "cls", "grp", "prefix", "sig"],
             )
 
-    return docs.mapInArrow(sketch, f"id {kind}, size int, cls bigint, grp bigint, prefix array<bigint>, sig binary")
+    return docs.mapInArrow(sketch, f"id {kind}, size int, cls bigint, grp bigint, prefix array<bigint>, sig array<bigint>")
 
 
 def shared_postings(sketched: DataFrame, percent: int) -> DataFrame:
@@ -250,16 +265,7 @@ def likely(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     a = members.select(F.col("cls").alias("a"), F.col("size").alias("m"), F.col("sig").alias("x"))
     b = members.select(F.col("cls").alias("b"), F.col("size").alias("n"), F.col("sig").alias("y"))
     rows = pairs.join(a, "a").join(b, "b")
-
-    def compare(batches):
-        for batch in batches:
-            sizes = batch.column("m").to_numpy().astype(np.int64) + batch.column("n").to_numpy()
-            least = [least_difference(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
-            # With a difference d, 2 * intersection = sizes - d and 2 * union = sizes + d.
-            d = np.array(least, np.int64)
-            yield batch.select(["a", "b"]).filter(pa.array(100 * (sizes - d) >= percent * (sizes + d)))
-
-    return rows.select("a", "b", "m", "n", "x", "y").mapInArrow(compare, "a bigint, b bigint")
+    return rows.where(_likely(F.col("m") + F.col("n"), F.col("x"), F.col("y"), percent)).select("a", "b")
 
 
 def fetched_texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -308,19 +314,20 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
 
 
 def open_pairs(postings: DataFrame, counts: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """The pairs of classes not compared yet whose classes are still in different components."""
+    """The pairs of classes that are still in different components and may be similar, by signature, too."""
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("classes"))
     rows = postings.join(counts, "hash").join(sizes, "grp")
     partly = rows.groupBy("hash").agg(F.max((F.col("n") > FEW) | (F.col("classes") > 1)).alias("partly")).where("partly").select("hash")
-    rows = postings.join(partly, "hash").join(members.select("grp", "cls"), "grp").select("hash", "cls", "size", "inner")
+    rows = postings.join(partly, "hash").join(members.select("grp", "cls", "sig"), "grp").select("hash", "cls", "size", "inner", "sig")
     crowded = sizes.where(F.col("classes") > 1).select("grp")
-    alone = members.join(crowded, "grp").select(F.col("grp").alias("hash"), "cls", "size", F.lit(True).alias("inner"))
+    alone = members.join(crowded, "grp").select(F.col("grp").alias("hash"), "cls", "size", F.lit(True).alias("inner"), "sig")
     rows = rows.unionByName(alone).join(found, F.col("cls") == F.col("vertex"), "left")
-    rows = rows.select("hash", "cls", "size", "inner", F.coalesce("component", "cls").alias("component"))
+    rows = rows.select("hash", "cls", "size", "inner", "sig", F.coalesce("component", "cls").alias("component"))
     apart = rows.groupBy("hash").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     rows = rows.join(apart.where(F.col("least") < F.col("most")).select("hash"), "hash")
     same = (F.col("a.hash") == F.col("b.hash")) & (F.col("a.component") < F.col("b.component"))
-    pairs = rows.alias("a").join(rows.alias("b"), same & _possible(percent))
+    open_ = _likely(F.col("a.size") + F.col("b.size"), F.col("a.sig"), F.col("b.sig"), percent)
+    pairs = rows.alias("a").join(rows.alias("b"), same & _possible(percent) & open_)
     return pairs.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()
 
 
@@ -349,8 +356,8 @@ def ngram_jaccard(docs: DataFrame, id: str = "doc_id", text: str = "text", n: in
     pairs = landed(class_pairs(group_pairs(postings, counts, percent), members), "pairs")
     links = linked(landed(likely(pairs, members, percent), "likely"))
     found = components(links)
-    more = open_pairs(postings, counts, members, found, percent).join(pairs, ["a", "b"], "left_anti")
-    more = landed(likely(more, members, percent), "likely")
+    more = open_pairs(postings, counts, members, found, percent)
+    more = landed(more.join(pairs, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         found = components(links.unionByName(linked(more)))
 
