@@ -1,25 +1,40 @@
 """Sums and means whose value does not depend on how rows are spread over tasks.
 
 Adding doubles in another order changes the last digits. For amounts with a fixed number of
-decimals, ``scale`` turns each value into whole units (cents for 2), which add exactly as bigint.
-An overflow of the bigint raises, so no wrong total passes silently.
+decimals, ``scale`` adds decimals instead, which is exact. A value that has more decimals, that is not
+a number, or that is too large for a decimal fails the job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+#: A double may miss the decimal it stands for by this part of the last place.
+SLACK = 1e-3
+PRECISION = 28
 
-def units(value: Column, scale: int) -> Column:
-    """Whole units of 10^-scale, exact for magnitudes up to about 10^(15 - scale)."""
-    return F.floor(value * F.lit(float(10**scale)) + F.lit(0.5)).cast("bigint")
+
+def exact(value: Column, scale: int) -> Column:
+    """The value as a decimal with ``scale`` places; sums of it have ten more digits to grow into."""
+    decimal = value.try_cast(T.DecimalType(PRECISION, scale))
+    number = value.cast("double")
+    off = F.abs(decimal.cast("double") - number) > F.greatest(
+        F.lit(SLACK * 10.0**-scale), F.abs(number) * F.lit(1e-15)
+    )
+    message = F.concat(F.lit(f"not an amount with {scale} decimals: "), value.cast("string"))
+    wrong = value.isNotNull() & (decimal.isNull() | off)
+    return F.when(wrong, F.raise_error(message).cast(T.DecimalType(PRECISION, scale))).otherwise(decimal)
+
+
+def exact_sum(value: Column, scale: int | None = None) -> Column:
+    """A sum, as a decimal with ``scale``; a sum beyond its digits fails the job."""
+    return F.sum(value) if scale is None else F.sum(exact(value, scale))
 
 
 def total(value: Column, scale: int | None = None) -> Column:
-    if scale is None:
-        return F.sum(value)
-    return F.sum(units(value, scale)).cast("double") / F.lit(float(10**scale))
+    return F.sum(value) if scale is None else exact_sum(value, scale).cast("double")
 
 
 def mean(value: Column, scale: int | None = None) -> Column:

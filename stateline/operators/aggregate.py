@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from stateline.functions.exact import mean, total, units
+from stateline.functions.exact import exact_sum, mean, total
 from stateline.functions.scalars import ratio
 from stateline.session import shuffle_partitions
 
@@ -28,22 +28,39 @@ def or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0))
 
 
+def measure(kind: str, value: str, scale: int | None = None) -> Column:
+    """``sum`` (a group of nulls sums to 0), ``mean`` or ``count`` of a column."""
+    if kind == "sum":
+        return total(or_zero(F.col(value)), scale)
+    if kind == "mean":
+        return mean(F.col(value), scale)
+    if kind == "count":
+        return F.count(value)
+    raise ValueError(f"no measure {kind}")
+
+
+def group_measures(
+    df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[str, str]], scale: int | None = None
+) -> DataFrame:
+    """Several measures of one grouping in one aggregate: result name to (kind, column)."""
+    cells = [measure(kind, value, scale).alias(name) for name, (kind, value) in measures.items()]
+    return df.where(known(keys)).groupBy(*keys).agg(*cells)
+
+
 def group_sum(
     df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = None
 ) -> DataFrame:
-    """A group of nulls sums to 0."""
-    measure = total(or_zero(F.col(value)), scale)
-    return df.where(known(keys)).groupBy(*keys).agg(measure.alias(name))
+    return group_measures(df, keys, {name: ("sum", value)}, scale)
 
 
 def group_mean(
     df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = None
 ) -> DataFrame:
-    return df.where(known(keys)).groupBy(*keys).agg(mean(F.col(value), scale).alias(name))
+    return group_measures(df, keys, {name: ("mean", value)}, scale)
 
 
 def group_count(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    return df.where(known(keys)).groupBy(*keys).agg(F.count(value).alias(name))
+    return group_measures(df, keys, {name: ("count", value)})
 
 
 def share_rows(
@@ -53,11 +70,10 @@ def share_rows(
 
     The window runs over grouped rows: one per category, however many input rows there are.
     """
-    amount = or_zero(F.col(value))
-    summed = F.sum(amount if scale is None else units(amount, scale)).cast("double")
+    summed = exact_sum(or_zero(F.col(value)), scale)
     grouped = df.where(known([key, category])).groupBy(key, category).agg(summed.alias("_part"))
-    whole = F.sum("_part").over(W.partitionBy(key))
-    return grouped.select(key, category, ratio(F.col("_part"), whole).alias(name))
+    whole = F.sum("_part").over(W.partitionBy(key)).cast("double")
+    return grouped.select(key, category, ratio(F.col("_part").cast("double"), whole).alias(name))
 
 
 def share_pivot(
@@ -74,10 +90,9 @@ def share_pivot(
     outside ``names`` count in the total only; ``undeclared`` lists them.
     """
     amount = or_zero(F.col(value))
-    amount = amount if scale is None else units(amount, scale)
-    whole = F.sum(amount).cast("double")
+    whole = exact_sum(amount, scale).cast("double")
     shares = [
-        ratio(F.sum(F.when(F.col(category) == v, amount)).cast("double"), whole).alias(name)
+        ratio(exact_sum(F.when(F.col(category) == v, amount), scale).cast("double"), whole).alias(name)
         for v, name in names.items()
     ]
     return df.where(known([key, category])).groupBy(key).agg(*shares)
@@ -153,7 +168,7 @@ def with_group_total(
         *[total(or_zero(F.col(value)), scale).alias(name) for name, value in totals.items()],
         F.count(F.lit(1)).alias("_rows"),
     )
-    is_hot = F.col("_rows") * F.lit(parts) > rows.agg(F.count(F.lit(1))).scalar()
+    is_hot = F.col("_rows") * F.lit(parts) > grouped.agg(F.sum("_rows")).scalar()
     hot, cold = grouped.where(is_hot), grouped.where(~is_hot)
 
     marked = df.join(F.broadcast(hot), keys, "left")

@@ -1,18 +1,16 @@
 """Running weights and dense ids over a global order, without a global sort (WIN-2, SET-2).
 
 A window without partitions would sort every row in one task, and a window per leading key (per
-day, say) would do the same for a key that holds a third of the rows. So the order is cut into
-ranges of the *whole* order key. Rows of the ranges before a range give its offset, and a window
-inside the range does the rest. Any cut gives the same numbers: a sample decides only how even the
-ranges are. The cut points are fixed before the plan runs, so a row falls into the same range in
-every pass and in every retried task.
+day, say) would do the same for a key that holds a third of the rows. So rows are dealt to ranges of
+the *whole* order by Spark's own range partitioner, sorted inside them and written with their place.
+The rows of the ranges before a range give its offset.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -20,58 +18,29 @@ from stateline.operators.columns import require
 from stateline.operators.sets import tagged_union
 from stateline.session import shuffle_partitions, written
 
-KEYS_PER_RANGE = 10_000
-MOST_RANGES = 32_768
-SAMPLES_PER_RANGE = 16
-COPIES_PER_CHUNK = 100_000
-HASH_SPACE = 2**31
+#: Spark's numbers for rows: the range in the upper bits, the place inside the range in the lower 33.
+PLACE_BITS = 33
 
 
-def cut_points(
-    df: DataFrame, order: Sequence[str], ranges: int | None = None
-) -> tuple[int, DataFrame | None]:
-    """The number of ranges, and one row with the sorted array of order keys between them.
+def placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` in written ranges: adds ``_range`` and ``_place``, both ascending with the order.
 
-    Two scans of the order columns: an approximate count of the distinct keys, which sets the
-    number of ranges, then the keys whose hash falls under the share that gives
-    ``SAMPLES_PER_RANGE`` keys per range. Copies of a key hash alike and collapse, so a frequent
-    key does not crowd out the others. Few keys make one range and need no sample.
+    Rows that are equal in ``order`` follow the other columns. Rows equal in all of them are copies:
+    each also carries a number of its own, so that a row with very many copies is cut into ranges
+    like any other. One shuffle and one write; besides, Spark reads ``df`` once for a sample of its keys.
     """
-    spark = df.sparkSession
-    number = F.xxhash64(*order)
-    keys = df.select(*order)
-    distinct = keys.agg(F.approx_count_distinct(number)).first()[0]
-    ranges = max(1, min(ranges or -(-distinct // KEYS_PER_RANGE), MOST_RANGES))
-    if ranges == 1:
-        return 1, None
-
-    share = HASH_SPACE * ranges * SAMPLES_PER_RANGE // max(distinct, 1)
-    sample = keys.where(F.pmod(number, F.lit(HASH_SPACE)) <= share).distinct()
-    sample = sample.agg(F.sort_array(F.collect_list(F.struct(*order))).alias("keys"))
-    stride = F.ceil((F.size("keys") + 1) / F.lit(ranges))
-    points = sample.select(F.filter("keys", lambda _, i: (i + 1) % stride == 0).alias("cuts"))
-    # A bounded array goes through the driver and back as a local relation, types unchanged.
-    return ranges, spark.createDataFrame(points.toArrow(), points.schema)
-
-
-def with_range(df: DataFrame, order: Sequence[str], name: str, ranges: int, cuts: DataFrame) -> DataFrame:
-    """Adds the number of the range of the order key a row falls into, ascending with the order.
-
-    A binary search over the cut points, one generated comparison per halving.
-    """
-    found = df.withColumns({"_cuts": cuts.scalar(), "_key": F.struct(*order), name: F.lit(0)})
-    for bit in reversed(range((ranges - 1).bit_length())):
-        step = 2**bit
-        beyond = F.get("_cuts", F.col(name) + (step - 1)) <= F.col("_key")
-        found = found.withColumn(name, F.col(name) + F.when(beyond, step).otherwise(0))
-    return found.drop("_cuts", "_key")
-
-
-def _before(window: WindowSpec, weight: str | None) -> Column:
-    if weight is None:
-        return F.row_number().over(window) - 1
-    upto = window.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return F.sum(weight).over(upto) - F.col(weight)
+    require(df, order)
+    total = [*order, *[c for c in df.columns if c not in order]]
+    numbered = df.withColumn("_copy", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(shuffle_partitions(df.sparkSession), *total, "_copy")
+    place = F.monotonically_increasing_id()
+    rows = ranged.sortWithinPartitions(*total, "_copy").drop("_copy").withColumn("_number", place)
+    rows = written(rows, "placed")
+    return rows.select(
+        *df.columns,
+        F.shiftright("_number", PLACE_BITS).alias("_range"),
+        F.col("_number").bitwiseAND((1 << PLACE_BITS) - 1).alias("_place"),
+    )
 
 
 def running_weight(
@@ -80,72 +49,49 @@ def running_weight(
     name: str,
     weight: str | None = None,
     within: Sequence[str] = (),
-    ranges: int | None = None,
 ) -> DataFrame:
     """Adds ``name``: the summed weight (or the number) of the rows before a row.
 
-    ``order`` must be a total order. With ``within`` the count restarts for each of its values;
-    those columns must not be null and must lead the order, and take few values.
+    Ties of ``order`` follow the other columns. With ``within``, whose columns must lead the order,
+    the count restarts for each of their values, null being one of them. A null weight adds nothing.
     """
     within = list(within)
-    require(df, order)
     if list(order[: len(within)]) != within:
         raise ValueError("the order must start with the columns of `within`")
-    ranges, cuts = cut_points(df, order, ranges)
-    if ranges == 1:
-        # At most about KEYS_PER_RANGE rows.
-        window = W.partitionBy(*within).orderBy(*order)
-        return df.withColumn(name, _before(window, weight).cast("bigint"))
-
-    cut = with_range(df, order, "_range", ranges, cuts)
-    amount = F.lit(1) if weight is None else F.col(weight)
-    sizes = cut.groupBy(*within, "_range").agg(F.sum(amount).alias("_n"))
-    # One row per range, or per range and value of `within` that meet: a window over these is small.
+    rows = placed(df, order)
+    amount = F.lit(1) if weight is None else F.coalesce(F.col(weight), F.lit(0))
+    # Inside a range a value of `within` is one run of places, and its first one starts at 0.
+    sizes = rows.groupBy(*within, "_range").agg(F.sum(amount).alias("_n"), F.min("_place").alias("_start"))
     ahead = W.partitionBy(*within).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *within, "_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset")
-    )
+    offset = F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset")
+    sizes = sizes.select(*[F.col(c).alias(f"_{c}") for c in within], F.col("_range").alias("_of"), "_start", offset)
 
-    inside = W.partitionBy(*within, "_range").orderBy(*order)
-    numbered = cut.withColumn("_before", _before(inside, weight))
-    numbered = numbered.join(F.broadcast(offsets), [*within, "_range"])
-    position = (F.col("_offset") + F.col("_before")).cast("bigint")
-    return numbered.select(*df.columns, position.alias(name))
+    same = F.col("_range") == F.col("_of")
+    for column in within:
+        same = same & F.col(column).eqNullSafe(F.col(f"_{column}"))
+    if weight is None:
+        before = F.col("_place") - F.col("_start")
+    else:
+        upto = W.partitionBy(*within, "_range").orderBy("_place").rowsBetween(W.unboundedPreceding, -1)
+        rows = rows.withColumn("_before", F.coalesce(F.sum(amount).over(upto), F.lit(0)))
+        before = F.col("_before")
+    position = (F.col("_offset") + before).cast("bigint")
+    return rows.join(sizes, same).select(*df.columns, position.alias(name))
 
 
-def dense_ids(
-    df: DataFrame, order: Sequence[str], name: str, copies: bool = False, start: int = 0
-) -> DataFrame:
+def dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int = 0) -> DataFrame:
     """Ids ``start``, ``start`` + 1, … in the given order, as the leading column.
 
-    Without ``copies`` the order must be total, and ``df`` is computed four times: meant for a
-    scan. With ``copies`` the remaining columns break ties, so only exact copies are
-    interchangeable. Copies are folded into one counted row before they are shuffled, and unfolded
-    in chunks, so a row with very many copies is spread over tasks. The folded rows are written
-    once and numbered from there, so whatever makes ``df`` runs once.
+    Ties follow the other columns, so only exact copies are interchangeable.
     """
-    if not copies:
-        numbered = running_weight(df, order, name)
-        return numbered.select((F.col(name) + start).alias(name), *df.columns)
-
-    total_order = [*order, *[c for c in df.columns if c not in order]]
-    folded = written(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")), "folded")
-    numbered = running_weight(folded, total_order, "_first", weight="_copies")
-
-    few = numbered.where(F.col("_copies") <= COPIES_PER_CHUNK)
-    many = numbered.where(F.col("_copies") > COPIES_PER_CHUNK)
-    last = F.col("_first") + F.col("_copies") - 1
-    chunks = many.withColumn(
-        "_chunk", F.explode(F.sequence(F.col("_first"), last, F.lit(COPIES_PER_CHUNK).cast("bigint")))
-    )
-    chunks = chunks.withColumn("_copies", F.least(last - F.col("_chunk") + 1, F.lit(COPIES_PER_CHUNK)))
-    chunks = chunks.withColumn("_first", F.col("_chunk")).drop("_chunk")
-    chunks = chunks.repartition(shuffle_partitions(df.sparkSession), "_first")
-
-    rows = few.unionByName(chunks)
-    first = F.col("_first") + start
-    ids = F.sequence(first, first + F.col("_copies") - 1)
-    return rows.select(F.explode(ids).alias(name), *df.columns)
+    rows = placed(df, order)
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_range"), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset"))
+    # One row per range, and there are as many ranges as shuffle partitions.
+    numbered = rows.join(F.broadcast(offsets), "_range")
+    position = F.col("_offset") + F.col("_place") + start
+    return numbered.select(position.alias(name), *df.columns)
 
 
 def numbered_union(
@@ -154,4 +100,4 @@ def numbered_union(
     """Union of tagged frames, numbered frame by frame and in ``order`` inside each."""
     ranked = {rank: df.withColumn(label, F.lit(tag)) for rank, (tag, df) in enumerate(frames.items())}
     united = tagged_union(ranked, "_rank")
-    return dense_ids(united, ["_rank", *order], name, copies=True).drop("_rank")
+    return dense_ids(united, ["_rank", *order], name).drop("_rank")

@@ -85,7 +85,7 @@ def clean_institutions(
         .alias("_source"),
     )
     order = ["_source", "name_state", "city", "institution_name", "n_students", "n_employees"]
-    return dense_ids(rows, order, "id_institution", copies=True).select(*STAGING_EDUCATION.names)
+    return dense_ids(rows, order, "id_institution").select(*STAGING_EDUCATION.names)
 
 
 def defaulted_states(df: DataFrame, names: Mapping[str, str] = CODE_TO_NAME) -> DataFrame:

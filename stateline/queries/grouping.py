@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stateline.functions.scalars import ratio, season
-from stateline.operators import aggregate, clean, joins, sets
+from stateline.operators import aggregate, clean, sets
 from stateline.plans.institutions import (
     availability_per_state,
     institutions_per_state,
@@ -20,16 +20,13 @@ from stateline.queries.registry import (
     sql_mean,
     sql_season,
     sql_total,
-    sql_units,
     table,
 )
 
 SHARE_NAMES = {s: f"share_{s.lower()}" for s in SEGMENTS}
 COUNT_NAMES = {s: f"n_{s.lower()}" for s in SEGMENTS}
-BALANCE = sql_units("c_acctbal")
 SHARES_SQL = "select c_nationkey, " + ", ".join(
-    f"cast(sum(case when c_mktsegment = '{s}' then {BALANCE} end) as double) "
-    f"/ cast(sum({BALANCE}) as double) as {name}"
+    f"{sql_total(f"case when c_mktsegment = '{s}' then c_acctbal end")} / {sql_total('c_acctbal')} as {name}"
     for s, name in SHARE_NAMES.items()
 ) + " from customer group by c_nationkey"
 
@@ -47,12 +44,13 @@ def segment_share_pivot(spark, folder):
 
 
 @query(
-    f"""
+    """
     with g as (
-        select c_nationkey, c_mktsegment, cast(sum({BALANCE}) as double) as part
+        select c_nationkey, c_mktsegment, sum(cast(c_acctbal as decimal(28, 2))) as part
         from customer group by all
     )
-    select c_nationkey, c_mktsegment, part / sum(part) over (partition by c_nationkey) as share
+    select c_nationkey, c_mktsegment,
+           cast(part as double) / cast(sum(part) over (partition by c_nationkey) as double) as share
     from g
     """
 )
@@ -74,11 +72,11 @@ def share_sums(spark, folder):
 
 
 @query(
-    f"""
+    """
     select o_orderkey, o_custkey, o_totalprice / customer_total as share from (
         select o_orderkey, o_custkey, o_totalprice,
-               cast(sum({sql_units('o_totalprice')}) over (partition by o_custkey) as double)
-               / cast(100 as double) as customer_total
+               cast(sum(cast(o_totalprice as decimal(28, 2))) over (partition by o_custkey) as double)
+               as customer_total
         from orders
     )
     """
@@ -93,12 +91,12 @@ def row_share(spark, folder):
 
 
 @query(
-    f"""
+    """
     select l_returnflag, l_linestatus,
            cast(count(*) over (partition by l_returnflag, l_linestatus) as double) as flag_rows,
-           {sql_units('l_extendedprice')} as cents, l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           cast(sum({sql_units('l_quantity')}) over (partition by l_returnflag, l_linestatus) as double)
-           / cast(100 as double) as flag_quantity
+           l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+           cast(sum(cast(l_quantity as decimal(28, 2))) over (partition by l_returnflag, l_linestatus)
+                as double) as flag_quantity
     from lineitem
     """
 )
@@ -106,8 +104,7 @@ def row_total_of_large_groups(spark, folder):
     """Six groups hold all rows: every key is hot."""
     lines = table(spark, folder, "lineitem").select(
         "l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        "l_quantity", F.lit(1).alias("one"),
-        F.floor(F.col("l_extendedprice") * 100.0 + 0.5).cast("bigint").alias("cents"),
+        "l_quantity", "l_extendedprice", F.lit(1).alias("one"),
     )
     keys = ["l_returnflag", "l_linestatus"]
     totals = {"flag_quantity": "l_quantity", "flag_rows": "one"}
@@ -205,12 +202,10 @@ def ratio_of_means(spark, folder):
     """
 )
 def group_measures(spark, folder):
-    orders = table(spark, folder, "orders")
-    key = ["o_orderpriority"]
-    spend = aggregate.group_sum(orders, key, "o_totalprice", "spend", scale=2)
-    mean = aggregate.group_mean(orders, key, "o_totalprice", "mean_price", scale=2)
-    count = aggregate.group_count(orders, key, "o_orderkey", "n_orders")
-    return joins.inner_on(joins.inner_on(spend, mean, *key), count, *key)
+    measures = {
+        "spend": ("sum", "o_totalprice"), "mean_price": ("mean", "o_totalprice"), "n_orders": ("count", "o_orderkey"),
+    }
+    return aggregate.group_measures(table(spark, folder, "orders"), ["o_orderpriority"], measures, scale=2)
 
 
 @query("select o_orderpriority, count(o_orderkey) as n_orders from orders group by 1 order by 2 desc, 1")

@@ -28,7 +28,6 @@ from stateline.queries.registry import (
     sql_case,
     sql_mean,
     sql_total,
-    sql_units,
     table,
 )
 from stateline.session import scratch_path, written
@@ -65,10 +64,9 @@ def nation_state(spark, folder, party="supplier", key="s_nationkey"):
 
 
 def _state_sql(party: str, key: str) -> str:
-    balance = sql_units("c_acctbal")
+    whole = sql_total("c_acctbal")
     shares = ", ".join(
-        f"cast(sum(case when c_mktsegment = '{s}' then {balance} end) as double) "
-        f"/ cast(sum({balance}) as double) as {name}"
+        f"{sql_total(f"case when c_mktsegment = '{s}' then c_acctbal end")} / {whole} as {name}"
         for s, name in RACE_NAMES.items()
     )
     means = _seasonal_sql(
@@ -461,7 +459,7 @@ def reported_cases(spark, folder, settled_only):
         cases = cases.where(F.col("hospitalizedCurrently").isNotNull())
     return cases.groupBy("date", "state").agg(
         total(F.col("positive"), 2).alias("positive"),
-        total(F.col("hospitalizedCurrently"), 2).alias("hospitalizedCurrently"),
+        total(F.col("hospitalizedCurrently"), 3).alias("hospitalizedCurrently"),
         F.max("hospitalizedCumulative").alias("hospitalizedCumulative"),
         F.sum("death").alias("death"),
     )
@@ -472,7 +470,7 @@ def reported_cases(spark, folder, settled_only):
     select {NUMBERED}, *, cast({sql_case("name_state", STATE_IDS)} as bigint) as id_state
     from (
         select day_date, name_state, {sql_total('positive')} as positive,
-               coalesce({sql_total('current')}, 0) as hospitalized_curr,
+               coalesce(cast(sum(cast(current as decimal(28, 3))) as double), 0) as hospitalized_curr,
                max(hospitalized_acum) as hospitalized_acum, sum(death) as death
         from (select *, nullif(hospitalized_curr, 0) as current from ({TIDY_CASES_SQL}))
         group by day_date, name_state

@@ -30,7 +30,7 @@ def dense_ids(spark, folder):
 def dense_ids_of_copies(spark, folder):
     """Very few distinct rows: the copies share them."""
     lines = table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity")
-    return ids.dense_ids(lines, ["l_returnflag"], "id", copies=True)
+    return ids.dense_ids(lines, ["l_returnflag"], "id")
 
 
 @query(
@@ -62,3 +62,18 @@ def running_position(spark, folder):
     events = table(spark, folder, "events").select("event_type", "ts", "event_id")
     rows = ids.running_weight(events, ["event_type", "ts", "event_id"], "before", within=["event_type"])
     return rows.drop("ts")
+
+
+@query(
+    """
+    select event_id, kind,
+           cast(row_number() over (partition by kind order by user_id, event_id) - 1 as bigint) as before
+    from (select event_id, user_id, nullif(event_type, (select min(event_type) from events)) as kind from events)
+    """
+)
+def running_position_of_unknown(spark, folder):
+    """The same where one of the groups has no name."""
+    events = table(spark, folder, "events")
+    least = events.agg(F.min("event_type")).scalar()
+    rows = events.select(F.nullif("event_type", least).alias("kind"), "user_id", "event_id")
+    return ids.running_weight(rows, ["kind", "user_id", "event_id"], "before", within=["kind"]).drop("user_id")

@@ -31,12 +31,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def sql_units(value: str) -> str:
-    return f"cast(floor({value} * cast(100 as double) + cast(0.5 as double)) as bigint)"
-
-
 def sql_total(value: str) -> str:
-    return f"(cast(sum({sql_units(value)}) as double) / cast(100 as double))"
+    return f"cast(sum(cast({value} as decimal(28, 2))) as double)"
 
 
 def sql_mean(value: str) -> str:

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
+
+#: Scratch folders made inside ``scratch_deleted``, innermost last.
+_made: list[list[str]] = []
 
 
 def local_session(cpus: str | int = "*", partitions: int = 8, **conf: str) -> SparkSession:
-    """A single-JVM session for tests and benchmarks; clusters bring their own."""
+    """A single-JVM session for tests and benchmarks; clusters bring their own.
+
+    Without a checkpoint folder it gets one of its own, deleted when the process ends.
+    """
+    if CHECKPOINT_DIR not in conf:
+        conf[CHECKPOINT_DIR] = tempfile.mkdtemp(prefix="stateline-")
+        atexit.register(shutil.rmtree, conf[CHECKPOINT_DIR], ignore_errors=True)
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("stateline")
@@ -30,23 +44,55 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder of the session.
-
-    Only a local session may go without that setting: it gets a folder of its own.
-    """
+    """A fresh folder under the shared checkpoint folder of the session, else under its warehouse."""
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="stateline-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_scratch"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _made:
+        _made[-1].append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the scratch folder: what made it runs once, whatever reads it later.
 
-    Lost executors cost a re-read. The folder lives as long as the checkpoint folder does.
+    Lost executors cost a re-read. The folder lives as long as the checkpoint folder does, or as the
+    ``scratch_deleted`` block around the call.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    """The folder for Spark's file systems, and the one it is in."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found, system = _folder(spark, path)
+    return system.exists(found)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if there is no such folder."""
+    found, system = _folder(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(found)] if system.exists(found) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    found, system = _folder(spark, path)
+    system.delete(found, True)
+
+
+@contextmanager
+def scratch_deleted(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the scratch folders made in it: for steps that end in tables of their own."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            delete(spark, path)
