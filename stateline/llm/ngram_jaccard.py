@@ -36,6 +36,8 @@ COUNT_BYTES = 8 << 20
 #: A hash of more groups than this is first compared through hubs.
 FEW = 8
 HUBS = 3
+#: Words of a short signature of one length for all sets, which rules out most pairs of small sets.
+BRIEF = 4
 
 
 def sets(block: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -49,13 +51,13 @@ def set_key(hashes: np.ndarray) -> np.uint64:
     return mix(np.array([mix(hashes).sum(dtype=np.uint64) + np.uint64(len(hashes))]))[0]
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, bits: int | None = None) -> np.ndarray:
     """A bit for each residue of the hashes, odd counts set, in 64-bit words.
 
     As many bits as the set is large, or up to twice that. Two sets differ by at least as many hashes
-    as their signatures differ by bits.
+    as their signatures of equal length differ by bits.
     """
-    bits = max(64, 1 << (len(hashes) - 1).bit_length())
+    bits = bits or max(64, 1 << (len(hashes) - 1).bit_length())
     odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -79,10 +81,22 @@ def _likely(sizes: Column, x: Column, y: Column, percent: int) -> Column:
 
     With a difference d, 2 * intersection = sizes - d and 2 * union = sizes + d.
     """
-    d = least_difference(x, y)
+    return _allowed(sizes, least_difference(x, y), percent)
+
+
+def _allowed(sizes: Column, d: Column, percent: int) -> Column:
     return (sizes - d) * 100 >= (sizes + d) * percent
 
 
+def _briefly(sizes: Column, percent: int) -> Column:
+    """The same by the short signatures ``brief`` of ``a`` and ``b``: cheap enough for each pair of a hash."""
+    words = [(F.col(f"a.brief{i}"), F.col(f"b.brief{i}")) for i in range(BRIEF)]
+    d = F.lit(0)
+    for x, y in words:
+        d = d + F.bit_count(x.bitwiseXOR(y))
+    return _allowed(sizes, d, percent)
+
+
 class Order:
     """The order of all hashes: most of them by value, then the frequent ones by how many have them."""
 
@@ -135,7 +149,7 @@ def frequent_hashes(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """Per row: ``id``, ``size`` of its set, ``cls`` (hash of the set), ``grp`` (of prefix and size), ``prefix``, ``sig``.
+    """Per row: ``id``, ``size`` of its set, ``cls`` (hash of the set), ``grp`` (of prefix and size), ``prefix``, ``sig``, ``brief``.
 
     In a block only the first row of a group carries the prefix.
     """
@@ -144,11 +158,12 @@ def sketches(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Dat
 
     def sketch(batches):
         for block in blocks(batches, "text"):
-            sizes, classes, groups, prefixes, marks, seen = [], [], [], [], [], set()
+            sizes, classes, groups, prefixes, marks, briefs, seen = [], [], [], [], [], [], set()
             for _, hashes in sets(block, n):
                 sizes.append(len(hashes))
                 classes.append(set_key(hashes))
                 marks.append(signature(hashes) if len(hashes) else np.empty(0, np.int64))
+                briefs.append(signature(hashes, 64 * BRIEF))
                 first = order.value.prefix(hashes, probe_length(len(hashes), percent)) if len(hashes) else hashes
                 group = mix(np.array([set_key(first) + np.uint64(len(hashes))]))[0]
                 groups.append(group)
@@ -163,11 +178,12 @@ def sketches(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Dat
                     pa.array(signed(np.array(groups, np.uint64))),
                     lists(values, np.array([len(p) for p in prefixes])),
                     lists(np.concatenate(marks), np.array([len(m) for m in marks])),
+                    lists(np.concatenate(briefs), np.full(len(briefs), BRIEF)),
                 ],
-                ["id", "size", "cls", "grp", "prefix", "sig"],
+                ["id", "size", "cls", "grp", "prefix", "sig", "brief"],
             )
 
-    return docs.mapInArrow(sketch, f"id {kind}, size int, cls bigint, grp bigint, prefix array<bigint>, sig array<bigint>")
+    return docs.mapInArrow(sketch, f"id {kind}, size int, cls bigint, grp bigint, prefix array<bigint>, sig array<bigint>, brief array<bigint>")
 
 
 def shared_postings(sketched: DataFrame, percent: int) -> DataFrame:
@@ -318,15 +334,17 @@ def open_pairs(postings: DataFrame, counts: DataFrame, members: DataFrame, found
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("classes"))
     rows = postings.join(counts, "hash").join(sizes, "grp")
     partly = rows.groupBy("hash").agg(F.max((F.col("n") > FEW) | (F.col("classes") > 1)).alias("partly")).where("partly").select("hash")
-    rows = postings.join(partly, "hash").join(members.select("grp", "cls", "sig"), "grp").select("hash", "cls", "size", "inner", "sig")
+    rows = postings.join(partly, "hash").join(members.select("grp", "cls", "sig", "brief"), "grp").select("hash", "cls", "size", "inner", "sig", "brief")
     crowded = sizes.where(F.col("classes") > 1).select("grp")
-    alone = members.join(crowded, "grp").select(F.col("grp").alias("hash"), "cls", "size", F.lit(True).alias("inner"), "sig")
+    alone = members.join(crowded, "grp").select(F.col("grp").alias("hash"), "cls", "size", F.lit(True).alias("inner"), "sig", "brief")
     rows = rows.unionByName(alone).join(found, F.col("cls") == F.col("vertex"), "left")
-    rows = rows.select("hash", "cls", "size", "inner", "sig", F.coalesce("component", "cls").alias("component"))
+    briefs = [F.col("brief")[i].alias(f"brief{i}") for i in range(BRIEF)]
+    rows = rows.select("hash", "cls", "size", "inner", "sig", *briefs, F.coalesce("component", "cls").alias("component"))
     apart = rows.groupBy("hash").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     rows = rows.join(apart.where(F.col("least") < F.col("most")).select("hash"), "hash")
     same = (F.col("a.hash") == F.col("b.hash")) & (F.col("a.component") < F.col("b.component"))
-    open_ = _likely(F.col("a.size") + F.col("b.size"), F.col("a.sig"), F.col("b.sig"), percent)
+    sizes = F.col("a.size") + F.col("b.size")
+    open_ = _briefly(sizes, percent) & _likely(sizes, F.col("a.sig"), F.col("b.sig"), percent)
     pairs = rows.alias("a").join(rows.alias("b"), same & _possible(percent) & open_)
     return pairs.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()
 
@@ -344,7 +362,7 @@ def ngram_jaccard(docs: DataFrame, id: str = "doc_id", text: str = "text", n: in
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     sketched = landed(sketches(docs, n, percent, frequent_hashes(docs, n)), "sketches")
     same = sketched.where(F.col("size") > 0).groupBy("cls", "grp", "size")
-    members = landed(same.agg(F.min("id").alias("id"), F.first("sig").alias("sig")), "classes")
+    members = landed(same.agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("brief").alias("brief")), "classes")
     postings = landed(shared_postings(sketched, percent), "postings")
     counts = postings.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
 
