@@ -35,17 +35,24 @@ def lookup_join(
     default=None,
     strict: bool = False,
 ) -> DataFrame:
-    """Adds ``value`` of the dictionary table ``dim``, whose ``dim_key`` is unique.
+    """Adds ``value`` of the dictionary table ``dim``, whose ``dim_key`` must be unique.
 
-    With ``strict`` an unknown key fails the job; otherwise it gets ``default``.
+    A key that the dictionary has twice fails the job; rows are never multiplied. With ``strict`` an
+    unknown key fails it, too; otherwise it gets ``default``. A known key keeps its value, also null.
     """
-    entries = dim.select(F.col(dim_key).alias("_key"), F.col(value).alias("_value"))
+    entries = dim.where(F.col(dim_key).isNotNull()).groupBy(F.col(dim_key).alias("_key"))
+    twice = F.raise_error(F.concat(F.lit(f"{dim_key} is not unique: "), F.col("_key").cast("string")))
+    kind = dim.schema[value].dataType
+    entries = entries.agg(F.count(F.lit(1)).alias("_n"), F.first(value).alias("_value")).select(
+        "_key", F.when(F.col("_n") > 1, twice.cast(kind)).otherwise(F.col("_value")).alias("_value")
+    )
     joined = df.join(entries, F.col(key) == F.col("_key"), "left")
     if strict:
         text = F.concat(F.lit(f"unknown {key}: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
-        found = F.when(F.col("_key").isNull(), F.raise_error(text)).otherwise(F.col("_value"))
+        unknown = F.raise_error(text)
     else:
-        found = F.coalesce(F.col("_value"), F.lit(default))
+        unknown = F.lit(default)
+    found = F.when(F.col("_key").isNull(), unknown).otherwise(F.col("_value"))
     return joined.select(*[F.col(n) for n in df.columns if n != value], found.alias(value))
 
 

@@ -88,21 +88,28 @@ def check_references(fact: DataFrame, table: str, dim: DataFrame, *keys: str) ->
     return _report(table, counts, {"n": ("foreign_key", ",".join(keys))})
 
 
-def check_shares(df: DataFrame, table: str, shares: Sequence[str], tolerance: float = 1e-9) -> DataFrame:
-    """Shares add to 1 in every row that has any of them."""
+def shares_off(shares: Sequence[str], tolerance: float = 1e-9) -> dict[str, Column]:
+    """The rule that shares add to 1 in every row that has any of them, for ``extra`` of ``check_rows``."""
     whole = reduce(lambda a, b: a + b, [F.coalesce(F.col(s), F.lit(0.0)) for s in shares])
     present = F.coalesce(*[F.col(s) for s in shares]).isNotNull()
-    off = present & (F.abs(whole - 1) > tolerance)
-    return check_rows(df, table, extra={"shares_sum_to_1": off})
+    return {"shares_sum_to_1": present & (F.abs(whole - 1) > tolerance)}
+
+
+def mean_outside(mean: str, parts: Sequence[str], tolerance: float = 1e-9) -> dict[str, Column]:
+    """The rule that an overall mean lies between the least and the greatest mean of its parts."""
+    low, high = (f(*[F.col(p) for p in parts]) for f in (F.least, F.greatest))
+    off = (F.col(mean) < low - tolerance) | (F.col(mean) > high + tolerance)
+    return {f"{mean}_between_parts": off}
+
+
+def check_shares(df: DataFrame, table: str, shares: Sequence[str], tolerance: float = 1e-9) -> DataFrame:
+    return check_rows(df, table, extra=shares_off(shares, tolerance))
 
 
 def check_mean_between(
     df: DataFrame, table: str, mean: str, parts: Sequence[str], tolerance: float = 1e-9
 ) -> DataFrame:
-    """An overall mean lies between the least and the greatest mean of its parts."""
-    low, high = (f(*[F.col(p) for p in parts]) for f in (F.least, F.greatest))
-    off = (F.col(mean) < low - tolerance) | (F.col(mean) > high + tolerance)
-    return check_rows(df, table, extra={f"{mean}_between_parts": off})
+    return check_rows(df, table, extra=mean_outside(mean, parts, tolerance))
 
 
 def all_checks(*reports: DataFrame) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,9 +14,10 @@ from stateline.plans.cases import build_covid, clean_daily_cases
 from stateline.plans.demographics import state_shares
 from stateline.plans.institutions import build_education, clean_institutions
 from stateline.plans.temperatures import seasonal_means
+from stateline.session import delete, scratch_deleted
 from stateline.sources.manifest import STATE, TABLES
 from stateline.sources.readers import read_raw
-from stateline.sources.sinks import replace_table
+from stateline.sources.sinks import prepare_table, publish_tables
 
 SHARES = ("american_native", "asian", "african_american", "hispanic", "white")
 SEASON_MEANS = ("avg_autumn_temp", "avg_spring_temp", "avg_summer_temp", "avg_winter_temp")
@@ -41,78 +42,125 @@ def build_state(demographic: DataFrame, temperature: DataFrame, how: str = "inne
 
 
 def model_checks(state: DataFrame, education: DataFrame, covid: DataFrame) -> DataFrame:
-    """All rules of the model as one report, one scan per table and key."""
+    """All rules of the model as one report: one scan for a table's row rules, one for each key."""
     return quality.all_checks(
         quality.check_rows(education, "education", ["id_institution"], ["n_students"]),
-        quality.check_rows(state, "state", ["id_state"]),
+        quality.check_rows(
+            state,
+            "state",
+            ["id_state"],
+            extra=quality.shares_off(SHARES) | quality.mean_outside("avg_temp", SEASON_MEANS),
+        ),
         quality.check_rows(covid, "covid", ["id_covid_data"]),
         quality.check_unique(education, "education", "id_institution"),
         quality.check_unique(state, "state", "id_state"),
         quality.check_unique(covid, "covid", "id_covid_data"),
         quality.check_references(education, "education", state, "id_state"),
         quality.check_references(covid, "covid", state, "id_state"),
-        quality.check_shares(state, "state", SHARES),
-        quality.check_mean_between(state, "state", "avg_temp", SEASON_MEANS),
     )
 
 
+#: Decimals of the raw amounts; sums of them do not depend on how rows are spread.
+DECIMALS = {"people": 0, "staff": 2, "temperature": 3}
+
+Tables = dict[str, Callable[[], DataFrame]]
+
+
 @dataclass(frozen=True)
 class Run:
-    """Where a run reads and writes: the raw folder and a table prefix such as ``db.``."""
+    """Where a run reads and writes: the raw folder and a table prefix such as ``db.``.
+
+    ``decimals`` are those of the raw amounts (None adds doubles), ``reader_options`` go to the readers
+    of the raw data sets, by name, ``plan_options`` to the cleaning plans, by staging table.
+    """
 
     spark: SparkSession
     root: str
     prefix: str = ""
+    decimals: Mapping[str, int | None] = field(default_factory=lambda: dict(DECIMALS))
+    reader_options: Mapping[str, Mapping] = field(default_factory=dict)
+    plan_options: Mapping[str, Mapping] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self.prefix + name)
 
     def raw(self, name: str) -> DataFrame:
-        return read_raw(self.spark, self.root, name)
+        return read_raw(self.spark, self.root, name, **self.reader_options.get(name, {}))
+
+    def staging(self) -> Tables:
+        raw, exact = self.raw, self.decimals.get
+
+        def options(name: str) -> Mapping:
+            return self.plan_options.get(name, {})
+
+        return {
+            "staging_demographic": lambda: state_shares(
+                raw("cities"), raw("population"), scale=exact("people"), **options("staging_demographic")
+            ),
+            "staging_education": lambda: clean_institutions(
+                raw("public_schools"), raw("private_schools"), raw("colleges"), scale=exact("staff"),
+                **options("staging_education"),
+            ),
+            "staging_temperature": lambda: seasonal_means(
+                raw("temperatures"), scale=exact("temperature"), **options("staging_temperature")
+            ),
+            "staging_covid": lambda: clean_daily_cases(raw("daily_cases"), **options("staging_covid")),
+        }
 
-    def refresh(self, tables: dict[str, Callable[[], DataFrame]]) -> None:
-        """Rewrites independent tables at the same time: Spark runs jobs of several threads."""
+    def model(self, table: Callable[[str], DataFrame]) -> Tables:
+        return {
+            "state": lambda: build_state(table("staging_demographic"), table("staging_temperature")),
+            "education": lambda: build_education(table("staging_education")),
+            "covid": lambda: build_covid(table("staging_covid")),
+        }
+
+    def prepare(self, tables: Tables) -> dict[str, str]:
+        """Next versions of independent tables, written at the same time: name to folder."""
 
-        def write(name: str) -> None:
-            replace_table(tables[name](), self.prefix + name, TABLES[name])
+        def write(name: str) -> str:
+            return prepare_table(tables[name](), self.prefix + name, TABLES[name])
 
         with ThreadPoolExecutor(len(tables)) as pool:
-            list(pool.map(write, tables))
+            return dict(zip(tables, pool.map(write, tables), strict=True))
+
+    def publish(self, folders: Mapping[str, str]) -> None:
+        publish_tables(self.spark, {self.prefix + name: folder for name, folder in folders.items()})
 
     def stage(self) -> None:
-        raw = self.raw
-        self.refresh(
-            {
-                "staging_demographic": lambda: state_shares(raw("cities"), raw("population")),
-                "staging_education": lambda: clean_institutions(
-                    raw("public_schools"), raw("private_schools"), raw("colleges")
-                ),
-                "staging_temperature": lambda: seasonal_means(raw("temperatures")),
-                "staging_covid": lambda: clean_daily_cases(raw("daily_cases")),
-            }
-        )
+        with scratch_deleted(self.spark):
+            self.publish(self.prepare(self.staging()))
 
     def build(self) -> None:
-        table = self.table
-        self.refresh(
-            {
-                "state": lambda: build_state(table("staging_demographic"), table("staging_temperature")),
-                "education": lambda: build_education(table("staging_education")),
-                "covid": lambda: build_covid(table("staging_covid")),
-            }
-        )
+        with scratch_deleted(self.spark):
+            self.publish(self.prepare(self.model(self.table)))
 
     def check(self) -> DataFrame:
         return model_checks(self.table("state"), self.table("education"), self.table("covid"))
 
+    def everything(self) -> list:
+        """Clean → stage → build → check → publish; raises ``QualityError`` before anything is published."""
+        folders: dict[str, str] = {}
+
+        def prepared(name: str) -> DataFrame:
+            return self.spark.read.schema(TABLES[name]).parquet(folders[name])
+
+        try:
+            with scratch_deleted(self.spark):
+                folders |= self.prepare(self.staging())
+                folders |= self.prepare(self.model(prepared))
+                report = quality.enforce(model_checks(*map(prepared, ("state", "education", "covid"))))
+        except BaseException:
+            for folder in folders.values():
+                delete(self.spark, folder)
+            raise
+        self.publish(folders)
+        return report
+
 
-def run_all(spark: SparkSession, root: str, prefix: str = "") -> list:
-    """Clean → stage → build → check. Raises ``QualityError`` when a rule is broken.
+def run_all(spark: SparkSession, root: str, prefix: str = "", **options) -> list:
+    """Clean → stage → build → check → publish. Raises ``QualityError`` when a rule is broken.
 
-    Each stage ends in written tables, so a lost executor costs a retry of a task, and a failed
-    run leaves the tables of the run before.
+    Each step ends in written folders, so a lost executor costs a retry of a task. The tables change
+    only after all checks of the new rows have passed: a failed run leaves those of the run before.
     """
-    run = Run(spark, root, prefix)
-    run.stage()
-    run.build()
-    return quality.enforce(run.check())
+    return Run(spark, root, prefix, **options).everything()

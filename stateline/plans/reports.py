@@ -1,6 +1,7 @@
 """Reports on the model (BQ-1…6).
 
-Each side is grouped to its state before the two facts meet, so no join multiplies rows.
+Each side is grouped to its state before the two facts meet, so no join multiplies rows. The counted
+side keeps all its rows: what the other side does not know is null, and counts still add up.
 """
 
 from __future__ import annotations
@@ -62,8 +63,8 @@ def state_growth(growth: DataFrame) -> DataFrame:
 
 
 def _weighted_growth(groups: DataFrame, per_state: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mean of state growth over institutions, from counts per state."""
-    joined = groups.join(per_state, "id_state")
+    """Mean of state growth over institutions, from counts per state; states without growth only count."""
+    joined = groups.join(per_state, "id_state", "left")
     known = F.when(F.col("mean_growth").isNotNull(), F.col("n_institutions"))
     return joined.groupBy(*keys).agg(
         F.sum("n_institutions").alias("n_institutions"),
@@ -89,7 +90,7 @@ def availability_mix(
         for kind, name in kinds.items()
     ]
     mix = education.groupBy("id_state").agg(F.count(F.lit(1)).alias("n_institutions"), *shares)
-    return mix.join(per_state, "id_state")
+    return mix.join(per_state, "id_state", "left")
 
 
 def bucket_start(value: Column, width: float) -> Column:
@@ -106,15 +107,21 @@ def growth_by_staff(education: DataFrame, per_state: DataFrame, width: float) ->
 
 
 def growth_by_season(growth: DataFrame, state: DataFrame) -> DataFrame:
-    """BQ-3: new positives per season beside that season's mean temperature, and how they relate."""
+    """BQ-3: new positives per season beside that season's mean temperature, and how they relate.
+
+    Days of states without a known temperature count in ``n_days`` and ``mean_new_positive``;
+    ``n_known`` says how many days the other two measures rest on.
+    """
     temperature = F.coalesce(
         *[F.when(F.col("season") == s, F.col(f"avg_{s}_temp")) for s in SEASONS]
     )
     seasons = growth.withColumn("season", season(F.col("day_date")))
     dims = state.select("id_state", *[f"avg_{s}_temp" for s in SEASONS])
-    rows = seasons.join(dims, "id_state").withColumn("temperature", temperature)
+    rows = seasons.join(dims, "id_state", "left").withColumn("temperature", temperature)
+    known = F.when(F.col("temperature").isNotNull(), F.col("new_positive"))
     return rows.groupBy("season").agg(
         F.count("new_positive").alias("n_days"),
+        F.count(known).alias("n_known"),
         F.avg("new_positive").alias("mean_new_positive"),
         F.avg(F.when(F.col("new_positive").isNotNull(), F.col("temperature"))).alias("mean_temp"),
         correlation(F.col("temperature"), F.col("new_positive")).alias("correlation"),
@@ -122,9 +129,9 @@ def growth_by_season(growth: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def growth_by_temperature(per_state: DataFrame, state: DataFrame, width: float) -> DataFrame:
-    """BQ-4: growth by overall mean temperature, in steps of ``width``."""
+    """BQ-4: growth by overall mean temperature, in steps of ``width``; null where it is not known."""
     rows = state.select("id_state", bucket_start(F.col("avg_temp"), width).alias("temp_from"))
-    return rows.join(per_state, "id_state").groupBy("temp_from").agg(
+    return per_state.join(rows, "id_state", "left").groupBy("temp_from").agg(
         F.count("mean_growth").alias("n_states"), F.avg("mean_growth").alias("mean_growth")
     )
 
@@ -132,32 +139,36 @@ def growth_by_temperature(per_state: DataFrame, state: DataFrame, width: float)
 def state_rates(
     covid: DataFrame, state: DataFrame, cumulative: bool = True, scale: int | None = None
 ) -> DataFrame:
-    """Positives and deaths per inhabitant over the whole period."""
+    """Positives and deaths per inhabitant over the whole period; null for a state of unknown population."""
     if cumulative:
         days = daily_counts(covid, scale)
         counts = days.groupBy("id_state").agg(*[F.max(c).alias(c) for c in COUNTS])
     else:
         counts = covid.groupBy("id_state").agg(*[total(F.col(c), scale).alias(c) for c in COUNTS])
     people = F.col("total_population").cast("double")
-    return counts.join(state, "id_state").select(
+    return counts.join(state, "id_state", "left").select(
         "id_state", *SHARES, *[ratio(F.col(c), people).alias(f"{c}_rate") for c in COUNTS]
     )
 
 
 def rate_by_share(rates: DataFrame) -> DataFrame:
-    """BQ-5: how the share of each race relates to the positive and the death rate."""
+    """BQ-5: how the share of each race relates to the positive and the death rate.
+
+    ``n_states`` counts states with both a share and a rate, ``n_reported`` all with cases.
+    """
     rows = unpivot(rates, {s: {"share": F.col(s)} for s in SHARES}, "race", ["positive_rate", "death_rate"])
     return rows.groupBy("race").agg(
-        F.count("share").alias("n_states"),
+        F.count(F.lit(1)).alias("n_reported"),
+        F.count(F.when(F.col("positive_rate").isNotNull(), F.col("share"))).alias("n_states"),
         correlation(F.col("share"), F.col("positive_rate")).alias("positive_correlation"),
         correlation(F.col("share"), F.col("death_rate")).alias("death_correlation"),
     )
 
 
 def rate_by_population(covid: DataFrame, state: DataFrame, scale: int | None = None) -> DataFrame:
-    """BQ-6: positives per inhabitant by state and day."""
+    """BQ-6: positives per inhabitant by state and day; null for a state of unknown population."""
     people = state.select("id_state", "name_state", "total_population")
-    return daily_counts(covid, scale).join(people, "id_state").select(
+    return daily_counts(covid, scale).join(people, "id_state", "left").select(
         "id_state",
         "name_state",
         "day_date",

@@ -317,33 +317,45 @@ def daily_growth_of_new_counts(spark, folder):
     return reports.daily_growth(case_table(spark, folder), cumulative=False, scale=2)
 
 
-WEIGHTED = "round(sum(mean_growth * n) / sum(n), 8) as mean_growth"
+WEIGHTED = "round(sum(mean_growth * n) / sum(n) filter (where mean_growth is not null), 8) as mean_growth"
+
+#: On purpose one side of each report lacks some nations: what is counted must stay.
+MISSING = 5
+FEWER_GROWTH_SQL = f"select * from ({STATE_GROWTH_SQL}) where id_state >= {MISSING}"
+FEWER_STATES_SQL = f"select * from ({STATE_SQL}) where id_state >= {MISSING}"
+
+
+def fewer(df):
+    """The side of a report that knows less."""
+    return df.where(F.col("id_state") >= MISSING)
 
 
 @query(
     f"""
     select availability, cast(sum(n) as bigint) as n_institutions, {WEIGHTED}
     from (select id_state, availability, count(*) as n from ({INSTITUTIONS_SQL}) group by all)
-    join ({STATE_GROWTH_SQL}) using (id_state) group by availability
+    left join ({FEWER_GROWTH_SQL}) using (id_state) group by availability
     """
 )
 def growth_by_type(spark, folder):
-    result = reports.growth_by_availability(institutions(spark, folder), state_growth(spark, folder))
+    result = reports.growth_by_availability(institutions(spark, folder), fewer(state_growth(spark, folder)))
     return _round(result, 8, "mean_growth")
 
 
+KINDS = {s: s.lower() for s in SEGMENTS}
+
+
 @query(
     f"""
     select id_state, count(*) as n_institutions,
-           cast(count(*) filter (where availability = 'BUILDING') as double) / count(*) as building,
-           cast(count(*) filter (where availability = 'MACHINERY') as double) / count(*) as machinery,
+           {", ".join(f"cast(count(*) filter (where availability = '{k}') as double) / count(*) as {n}"
+                      for k, n in KINDS.items())},
            round(any_value(mean_growth), 8) as mean_growth
-    from ({INSTITUTIONS_SQL}) join ({STATE_GROWTH_SQL}) using (id_state) group by id_state
+    from ({INSTITUTIONS_SQL}) left join ({FEWER_GROWTH_SQL}) using (id_state) group by id_state
     """
 )
 def type_mix_and_growth(spark, folder):
-    kinds = {"BUILDING": "building", "MACHINERY": "machinery"}
-    mix = reports.availability_mix(institutions(spark, folder), state_growth(spark, folder), kinds)
+    mix = reports.availability_mix(institutions(spark, folder), fewer(state_growth(spark, folder)), KINDS)
     return _round(mix, 8, "mean_growth")
 
 
@@ -352,17 +364,18 @@ def type_mix_and_growth(spark, folder):
     select availability, employees_from, cast(sum(n) as bigint) as n_institutions, {WEIGHTED}
     from (select id_state, availability, floor(n_employees / 20) * 20 as employees_from, count(*) as n
           from ({INSTITUTIONS_SQL}) group by all)
-    join ({STATE_GROWTH_SQL}) using (id_state) group by availability, employees_from
+    left join ({FEWER_GROWTH_SQL}) using (id_state) group by availability, employees_from
     """
 )
 def by_staff_and_type(spark, folder):
-    result = reports.growth_by_staff(institutions(spark, folder), state_growth(spark, folder), 20)
+    result = reports.growth_by_staff(institutions(spark, folder), fewer(state_growth(spark, folder)), 20)
     return _round(result, 8, "mean_growth")
 
 
 @query(
     f"""
-    select season, count(new_positive) as n_days, round(avg(new_positive), 4) as mean_new_positive,
+    select season, count(new_positive) as n_days,
+           count(case when temperature is not null then new_positive end) as n_known, round(avg(new_positive), 4) as mean_new_positive,
            round(avg(case when new_positive is not null then temperature end), 4) as mean_temp,
            round(corr(temperature, new_positive), 8) as correlation
     from (
@@ -372,13 +385,13 @@ def by_staff_and_type(spark, folder):
         from (select *, case when month(day_date) <= 3 then 'winter' when month(day_date) <= 6 then 'spring'
                              when month(day_date) <= 9 then 'summer' else 'autumn' end as season
               from ({GROWTH_SQL}))
-        join ({STATE_SQL}) using (id_state)
+        left join ({FEWER_STATES_SQL}) using (id_state)
     )
     group by season
     """
 )
 def by_season(spark, folder):
-    result = reports.growth_by_season(growth_rows(spark, folder), state_table(spark, folder))
+    result = reports.growth_by_season(growth_rows(spark, folder), fewer(state_table(spark, folder)))
     result = _round(result, 4, "mean_new_positive", "mean_temp")
     return _round(result, 8, "correlation")
 
@@ -386,27 +399,28 @@ def by_season(spark, folder):
 @query(
     f"""
     select temp_from, count(mean_growth) as n_states, round(avg(mean_growth), 8) as mean_growth
-    from (select id_state, floor(avg_temp / 1000) * 1000 as temp_from from ({STATE_SQL}))
-    join ({STATE_GROWTH_SQL}) using (id_state) group by temp_from
+    from ({STATE_GROWTH_SQL})
+    left join (select id_state, floor(avg_temp / 1000) * 1000 as temp_from from ({FEWER_STATES_SQL}))
+    using (id_state) group by temp_from
     """
 )
 def mean_by_bucket(spark, folder):
-    result = reports.growth_by_temperature(state_growth(spark, folder), state_table(spark, folder), 1000)
+    result = reports.growth_by_temperature(state_growth(spark, folder), fewer(state_table(spark, folder)), 1000)
     return _round(result, 8, "mean_growth")
 
 
 @query(
     "with counts as (select id_state, max(positive) as positive, max(death) as death"
     f" from ({DAYS_SQL}) group by id_state), rates as (select *, positive / total_population as p,"
-    f" death / total_population as d from counts join ({STATE_SQL}) using (id_state)) "
+    f" death / total_population as d from counts left join ({FEWER_STATES_SQL}) using (id_state)) "
     + " union all ".join(
-        f"select '{s}' as race, count({s}) as n_states, round(corr({s}, p), 8) as positive_correlation,"
+        f"select '{s}' as race, count(*) as n_reported, count({s}) as n_states, round(corr({s}, p), 8) as positive_correlation,"
         f" round(corr({s}, d), 8) as death_correlation from rates"
         for s in SHARES
     )
 )
 def rate_by_share(spark, folder):
-    rates = reports.state_rates(case_table(spark, folder), state_table(spark, folder), scale=2)
+    rates = reports.state_rates(case_table(spark, folder), fewer(state_table(spark, folder)), scale=2)
     return _round(reports.rate_by_share(rates), 8, "positive_correlation", "death_correlation")
 
 
@@ -414,11 +428,11 @@ def rate_by_share(spark, folder):
     f"""
     select id_state, name_state, day_date, positive, total_population,
            positive / cast(total_population as double) as positive_rate
-    from ({DAYS_SQL}) join ({STATE_SQL}) using (id_state)
+    from ({DAYS_SQL}) left join ({FEWER_STATES_SQL}) using (id_state)
     """
 )
 def rate_by_population(spark, folder):
-    return reports.rate_by_population(case_table(spark, folder), state_table(spark, folder), scale=2)
+    return reports.rate_by_population(case_table(spark, folder), fewer(state_table(spark, folder)), scale=2)
 
 
 @query(

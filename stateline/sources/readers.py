@@ -17,7 +17,14 @@ NULL_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 BAD_COLUMNS = "_bad_columns"
-CSV_OPTIONS = {"header": True, "escape": '"'}
+#: What ``_bad_columns`` calls cells beyond the last column.
+SURPLUS = "_surplus"
+# Without pruning every line is parsed whole, or its number of cells would not be known.
+CSV_OPTIONS = {"header": True, "escape": '"', "columnNameOfCorruptRecord": "_line", "columnPruning": False}
+#: The text of a line whose number of cells is not that of the columns.
+LINE = T.StructField("_line", T.StringType())
+#: A line is looked through for so many cells beyond the last column.
+SURPLUS_CELLS = 64
 
 
 def csv_header(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
@@ -34,6 +41,27 @@ def cell(name: str) -> Column:
     return F.when(~F.col(name).isin(*NULL_TEXTS), F.col(name))
 
 
+def too_long(columns: int, sep: str = ",") -> Column:
+    """Whether a line has more cells than columns, and any of the first few of them holds something.
+
+    Only lines with a wrong number of cells are looked at again: shorter ones are padded with null.
+    """
+    names = [f"c{i}" for i in range(columns + SURPLUS_CELLS)]
+    kinds = ", ".join(f"{name} string" for name in names)
+    cells = F.from_csv(F.col(LINE.name), kinds, {"sep": sep, "escape": '"', "multiLine": "true"})
+    found = F.coalesce(*[cells[name] for name in names[columns:]])
+    return F.when(F.col(LINE.name).isNotNull(), F.coalesce(found, F.lit("")) != "").otherwise(F.lit(False))
+
+
+def refusing_long(lines: DataFrame, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """``lines`` without ``_line``; one with too many cells fails the job, whatever columns are used."""
+    # Spark wants a column besides the line to be used.
+    first = F.coalesce(F.col(schema.names[0]), F.lit(""))
+    text = F.concat(F.lit(f"more than {len(schema)} cells: "), F.col(LINE.name), F.lit(", beginning with "), first)
+    fits = F.when(too_long(len(schema), sep), F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    return lines.where(fits).drop(LINE.name)
+
+
 def typed(lines: DataFrame, schema: T.StructType, carry: Sequence[str] = ()) -> DataFrame:
     """Text columns as those of ``schema``; a value of the wrong type fails the job."""
     return lines.select(*carry, *[cell(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -46,20 +74,24 @@ def read_csv(
     lenient: bool = False,
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header, columns found by name; columns outside ``schema`` are not parsed.
+    """CSV with a header, columns found by name.
 
-    A value of the wrong type fails the job. With ``lenient`` it is null and ``_bad_columns``
-    names its column, so that it can be counted. Files whose headers differ are refused. Quoted
-    line breaks need ``multi_line``, which gives up splitting the file.
+    A value of the wrong type fails the job, and so does a line with more cells than the header. With
+    ``lenient`` such values are null and ``_bad_columns`` names their columns, ``_surplus`` standing
+    for the cells beyond the header, so that they can be counted. Shorter lines are padded with null.
+    Files whose headers differ are refused. Quoted line breaks need ``multi_line``, which gives up
+    splitting the file.
     """
-    reader = spark.read.schema(csv_header(spark, path, schema)).options(
+    header = csv_header(spark, path, schema)
+    reader = spark.read.schema(T.StructType([*header.fields, LINE])).options(
         enforceSchema=False, multiLine=multi_line, **CSV_OPTIONS
     )
     lines = reader.csv(path)
     if not lenient:
-        return typed(lines, schema)
+        return typed(refusing_long(lines, header), schema)
     parsed = {f.name: cell(f.name).try_cast(f.dataType) for f in schema.fields}
     bad = [F.when(cell(n).isNotNull() & parsed[n].isNull(), F.lit(n)) for n in schema.names]
+    bad.append(F.when(too_long(len(header)), F.lit(SURPLUS)))
     return lines.select(
         *[value.alias(name) for name, value in parsed.items()],
         F.array_compact(F.array(*bad)).alias(BAD_COLUMNS),
@@ -75,11 +107,12 @@ def stage_csv(
 ) -> DataFrame:
     """Positional load of a CSV with one header line.
 
-    Short lines are padded with null, blank and empty cells become null, and the casts are strict.
-    ``cut_text`` limits the length of text cells.
+    Short lines are padded with null, blank and empty cells become null, and the casts are strict. A
+    line with more cells than ``schema`` fails the job. ``cut_text`` limits the length of text cells.
     """
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    lines = spark.read.schema(raw).options(sep=sep, **CSV_OPTIONS).csv(path)
+    reader = spark.read.schema(T.StructType([*raw.fields, LINE])).options(sep=sep, **CSV_OPTIONS)
+    lines = refusing_long(reader.csv(path), raw, sep)
 
     def staged(field: T.StructField) -> Column:
         value = blank_to_null(F.col(field.name))
@@ -151,7 +184,7 @@ READERS = {
 }
 
 
-def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A raw data set by its name in the manifest."""
+def read_raw(spark: SparkSession, root: str, name: str, **options) -> DataFrame:
+    """A raw data set by its name in the manifest. ``options`` go to its reader (``lines``, ``multi_line`` …)."""
     raw = RAW[name]
-    return READERS[raw.kind](spark, f"{root.rstrip('/')}/{raw.path}", raw.schema)
+    return READERS[raw.kind](spark, f"{root.rstrip('/')}/{raw.path}", raw.schema, **options)

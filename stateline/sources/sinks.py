@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stateline.operators.columns import require
+from stateline.session import delete
 from stateline.sources.manifest import TABLES
 from stateline.sources.readers import CSV_OPTIONS
 
 
+#: Between the place of a table and the name of a version.
+VERSION_MARK = "__v_"
+
+
 def write_csv(df: DataFrame, path: str, schema: T.StructType) -> None:
     """Header and columns in the order of the staging table."""
     require(df, schema.names)
@@ -44,14 +50,51 @@ def load_table(df: DataFrame, table: str) -> None:
     df.write.insertInto(table)
 
 
-def replace_table(df: DataFrame, table: str, schema: T.StructType | None = None) -> None:
-    """Full refresh. The old table stays until the new one is completely written."""
+def _table(spark: SparkSession, table: str) -> T.StructType | None:
+    return spark.table(table).schema if spark.catalog.tableExists(table) else None
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def prepare_table(df: DataFrame, table: str, schema: T.StructType | None = None) -> str:
+    """Writes the next version of a table beside the one in use, and returns its folder.
+
+    Until ``publish_tables`` the table is what it was.
+    """
     spark = df.sparkSession
     result = df if schema is None else conform(df, schema)
-    spark.sql(f"DROP TABLE IF EXISTS {table}__next")
-    result.write.format("parquet").saveAsTable(f"{table}__next")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    if _table(spark, table) is None:
+        # Without rows: the first version is published like any other.
+        result.limit(0).write.format("parquet").saveAsTable(table)
+    elif [(f.name, f.dataType) for f in _table(spark, table)] != [(f.name, f.dataType) for f in result.schema]:
+        raise ValueError(f"{table} has other columns; drop it first")
+    base = _location(spark, table).partition(VERSION_MARK)[0]
+    folder = f"{base}{VERSION_MARK}{uuid.uuid4().hex}"
+    result.write.parquet(folder)
+    return folder
+
+
+def publish_tables(spark: SparkSession, folders: Mapping[str, str]) -> None:
+    """Switches each table to its prepared folder by one change of its metadata, then deletes the old folders.
+
+    There is no moment without a table. A job that reads an old folder while it goes fails and is to be
+    run again.
+    """
+    old = {table: _location(spark, table) for table in folders}
+    for table, folder in folders.items():
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    for table, folder in old.items():
+        if folder != folders[table].rstrip("/"):
+            delete(spark, folder)
+
+
+def replace_table(df: DataFrame, table: str, schema: T.StructType | None = None) -> None:
+    """Full refresh. The old table stays until the new rows are completely written."""
+    publish_tables(df.sparkSession, {table: prepare_table(df, table, schema)})
 
 
 def table_counts(spark: SparkSession, tables: Iterable[str]) -> DataFrame:

@@ -1,24 +1,28 @@
 """Daily files as they land (RE-1).
 
-Every micro-batch appends its cleaned rows to a log, in a folder named after the batch. A batch
-that is run again after a failure replaces its own folder, so nothing is lost or doubled. Readers
-take, per state and day, the row of the newest file: a maximum, which Spark combines before the
-shuffle, however often a pair was reported.
+The current rows are kept by month. A micro-batch reads the months its rows fall into, puts in what is
+newer and writes these months anew, in a folder of its own version; other months' files stay as they
+are. Per state and day the row of the newest file counts: a maximum, which Spark combines before the
+shuffle, however often a pair was reported. A batch that is run again after a failure writes its own
+version again, so nothing is lost or doubled.
 
 The file source remembers paths. A correction must land under a new name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stateline.plans.cases import number_cases, tidy_daily_cases
+from stateline.session import delete, names_in
 from stateline.sources.manifest import DAILY_CASES
-from stateline.sources.readers import CSV_OPTIONS, csv_header, typed
+from stateline.sources.readers import CSV_OPTIONS, LINE, csv_header, refusing_long, typed
 
 KEYS = ("id_state", "day_date")
 FILE_TIME, FILE_NAME = "_file_time", "_file_name"
+VERSION, MONTH = "version", "month"
 
 
 def with_file(df: DataFrame) -> DataFrame:
@@ -34,7 +38,7 @@ def newest(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Per key the row of the newest file; inside one file the greatest row."""
     values = [name for name in df.columns if name not in (*keys, FILE_TIME, FILE_NAME)]
     version = F.max(F.struct(FILE_TIME, FILE_NAME, *values)).alias("_row")
-    return df.groupBy(*keys).agg(version).select(*keys, *[f"_row.{name}" for name in values])
+    return df.groupBy(*keys).agg(version).select(*keys, "_row.*")
 
 
 def tidy_with_file(raw: DataFrame) -> DataFrame:
@@ -44,9 +48,59 @@ def tidy_with_file(raw: DataFrame) -> DataFrame:
     return tidy.select("*", "_version.*").drop("_version")
 
 
-def typed_cases(lines: DataFrame) -> DataFrame:
+def typed_cases(lines: DataFrame, header: T.StructType) -> DataFrame:
     """Landed text lines, of a batch or of a stream, as cleaned rows."""
-    return tidy_with_file(typed(with_file(lines), DAILY_CASES, carry=(FILE_TIME, FILE_NAME)))
+    lines = refusing_long(with_file(lines), header)
+    return tidy_with_file(typed(lines, DAILY_CASES, carry=(FILE_TIME, FILE_NAME)))
+
+
+def month_of(day: str) -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
+def versions(spark: SparkSession, target: str) -> dict[str, list[int]]:
+    """The months there are and the complete versions of each, oldest first."""
+    found: dict[str, list[int]] = {}
+    for folder in names_in(spark, target):
+        written = names_in(spark, f"{target}/{folder}") if folder.startswith(f"{VERSION}=") else []
+        if "_SUCCESS" in written:
+            for name in written:
+                if name.startswith(f"{MONTH}="):
+                    found.setdefault(name.partition("=")[2], []).append(int(folder.partition("=")[2]))
+    return {month: sorted(numbers) for month, numbers in found.items()}
+
+
+def months(spark: SparkSession, target: str) -> dict[str, int]:
+    """The months there are and the newest version of each."""
+    return {month: numbers[-1] for month, numbers in versions(spark, target).items()}
+
+
+def read_months(spark: SparkSession, target: str, wanted: dict[str, int]) -> DataFrame | None:
+    """The rows of the given months and versions; None for no month."""
+    paths = [f"{target}/{VERSION}={number}/{MONTH}={month}" for month, number in sorted(wanted.items())]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def upsert(batch: DataFrame, target: str, number: int) -> None:
+    """Puts a batch of cleaned rows into the months it touches, as version ``number``.
+
+    The version a batch starts from stays until the next batch is through: if this one must run again,
+    it starts from there again. Older ones are deleted.
+    """
+    spark = batch.sparkSession
+    batch = batch.withColumn(MONTH, month_of("day_date"))
+    # A month is seven letters, and a batch of daily files touches few.
+    touched = [r[MONTH] for r in batch.select(MONTH).distinct().collect()]
+    if not touched:
+        return
+    before = {m: [v for v in versions(spark, target).get(m, []) if v < number] for m in touched}
+    old = read_months(spark, target, {m: numbers[-1] for m, numbers in before.items() if numbers})
+    rows = batch if old is None else batch.unionByName(old.withColumn(MONTH, month_of("day_date")))
+    merged = newest(rows, (*KEYS, MONTH))
+    merged.write.mode("overwrite").partitionBy(MONTH).parquet(f"{target}/{VERSION}={number}")
+    for month, numbers in before.items():
+        for version in numbers[:-1]:
+            delete(spark, f"{target}/{VERSION}={version}/{MONTH}={month}")
 
 
 def ingest_daily_cases(
@@ -56,22 +110,24 @@ def ingest_daily_cases(
     checkpoint: str,
     files_per_batch: int | None = None,
 ) -> None:
-    """Appends the files that are new in ``landing`` to the log in ``target``, then returns.
+    """Merges the files that are new in ``landing`` into the months in ``target``, then returns.
 
-    The files share one header, which may have more columns than the table needs.
+    The files share one header, which may have more columns than the table needs. A fresh checkpoint
+    belongs to an empty target: with one that has rows it is refused, as versions would start anew.
     """
-    reader = spark.readStream.schema(csv_header(spark, landing, DAILY_CASES)).options(
+    fresh = not names_in(spark, f"{checkpoint}/offsets")
+    if fresh and months(spark, target):
+        raise ValueError(f"{target} holds rows of another checkpoint than {checkpoint}")
+    header = csv_header(spark, landing, DAILY_CASES)
+    reader = spark.readStream.schema(T.StructType([*header.fields, LINE])).options(
         enforceSchema=False, **CSV_OPTIONS
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
-    def append(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
-
     query = (
-        typed_cases(reader.csv(landing))
-        .writeStream.foreachBatch(append)
+        typed_cases(reader.csv(landing), header)
+        .writeStream.foreachBatch(lambda batch, number: upsert(batch, target, number))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -80,13 +136,15 @@ def ingest_daily_cases(
 
 
 def current_cases(spark: SparkSession, target: str) -> DataFrame:
-    """The staging table as of the last ingested file."""
-    return number_cases(newest(spark.read.parquet(target).drop("batch")))
+    """The staging table as of the last ingested file; ids are given when it is read."""
+    rows = read_months(spark, target, months(spark, target))
+    if rows is None:
+        raise ValueError(f"nothing was ingested into {target}")
+    return number_cases(rows.drop(FILE_TIME, FILE_NAME))
 
 
 def batch_cases(spark: SparkSession, landing: str) -> DataFrame:
     """The same from all files at once."""
-    reader = spark.read.schema(csv_header(spark, landing, DAILY_CASES)).options(
-        enforceSchema=False, **CSV_OPTIONS
-    )
-    return number_cases(newest(typed_cases(reader.csv(landing))))
+    header = csv_header(spark, landing, DAILY_CASES)
+    reader = spark.read.schema(T.StructType([*header.fields, LINE])).options(enforceSchema=False, **CSV_OPTIONS)
+    return number_cases(newest(typed_cases(reader.csv(landing), header)).drop(FILE_TIME, FILE_NAME))

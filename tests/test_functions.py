@@ -99,6 +99,20 @@ def test_exact_measures_do_not_depend_on_layout(spark):
     assert results.pop() == (cents / 100, cents / 100 / 20000)
 
 
+def test_exact_sums_are_exact_or_fail(spark):
+    def sum_of(scale, *values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return df.repartition(3).agg(total(F.col("x"), scale)).first()[0]
+
+    assert sum_of(3, *[0.001] * 1000) == 1.0
+    assert sum_of(2, 0.1, 0.2, -0.3) == 0.0
+    assert sum_of(3, 5.787999999999999, None) == 5.788
+    assert sum_of(2, 1e20, 1.0) == 1e20
+    for scale, value in ((2, 0.001), (2, 0.005), (0, 0.5), (2, float("nan")), (2, float("inf")), (2, 1e27)):
+        with pytest.raises(PySparkException, match="not an amount with"):
+            sum_of(scale, 1.0, value)
+
+
 def test_exact_mean_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert tuple(df.agg(mean(F.col("x"), 2), mean(F.col("x"))).first()) == (None, None)

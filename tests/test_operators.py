@@ -181,6 +181,17 @@ def test_lookup_join(spark, rows):
         joins.lookup_join(df, "k", dim, "name", "id", strict=True).collect()
 
 
+def test_lookup_join_needs_a_dictionary(spark, rows):
+    """A key twice in the dictionary is refused; a known key without a value keeps it."""
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    dim = spark.createDataFrame([("a", None), ("b", 5), ("c", 1), (None, 3), (None, 4)], "name string, id long")
+    assert rows(joins.lookup_join(df, "k", dim, "name", "id", default=0)) == [("a", 1, None), ("b", 2, 5)]
+    twice = dim.unionByName(dim.where("name = 'b'"))
+    for strict in (False, True):
+        with pytest.raises(PySparkException, match="name is not unique: b"):
+            joins.lookup_join(df, "k", twice, "name", "id", default=0, strict=strict).collect()
+
+
 def test_orphans(spark, rows):
     fact = spark.createDataFrame([(1,), (14,), (14,), (None,)], "id int")
     dim = spark.createDataFrame([(1,), (2,)], "id int")

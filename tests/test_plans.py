@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.errors import PySparkException
@@ -9,7 +11,7 @@ from pyspark.errors import PySparkException
 from stateline.__main__ import main as command
 from stateline.operators.quality import QualityError
 from stateline.plans import cases, demographics, institutions, model, reports, temperatures
-from stateline.sources.manifest import CITIES, COLLEGES, DAILY_CASES, POPULATION, RAW, SCHOOLS, STATE_TEMPERATURES
+from stateline.sources.manifest import CITIES, COLLEGES, DAILY_CASES, POPULATION, RAW, SCHOOLS, STATE_TEMPERATURES, TABLES
 from stateline.streaming import incremental
 
 SCHOOL_COLUMNS = "NAME string, CITY string, STATE string, COUNTY string, COUNTRY string, ENROLLMENT double, FT_TEACHER double"
@@ -120,9 +122,7 @@ def test_institution_profiles(spark):
     table = {tuple(r) for r in institutions.availability_per_state(staged, kinds).collect()}
     assert table == {("Ohio", 1, 1), ("Utah", 1, 0)}
     ratios = institutions.students_per_employee(staged).collect()
-    assert [(r.availability, r.proportion) for r in ratios] == [("private", 10.0), ("public", 10.0)] or [
-        (r.availability, r.mean_students) for r in ratios
-    ] == [("private", 20.0), ("public", 20.0)]
+    assert [tuple(r) for r in ratios] == [("private", 20.0, 2.0, 10.0), ("public", 20.0, 2.0, 10.0)]
 
 
 # Shares and temperatures.
@@ -252,11 +252,31 @@ def test_command_line(spark, tmp_path, capsys):
     assert spark.table("cli_covid").count() == 3
 
 
-def test_gate_reports_the_college(spark, tmp_path):
+def test_gate_reports_the_college(spark, tmp_path, rows):
     write_raw(tmp_path, college_students=-999)
     with pytest.raises(QualityError, match="education.n_students: non_negative, 1 rows"):
         model.run_all(spark, str(tmp_path), "gate_")
-    assert spark.table("gate_education").where("n_students < 0").count() == 1
+    # Nothing was published.
+    assert spark.table("gate_education").count() == 0
+    write_raw(tmp_path)
+    model.run_all(spark, str(tmp_path), "gate_")
+    good = {name: rows(spark.table(f"gate_{name}")) for name in TABLES}
+    assert len(good["education"]) == 6
+    write_raw(tmp_path, college_students=-999)
+    with pytest.raises(QualityError):
+        model.run_all(spark, str(tmp_path), "gate_")
+    spark.catalog.clearCache()
+    assert {name: rows(spark.table(f"gate_{name}")) for name in TABLES} == good
+    warehouse = Path(urlparse(spark.conf.get("spark.sql.warehouse.dir")).path)
+    assert len(list(warehouse.glob("gate_education*"))) == 1
+
+
+def test_scratch_of_a_run_is_deleted(spark, tmp_path):
+    write_raw(tmp_path)
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in scratch.glob("*")}
+    model.run_all(spark, str(tmp_path), "tidy_")
+    assert {p.name for p in scratch.glob("*")} == before
 
 
 # Reports.
@@ -294,6 +314,11 @@ def test_growth_groups(spark, rows):
     assert rows(reports.growth_by_staff(education, growth, 10)) == [
         ("private", 0.0, 1, 0.5), ("public", 0.0, 2, 0.5), ("public", 20.0, 1, 0.5)
     ]
+    # Institutions of a state without cases are counted.
+    known = growth.where("id_state = 1")
+    assert rows(reports.growth_by_availability(education, known)) == [("private", 1, 0.5), ("public", 3, 0.5)]
+    found = reports.availability_mix(education, known, {"public": "public"})
+    assert rows(found, "id_state", "n_institutions", "mean_growth") == [(1, 3, 0.5), (2, 1, None)]
     mix = reports.availability_mix(education, growth, {"public": "public", "private": "private"})
     assert rows(mix, "id_state", "n_institutions", "public", "mean_growth") == [
         (1, 3, 2 / 3, 0.5), (2, 1, 1.0, None)
@@ -314,13 +339,23 @@ def test_rates(spark, rows):
     assert by_race["asian"][0] == 2 and by_race["asian"][1] == pytest.approx(1.0)
     assert by_race["white"][1] == pytest.approx(-1.0)
     assert by_race["african_american"][0] == 1
+    # A state with cases but no population keeps its rows, without rates.
+    fewer = reports.state_rates(case_rows(spark), state.where("id_state = 1"))
+    assert rows(fewer, "id_state", "positive_rate") == [(1, 0.24), (2, None)]
+    counted = {(r.race, r.n_reported, r.n_states) for r in reports.rate_by_share(fewer).collect()}
+    assert ("asian", 2, 1) in counted
+    assert reports.rate_by_population(case_rows(spark), state.where("id_state = 1")).count() == 6
     daily = rows(reports.rate_by_population(case_rows(spark), state), "id_state", "day_date", "positive_rate")
     assert daily[1] == (1, dt.date(2020, 3, 2), 0.15)
     growth = reports.daily_growth(case_rows(spark))
     season = reports.growth_by_season(growth, state).first()
-    assert (season.season, season.n_days, season.mean_temp) == ("winter", 4, 4.0)
+    assert (season.season, season.n_days, season.n_known, season.mean_temp) == ("winter", 4, 4, 4.0)
+    season = reports.growth_by_season(growth, state.where("id_state = 1")).first()
+    assert (season.n_days, season.n_known, season.mean_temp) == (4, 3, 4.0)
     buckets = rows(reports.growth_by_temperature(reports.state_growth(growth), state, 5))
     assert buckets == [(10.0, 1, 0.5), (15.0, 0, None)]
+    fewer = reports.growth_by_temperature(reports.state_growth(growth), state.where("id_state = 1"), 5)
+    assert rows(fewer) == [(10.0, 1, 0.5), (None, 0, None)]
 
 
 # Incremental ingestion.
@@ -358,14 +393,52 @@ def test_incremental_equals_batch(spark, tmp_path, rows):
     log, progress = str(tmp_path / "log2"), tmp_path / "progress2"
     incremental.ingest_daily_cases(spark, landing, log, str(progress), files_per_batch=1)
     expected = rows(incremental.batch_cases(spark, landing))
-    assert len(list((tmp_path / "log2").glob("batch=*"))) == 3
+    assert len(list((tmp_path / "log2").glob("version=*"))) == 3
     assert rows(incremental.current_cases(spark, log)) == expected
     for name in ("2", ".2.crc"):
         (progress / "commits" / name).unlink(missing_ok=True)
     incremental.ingest_daily_cases(spark, landing, log, str(progress), files_per_batch=1)
-    assert spark.read.parquet(log).count() == 5
+    assert incremental.months(spark, log) == {"2020-03": 2}
     assert rows(incremental.current_cases(spark, log)) == expected
 
+    # A fresh checkpoint would start the versions anew.
+    with pytest.raises(ValueError, match="another checkpoint"):
+        incremental.ingest_daily_cases(spark, landing, log, str(tmp_path / "progress3"))
+
+
+def test_untouched_months_stay_as_they_were(spark, tmp_path, rows):
+    landing, log, progress = (str(tmp_path / n) for n in ("landing", "log", "progress"))
+    (tmp_path / "landing").mkdir()
+    header = ",".join(DAILY_CASES.names)
+
+    def land(name, *lines):
+        (tmp_path / "landing" / name).write_text("\n".join([header, *lines]) + "\n")
+        incremental.ingest_daily_cases(spark, landing, log, progress)
+
+    def files(month):
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "log").glob(f"*/month={month}/*.parquet")}
+
+    land("a.csv", "20200301,WA,10,,,", "20200401,WA,18,,,6")
+    march, april = files("2020-03"), files("2020-04")
+    land("b.csv", "20200402,WA,30,,,6", "20200401,WA,20,,,6", "20200501,AL,1,,,")
+    assert files("2020-03") == march
+    assert incremental.versions(spark, log) == {"2020-03": [0], "2020-04": [0, 1], "2020-05": [1]}
+    found = rows(incremental.current_cases(spark, log))
+    assert [r[3] for r in found] == [10.0, 20.0, 30.0, 1.0]
+    assert found == rows(incremental.batch_cases(spark, landing))
+    land("c.csv", "20200403,WA,40,,,6")
+    assert incremental.versions(spark, log) == {"2020-03": [0], "2020-04": [1, 2], "2020-05": [1]}
+    assert files("2020-03") == march and not files("2020-04").keys() & april.keys()
+
+
+def test_landed_long_line_fails(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(",".join(DAILY_CASES.names) + "\n20200301,WA,10,,,1,2\n")
+    with pytest.raises(Exception, match="more than 6 cells"):
+        incremental.ingest_daily_cases(spark, str(tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "progress"))
+    with pytest.raises(PySparkException, match="more than 6 cells"):
+        incremental.batch_cases(spark, str(tmp_path / "in")).collect()
+
 
 def test_landed_files_with_more_columns(spark, tmp_path, rows):
     (tmp_path / "in").mkdir()

@@ -48,6 +48,40 @@ def test_csv_bad_value(spark, tmp_path, rows):
     ]
 
 
+RAGGED = "a,b,c,d\n1,x,1.0,2020-01-01\n2,y,EXTRA,1.5,2020-01-01\n3,z\n4,w,2.0,2020-01-01,,LAST\n"
+
+
+def test_csv_long_lines(spark, tmp_path, rows):
+    """A line with more cells than the header is refused or counted, a shorter one is padded."""
+    path = put(tmp_path / "x.csv", RAGGED)
+    with pytest.raises(PySparkException, match="more than 4 cells: 2,y,EXTRA"):
+        readers.read_csv(spark, path, LINES).count()
+    found = readers.read_csv(spark, path, LINES, lenient=True)
+    assert rows(found, "a", readers.BAD_COLUMNS) == [
+        (1, []), (2, ["c", "d", "_surplus"]), (3, []), (4, ["_surplus"])
+    ]
+    short = put(tmp_path / "short.csv", "a,b,c,d\n3,z\n")
+    assert rows(readers.read_csv(spark, short, LINES)) == [(3, "z", None, None)]
+
+
+def test_staged_long_lines(spark, tmp_path, rows):
+    with pytest.raises(PySparkException, match="more than 4 cells"):
+        readers.stage_csv(spark, put(tmp_path / "x.csv", RAGGED), LINES).select("a").collect()
+    quoted = 'a;b;c;d\n1;"x;y";2.0;\n2\n'
+    assert rows(readers.stage_csv(spark, put(tmp_path / "y.csv", quoted), LINES, sep=";")) == [
+        (1, "x;y", 2.0, None), (2, None, None, None)
+    ]
+
+
+def test_options_of_the_manifest_readers(spark, tmp_path, rows):
+    """The cities as one object per line, which Spark splits; a school with a quoted line break."""
+    fields = [{"state": "Ohio", "race": "White", "count": 3}, {"state": "Utah", "race": "Asian", "count": 4}]
+    put(tmp_path / RAW["cities"].path, "\n".join(json.dumps({"fields": f}) for f in fields))
+    assert rows(readers.read_raw(spark, str(tmp_path), "cities", lines=True), "state") == [("Ohio",), ("Utah",)]
+    put(tmp_path / RAW["public_schools"].path, 'NAME,CITY,STATE,COUNTY,COUNTRY,ENROLLMENT,FT_TEACHER\n"a\nb",c,OH,d,e,1,2\n')
+    assert rows(readers.read_raw(spark, str(tmp_path), "public_schools", multi_line=True), "NAME") == [("a\nb",)]
+
+
 def test_csv_files_with_another_header_are_refused(spark, tmp_path):
     put(tmp_path / "in" / "1.csv", "a,b,c,d\n1,x,1,2020-01-01\n")
     put(tmp_path / "in" / "2.csv", "b,a,c,d\nx,1,1,2020-01-01\n")
