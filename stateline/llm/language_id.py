@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stateline.llm.scratch import landed
-from stateline.llm.words import blocks, bytes_of
+from stateline.llm.words import SMALL_BLOCK_BYTES, blocks, bytes_of
 
 #: Trigrams are counted in so many classes of their hashes.
 CLASSES = 1 << 15
@@ -69,7 +69,7 @@ def trigram_counts(rows: DataFrame, languages: Sequence[str]) -> np.ndarray:
 
     def count(batches):
         total = np.zeros((len(languages), CLASSES), np.int64)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SMALL_BLOCK_BYTES):
             classes, first = trigrams(block.column("text"))
             declared = np.array(block.column("declared").to_pylist(), object)
             for k, language in enumerate(languages):
@@ -102,7 +102,7 @@ def text_evidence(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*others).schema.fields]
 
     def measure(batches):
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SMALL_BLOCK_BYTES):
             classes, first = trigrams(block.column("text"))
             n = np.diff(first)
             some = np.flatnonzero(n)

@@ -29,9 +29,9 @@ from stateline.llm.words import SPACED_LOWER, Words, blocks, lists, mix, signed,
 WORDS = 5
 #: Two sets link when 100 * intersection >= 75 * union.
 PERCENT = 75
-#: The hashes that go last in the order: at most this many are broadcast (2 MB), those that most
+#: The hashes that go last in the order: at most this many are broadcast (8 MB), those that most
 #: documents share. Which they are influences the work, never a link.
-MOST_FREQUENT = 1 << 17
+MOST_FREQUENT = 1 << 19
 COUNT_BYTES = 8 << 20
 #: A hash of more groups than this is first compared through hubs.
 FEW = 8
@@ -340,12 +340,16 @@ def open_pairs(postings: DataFrame, counts: DataFrame, members: DataFrame, found
     rows = rows.unionByName(alone).join(found, F.col("cls") == F.col("vertex"), "left")
     briefs = [F.col("brief")[i].alias(f"brief{i}") for i in range(BRIEF)]
     rows = rows.select("hash", "cls", "size", "inner", "sig", *briefs, F.coalesce("component", "cls").alias("component"))
-    apart = rows.groupBy("hash").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    rows = rows.join(apart.where(F.col("least") < F.col("most")).select("hash"), "hash")
-    same = (F.col("a.hash") == F.col("b.hash")) & (F.col("a.component") < F.col("b.component"))
+    # Only rows outside a hash's commonest component look for partners: within it there is nothing to find.
+    parts = rows.groupBy("hash", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("hash").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", "n").alias("main"))
+    rows = rows.join(main.where(F.col("parts") > 1).select("hash", "main"), "hash").withColumn("band", _band(F.col("size"), percent))
+    around = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+    seeking = rows.where(F.col("component") != F.col("main")).withColumn("band", around)
+    same = (F.col("a.hash") == F.col("b.hash")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.component") != F.col("b.component"))
     sizes = F.col("a.size") + F.col("b.size")
     open_ = _briefly(sizes, percent) & _likely(sizes, F.col("a.sig"), F.col("b.sig"), percent)
-    pairs = rows.alias("a").join(rows.alias("b"), same & _possible(percent) & open_)
+    pairs = seeking.alias("a").join(rows.alias("b"), same & _possible(percent) & open_)
     return pairs.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stateline.llm.scratch import landed
 from stateline.llm.substring_dedup import word_places
-from stateline.llm.words import SPACED_LOWER, Words, blocks, byte_table, grams, mix
+from stateline.llm.words import SMALL_BLOCK_BYTES, SPACED_LOWER, Words, blocks, byte_table, grams, mix
 
 FEATURES = (
     "log_bytes",
@@ -131,7 +131,7 @@ def statistics_table(docs: DataFrame) -> DataFrame:
     kind = docs.schema["id"].dataType.simpleString()
 
     def measure(batches):
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SMALL_BLOCK_BYTES):
             x = statistics(block.column("text"))
             values = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([block.column("id"), values], ["id", "x"])

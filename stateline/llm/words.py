@@ -12,7 +12,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+#: For passes that keep many numbers for each byte.
+SMALL_BLOCK_BYTES = 1 << 20
 CHUNK_BYTES = 1 << 20
 ASCII_SPACE = (0x20, *range(0x09, 0x0E))
 
@@ -70,8 +72,9 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int | None = None) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose ``column`` holds at most ``most`` bytes, or one row; nulls become ''."""
+    most = most or BLOCK_BYTES
     for batch in batches:
         place = batch.schema.get_field_index(column)
         texts = batch.column(place)

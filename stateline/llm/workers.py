@@ -1,4 +1,4 @@
-"""Where Python workers find this package."""
+"""What Python workers need: this package on their path, and batches that fit their memory."""
 
 from __future__ import annotations
 
@@ -7,11 +7,15 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Texts reach the workers in Arrow batches of at most this many bytes, or one row.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def importable(spark: SparkSession) -> SparkSession:
-    """Adds the folder of the package to the workers' path, for sessions started elsewhere.
+    """Prepares a session for the operators: bounds its batches and adds the package to the workers' path.
 
     On a cluster ship the package (``--py-files``) or install it; the folder is then merely not there.
     """
@@ -19,4 +23,5 @@ def importable(spark: SparkSession) -> SparkSession:
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), ROOT])
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     return spark
