@@ -260,6 +260,36 @@ def test_exact_quantiles_with_a_hot_value(spark, monkeypatch, kept, accuracy):
         assert found["y", p] == pytest.approx(quantile([-v for v in values], p), abs=1e-9)
 
 
+@pytest.mark.parametrize("kept", [50_000, 2])
+def test_quantiles_of_infinities_and_large_numbers(spark, monkeypatch, kept):
+    monkeypatch.setattr(profile, "KEPT_VALUES", kept)
+    monkeypatch.setattr(profile, "SKETCH_ACCURACY", 10)
+    inf = float("inf")
+    large = [2**53 + i for i in range(1, 40, 2)]
+    data = [(inf if i < 12 else -inf if i < 15 else float(i), n, n % 2 == 1) for i, n in enumerate(large)]
+    df = spark.createDataFrame(data, "x double, n long, odd boolean").repartition(3)
+    at = [0.0, 0.5, 1.0]
+    found = {(r.column_name, r.p): r.value for r in profile.exact_quantiles(df, ["x", "n"], at).collect()}
+    assert found["x", 0.0] == -inf and found["x", 0.5] == inf and found["x", 1.0] == inf
+    # 2^53 + 1 and the like are ranked as they are; only the result is a double.
+    assert found["n", 0.5] == float(sorted(large)[9]) + 1.0
+    assert found["n", 1.0] == float(large[-1])
+    assert sorted(r.column_name for r in profile.numeric_profile(df).collect()) == ["n", "x"]
+
+
+def test_profile_in_four_scans(spark, monkeypatch):
+    monkeypatch.setattr(profile, "KEPT_VALUES", 2000)
+    calls = []
+    monkeypatch.setattr(profile, "_counted", lambda df, b, real=profile._counted: calls.append("counts") or real(df, b))
+    monkeypatch.setattr(profile, "_narrow", lambda df, b, real=profile._narrow: calls.append("sketch") or real(df, b))
+    df = spark.range(20_000).select((F.col("id") * 7919 % 100_003).alias("x"), (F.col("id") % 11).alias("few"))
+    found = {r.column_name: r for r in profile.numeric_profile(df, ["x", "few"]).collect()}
+    values = sorted(i * 7919 % 100_003 for i in range(20_000))
+    assert found["x"].q50 == (values[9999] + values[10000]) / 2
+    assert found["few"].q25 == 2.0
+    assert calls == ["sketch", "counts"]
+
+
 def test_column_profiles(spark, rows):
     df = spark.createDataFrame([(1, "a"), (None, "a")], "x int, y string")
     assert rows(profile.column_profile(df)) == [("x", "int", 1), ("y", "string", 2)]
