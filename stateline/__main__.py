@@ -1,17 +1,46 @@
-"""``spark-submit``-able steps: ``python -m stateline run|stage|build|check ROOT [PREFIX]`` and
-``python -m stateline ingest LANDING LOG PROGRESS``."""
+"""``spark-submit``-able steps: ``python -m stateline run|stage|build|check ROOT [PREFIX]``,
+``report NAME [PREFIX]``, ``county ROOT`` and ``ingest LANDING LOG PROGRESS``."""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from stateline.operators import quality
+from stateline.plans import reports
+from stateline.plans.cases import county_profile
+from stateline.plans.institutions import COLLEGE, PRIVATE, PUBLIC
 from stateline.plans.model import Run, run_all
+from stateline.sources.readers import read_raw
 from stateline.streaming.incremental import ingest_daily_cases
 
 
+#: Steps of the staff and of the temperature report.
+STAFF_STEP, DEGREES = 50, 5
+KINDS = {PUBLIC: "public", PRIVATE: "private", COLLEGE: "no_data"}
+
+
+def report(run: Run, name: str) -> DataFrame:
+    """One of the six questions, over the published tables."""
+    covid, state, education = (run.table(t) for t in ("covid", "state", "education"))
+    growth = reports.daily_growth(covid, zero_is_unknown=True)
+    per_state = reports.state_growth(growth)
+    questions = {
+        "availability": lambda: reports.growth_by_availability(education, per_state),
+        "mix": lambda: reports.availability_mix(education, per_state, KINDS),
+        "staff": lambda: reports.growth_by_staff(education, per_state, STAFF_STEP),
+        "season": lambda: reports.growth_by_season(growth, state),
+        "temperature": lambda: reports.growth_by_temperature(per_state, state, DEGREES),
+        "race": lambda: reports.rate_by_share(reports.state_rates(covid, state)),
+        "population": lambda: reports.rate_by_population(covid, state),
+    }
+    return questions[name]()
+
+
+REPORTS = ("availability", "mix", "staff", "season", "temperature", "race", "population")
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="stateline")
     steps = parser.add_subparsers(dest="step", required=True)
@@ -19,6 +48,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         step = steps.add_parser(name)
         step.add_argument("root", help="folder of the raw files")
         step.add_argument("prefix", nargs="?", default="", help="table prefix, such as `health.`")
+    answer = steps.add_parser("report")
+    answer.add_argument("name", choices=REPORTS)
+    answer.add_argument("prefix", nargs="?", default="")
+    steps.add_parser("county").add_argument("root", help="folder of the raw files")
     ingest = steps.add_parser("ingest")
     for name in ("landing", "log", "progress"):
         ingest.add_argument(name)
@@ -31,6 +64,12 @@ def main(argv: list[str] | None = None) -> None:
     if given.step == "ingest":
         ingest_daily_cases(spark, given.landing, given.log, given.progress)
         return
+    if given.step == "county":
+        county_profile(read_raw(spark, given.root, "county_cases")).show(truncate=False)
+        return
+    if given.step == "report":
+        report(Run(spark, "", given.prefix), given.name).show(1000, truncate=False)
+        return
     run = Run(spark, given.root, given.prefix)
     if given.step == "stage":
         run.stage()

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from stateline.functions.codes import STATES
 from stateline.functions.exact import total
+from stateline.operators.sets import union_all
 from stateline.plans import reports
 from stateline.plans.cases import build_covid, clean_daily_cases, county_profile
 from stateline.plans.demographics import state_shares
 from stateline.plans.institutions import build_education, clean_institutions
-from stateline.plans.model import SHARES, build_state, model_checks
+from stateline.plans.model import SHARES, build_state, model_checks, run_all
 from stateline.plans.temperatures import seasonal_means
 from stateline.queries.grouping import (
     INSTITUTIONS_SQL,
@@ -31,6 +32,7 @@ from stateline.queries.registry import (
     table,
 )
 from stateline.session import scratch_path, written
+from stateline.sources.manifest import RAW, TABLES
 from stateline.streaming import incremental
 
 RACE_NAMES = dict(zip(SEGMENTS, SHARES, strict=True))
@@ -178,7 +180,7 @@ def school_frames(spark, folder):
     return public, private, colleges
 
 
-def _institutions_sql() -> str:
+def _institutions_sql(kept: str = "true") -> str:
     def state(key: str) -> str:
         pairs = {i: STATE_NAMES[c] for i, c in CASE_STATE.items()}
         return sql_case(f"{key} % {len(CODES) + 1}", pairs, "'Alaska'")
@@ -213,7 +215,7 @@ def _institutions_sql() -> str:
                n_employees) - 1 as bigint) as id_institution, institution_name, city, name_state,
                n_students, n_employees, availability,
                cast({sql_case('name_state', STATE_IDS)} as bigint) as id_state
-        from merged
+        from merged where {kept}
     """
 
 
@@ -225,6 +227,11 @@ def clean_schools(spark, folder):
     return clean_institutions(*school_frames(spark, folder), scale=2)
 
 
+@query(_institutions_sql("n_employees > 0"))
+def employed_schools(spark, folder):
+    return clean_institutions(*school_frames(spark, folder), employed_only=True, scale=2)
+
+
 @query(
     f"""
     select distinct id_institution, institution_name, city, id_state, n_students, n_employees, availability
@@ -504,3 +511,61 @@ def incremental_equals_batch(spark, folder):
         report.write.mode("append").option("header", True).csv(landing)
         incremental.ingest_daily_cases(spark, landing, log, checkpoint)
     return incremental.current_cases(spark, log)
+
+
+def write_raw_files(spark, folder, root):
+    """The test tables as the raw files of the manifest, in their formats."""
+
+    def put(df, name, kind, **options):
+        getattr(df.write.options(**options), kind)(f"{root}/{RAW[name].path}")
+
+    cities = nation_cities(spark, folder).withColumn("count", F.floor("count"))
+    put(cities.select(F.lit("cities").alias("datasetid"), F.struct("*").alias("fields")), "cities", "json")
+    people = nation_population(spark, folder).select(F.array(F.col("POP_2021").cast("string"), "NAME").alias("row"))
+    # One web answer: a header and a row per nation.
+    header = F.array(F.array(F.lit("POP_2021"), F.lit("NAME")))
+    answer = people.agg(F.to_json(F.concat(header, F.collect_list("row"))).alias("value"))
+    put(answer.coalesce(1), "population", "text")
+    for name, df in zip(("public_schools", "private_schools", "colleges"), school_frames(spark, folder), strict=True):
+        put(df, name, "csv", header=True)
+    put(nation_temperatures(spark, folder), "temperatures", "csv", header=True)
+    put(daily_cases(spark, folder), "daily_cases", "csv", header=True)
+
+
+@query(
+    f"""
+    select 'covid' as table_name, count(*) as rows, {sql_total('positive')} as total from ({TIDY_CASES_SQL})
+    union all select 'education', count(*), round(sum(n_students), 2) from ({EDUCATION_SQL})
+    union all select 'state', count(*), {sql_total('total_population')} from ({_state_sql("supplier", "s_nationkey")})
+    """
+)
+def full_run(spark, folder):
+    """Raw files → staging → model → checks → published tables, as a nightly run does it."""
+    root, result = scratch_path(spark, "raw"), scratch_path(spark, "published")
+    prefix = f"stateline_{root.rsplit('-', 1)[1]}_"
+    write_raw_files(spark, folder, root)
+    nations = {"ids": NATIONS}
+    try:
+        run_all(
+            spark,
+            root,
+            prefix,
+            decimals={"people": 0, "staff": 2, "temperature": 2},
+            reader_options={"cities": {"lines": True}},
+            plan_options={
+                "staging_demographic": nations | {"races": RACE_NAMES},
+                "staging_temperature": nations | {"since": SINCE},
+            },
+        )
+        measured = {"covid": "positive", "education": "n_students", "state": "total_population"}
+        parts = [
+            spark.table(prefix + name).agg(
+                F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), total(F.col(column), None).alias("total")
+            )
+            for name, column in measured.items()
+        ]
+        union_all(*[p.withColumn("total", F.round(F.col("total").cast("double"), 2)) for p in parts]).write.parquet(result)
+    finally:
+        for name in TABLES:
+            spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+    return spark.read.parquet(result)

@@ -131,3 +131,12 @@ def append_and_refresh(spark, folder):
         for name in tables:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
     return spark.read.parquet(path).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("select p_partkey, substr(p_type, 1, 8) as p_type from part")
+def cut_text(spark, folder):
+    """Text cells cut to a length when a file is loaded."""
+    schema = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_type", T.StringType())])
+    path = scratch_path(spark, "cut")
+    sinks.write_csv(table(spark, folder, "part"), path, schema)
+    return readers.stage_csv(spark, path, schema, cut_text=8)

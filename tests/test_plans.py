@@ -8,6 +8,7 @@ from urllib.parse import urlparse
 import pytest
 from pyspark.errors import PySparkException
 
+from stateline.__main__ import REPORTS
 from stateline.__main__ import main as command
 from stateline.operators.quality import QualityError
 from stateline.plans import cases, demographics, institutions, model, reports, temperatures
@@ -250,6 +251,13 @@ def test_command_line(spark, tmp_path, capsys):
     assert len(printed.splitlines()) == 11
     assert ["education", "foreign_key", "id_state", "3"] in [line.split() for line in printed.splitlines()]
     assert spark.table("cli_covid").count() == 3
+    for name in REPORTS:
+        command(["report", name, "cli_"])
+    assert "mean_new_positive" in capsys.readouterr().out
+    county = tmp_path / RAW["county_cases"].path
+    county.write_text("date,county,state,fips,cases,deaths\n2020-03-01,King,WA,1,10,1\n2020-03-02,King,WA,1,30,\n")
+    command(["county", str(tmp_path)])
+    assert "20.0" in capsys.readouterr().out
 
 
 def test_gate_reports_the_college(spark, tmp_path, rows):
