@@ -34,7 +34,7 @@ UNKNOWN = "und"
 UNKNOWN_SHARE = 0.01
 #: Pseudo-counts by which a host leans on its domain, a domain on all rows, and a language on the others.
 HOST_LEAN, DOMAIN_LEAN, SMOOTHING = 10.0, 50.0, 1.0
-#: A row is accepted if its language is known and at least this probable.
+#: A row is accepted if it is at least this probable that its language is known, whichever it is.
 LEAST_PROBABILITY = 0.65
 
 # Letters fold to small ones; whatever is no letter parts words.
@@ -195,7 +195,8 @@ def language_id(
     evidence; a null value is a declaration of nothing, and a null host has the prior of all rows.
     ``languages`` are those to tell apart, by default what enough rows declare. ``text_language`` is
     the likeliest by text alone, ``language`` by all evidence, or ``und`` if the text is none of them.
-    Accepted are rows with a known language of a probability of ``least`` or more. A null, empty or
+    Accepted are rows with a known language if all known ones together have a probability of ``least``
+    or more: a text in two languages is in doubt between them, but not rejected. A null, empty or
     letterless text has no language: ``text_language`` is null, ``language`` is what the rest says, and
     the row is not accepted. Without any declared language every row is ``und``. Repeated rows and null
     ids stay, an empty table gives an empty result, other columns are ignored.
@@ -235,8 +236,9 @@ def language_id(
     total = F.aggregate("score", F.lit(0.0), lambda a, s: a + F.exp(s - F.array_max("score")))
     names = F.lit([*languages, UNKNOWN])
     language = F.get(names, _best(F.col("score")))
-    probability = F.exp(most - most) / total
-    accepted = F.col("ll").isNotNull() & (language != UNKNOWN) & (probability >= least)
+    probability = 1 / total
+    known = 1 - F.exp(F.col("score")[n] - most) / total
+    accepted = F.col("ll").isNotNull() & (language != UNKNOWN) & (known >= least)
     return fused.select(
         F.col("id").alias(id),
         F.get(names, F.col("best")).alias("text_language"),
