@@ -31,7 +31,7 @@ def _without(docs: DataFrame, numbers: DataFrame) -> DataFrame:
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a known language: texts without letters, of no language, or in doubt."""
+    """Drops documents without a known language: texts without letters, or that no language explains."""
     judged = language_id(_numbered(docs), id=ROW, declared="lang", host="source")
     return _without(docs, judged.where(~F.col("accepted")).select(ROW))
 
