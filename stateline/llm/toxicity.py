@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stateline.llm.scratch import landed
 from stateline.llm.substring_dedup import word_places
 from stateline.llm.words import ALNUM_LOWER, Words, blocks, mix
 
@@ -96,10 +97,9 @@ class Chain:
         return np.column_stack(found)
 
     @classmethod
-    def fit(cls, hashes: np.ndarray, text: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> Chain:
-        """``labels``: a row per text, a column per category: 0, 1, or -1 where unknown."""
-        chain = cls(_vocabulary(hashes, text, labels), [])
-        x = chain.features(hashes, text, len(labels))
+    def fit(cls, vocabulary: np.ndarray, x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> Chain:
+        """``x``: a row of features per text; ``labels``: a column per category: 0, 1, or -1 where unknown."""
+        chain = cls(vocabulary, [])
         unseen: list[np.ndarray] = []
         for c in range(labels.shape[1]):
             y, known = labels[:, c], labels[:, c] >= 0
@@ -113,21 +113,24 @@ class Chain:
         return chain
 
 
-def _vocabulary(hashes: np.ndarray, text: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """For each category the terms whose share of texts differs most, by chi-squared."""
-    chosen = []
-    values, codes = np.unique(hashes, return_inverse=True)
-    for c in range(labels.shape[1]):
-        y = labels[:, c]
-        n = [(y == v).sum() for v in (0, 1)]
-        has = [np.bincount(codes[y[text] == v], minlength=len(values)).astype(float) for v in (0, 1)]
-        total = has[0] + has[1]
-        expected = total * n[1] / max(n[0] + n[1], 1)
-        chi = (has[1] - expected) ** 2 / np.maximum(expected, 1e-9)
-        chi[total < LEAST_ROWS_PER_TERM] = 0
-        best = np.argsort(-chi, kind="stable")[:TERMS_PER_CATEGORY]
-        chosen.append(values[best[chi[best] > 0]])
-    return np.unique(np.concatenate(chosen)) if chosen else np.empty(0, np.uint64)
+def vocabulary(rows: DataFrame, names: Sequence[str]) -> np.ndarray:
+    """For each category the terms whose share of texts differs most, by chi-squared; sorted.
+
+    ``rows`` has the categories and the distinct ``terms`` of each text. Counting is a grouped
+    aggregate; only the chosen terms reach the driver.
+    """
+    values = [(c, v) for c in names for v in (0, 1)]
+    sizes = rows.agg(*[F.count_if(F.col(c) == v).alias(f"{c}_{v}") for c, v in values]).first()
+    counted = rows.select(*names, F.explode("terms").alias("term")).groupBy("term")
+    counted = landed(counted.agg(*[F.count_if(F.col(c) == v).alias(f"{c}_{v}") for c, v in values]), "terms")
+    chosen: set[int] = set()
+    for c in names:
+        total = F.col(f"{c}_0") + F.col(f"{c}_1")
+        share = sizes[f"{c}_1"] / max(sizes[f"{c}_0"] + sizes[f"{c}_1"], 1)
+        chi = F.try_divide(F.pow(F.col(f"{c}_1") - total * share, F.lit(2.0)), total * share)
+        best = counted.where(total >= LEAST_ROWS_PER_TERM).withColumn("chi", chi).where("chi > 0")
+        chosen |= {r["term"] for r in best.orderBy(F.desc("chi"), "term").limit(TERMS_PER_CATEGORY).collect()}
+    return np.sort(np.array(sorted(chosen), np.int64).view(np.uint64))
 
 
 def distinct_terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +171,7 @@ def toxicity(
     ``labels`` has the same id and a column 0 or 1 per category; null and other values are unknown, of
     several rows for an id the largest counts, a null id labels nothing. The models are fitted on a
     sample of at most ``sample_rows`` labelled rows; their texts are found by a broadcast of the sample,
-    which that bound bounds. If a category has no rows of some value, its model gives the share there
+    which that bound bounds, and reduced to a few hundred bits each before they reach the driver. If a category has no rows of some value, its model gives the share there
     is. All texts are scored whole, a null text as an empty one; repeated rows and null ids stay, an
     empty table gives an empty result, other columns are ignored.
     """
@@ -187,7 +190,8 @@ def toxicity(
 
     columns = ", ".join(f"{c} int" for c in names)
     rows = docs.join(sample, "id").select("order", *names, "text").mapInArrow(read, f"order bigint, {columns}, terms array<bigint>")
-    chain = _fitted(rows.toArrow(), names)
+    rows = landed(rows, "sample")
+    chain = _fitted(rows, names)
     kind = docs.schema["id"].dataType.simpleString()
 
     def judge(batches):
@@ -199,14 +203,27 @@ def toxicity(
     return scored.select(F.col("id").alias(id), *[F.col(n).alias(f"p_{c}") for c, n in zip(categories, names, strict=True)])
 
 
-def _fitted(table: pa.Table, names: Sequence[str]) -> Chain:
-    table = table.combine_chunks().sort_by("order")
-    column = table.column("terms").combine_chunks()
-    hashes = column.flatten().to_numpy().astype(np.int64).view(np.uint64)
-    sizes = np.diff(column.offsets.to_numpy()) if len(column) else np.empty(0, np.int64)
-    text = np.repeat(np.arange(len(sizes)), sizes)
+def _fitted(rows: DataFrame, names: Sequence[str]) -> Chain:
+    """The chain of the sample. Of each row only its terms of the vocabulary reach the driver."""
+    chain = Chain(vocabulary(rows, names), [])
+    columns = ", ".join(f"{c} int" for c in names)
+
+    def mark(batches):
+        for batch in batches:
+            lengths = np.diff(batch.column("terms").offsets.to_numpy())
+            hashes = batch.column("terms").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            text = np.repeat(np.arange(len(lengths)), lengths)
+            x = chain.features(hashes, text, len(lengths)).astype(bool)
+            # Copies of a text are one fold, or the rows not seen would have been seen.
+            whole = np.zeros(len(lengths), np.uint64)
+            np.add.at(whole, text, mix(hashes))
+            bits = [row.tobytes() for row in np.packbits(x, axis=1)]
+            fold = (mix(whole) % np.uint64(FOLDS)).astype(np.int32)
+            kept = [batch.column(c) for c in ["order", *names]]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(fold), pa.array(bits, pa.binary())], ["order", *names, "fold", "bits"])
+
+    table = rows.mapInArrow(mark, f"order bigint, {columns}, fold int, bits binary").toArrow().combine_chunks().sort_by("order")
+    packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(table), -(-len(chain.vocabulary) // 8))
+    x = np.unpackbits(packed, axis=1, count=len(chain.vocabulary)).astype(float)
     labels = np.column_stack([table.column(c).fill_null(-1).to_numpy() for c in names])
-    # Copies of a text are one fold, or the rows not seen would have been seen.
-    whole = np.zeros(len(sizes), np.uint64)
-    np.add.at(whole, text, mix(hashes))
-    return Chain.fit(hashes, text, labels, (mix(whole) % np.uint64(FOLDS)).astype(np.int64))
+    return Chain.fit(chain.vocabulary, x, labels, table.column("fold").to_numpy())
