@@ -54,10 +54,10 @@ def set_key(hashes: np.ndarray) -> np.uint64:
 def signature(hashes: np.ndarray, bits: int | None = None) -> np.ndarray:
     """A bit for each residue of the hashes, odd counts set, in 64-bit words.
 
-    As many bits as the set is large, or up to twice that. Two sets differ by at least as many hashes
+    Two to four times as many bits as the set is large. Two sets differ by at least as many hashes
     as their signatures of equal length differ by bits.
     """
-    bits = bits or max(64, 1 << (len(hashes) - 1).bit_length())
+    bits = bits or max(64, 2 << (len(hashes) - 1).bit_length())
     odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -122,11 +122,6 @@ def probe_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def inner_length(size: int, percent: int) -> int:
-    """The same against sets that are not smaller: the overlap must be larger then."""
-    return size - -(-2 * percent * size // (100 + percent)) + 1
-
-
 def frequent_hashes(docs: DataFrame, n: int) -> np.ndarray:
     """The hashes that most documents share, rarest first.
 
@@ -186,11 +181,8 @@ def sketches(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Dat
     return docs.mapInArrow(sketch, f"id {kind}, size int, cls bigint, grp bigint, prefix array<bigint>, sig array<bigint>, brief array<bigint>")
 
 
-def shared_postings(sketched: DataFrame, percent: int) -> DataFrame:
-    """Rows ``hash, grp, size, inner`` of the prefix hashes that two groups or more have.
-
-    ``inner``: the hash is among those that count against sets that are not smaller.
-    """
+def shared_postings(sketched: DataFrame) -> DataFrame:
+    """Rows ``hash, grp, size, pos`` of the prefix hashes that two groups or more have, with their place in it."""
 
     def post(batches):
         for batch in batches:
@@ -201,7 +193,6 @@ def shared_postings(sketched: DataFrame, percent: int) -> DataFrame:
                 size = part.column("size").to_numpy()
                 of = np.repeat(np.arange(len(lengths)), lengths)
                 place = np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-                inner = place < size[of] - -(-2 * percent * size[of].astype(np.int64) // (100 + percent)) + 1
                 group = part.column("grp").to_numpy()
                 r = Routed(hashes, np.unique(group, return_inverse=True)[1][of])
                 of = of[r.order]
@@ -211,26 +202,27 @@ def shared_postings(sketched: DataFrame, percent: int) -> DataFrame:
                         pa.array(signed(hashes[r.order]), mask=r.first),
                         pa.array(group[of]),
                         pa.array(size[of]),
-                        pa.array(inner[r.order]),
+                        pa.array(place[r.order].astype(np.int32)),
                         pa.array(r.shared),
                     ],
-                    ["key", "hash", "grp", "size", "inner", "known"],
+                    ["key", "hash", "grp", "size", "pos", "known"],
                 )
 
     rows = sketched.where(F.size("prefix") > 0).select("grp", "size", "prefix")
-    posted = rows.mapInArrow(post, "key bigint, hash bigint, grp bigint, size int, inner boolean, known boolean")
+    posted = rows.mapInArrow(post, "key bigint, hash bigint, grp bigint, size int, pos int, known boolean")
     same = W.partitionBy("key")
     posted = posted.withColumns({"least": F.min("grp").over(same), "most": F.max("grp").over(same)})
     posted = posted.where(F.col("known") | (F.col("least") < F.col("most")))
-    return posted.select(F.coalesce("hash", "key").alias("hash"), "grp", "size", "inner")
+    return posted.select(F.coalesce("hash", "key").alias("hash"), "grp", "size", "pos")
 
 
 def _possible(percent: int) -> Column:
     """The condition under which the postings ``a`` and ``b`` of a hash can belong to similar sets."""
     x, y = F.col("a.size"), F.col("b.size")
     sizes = F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    inner = F.when(x < y, F.col("a.inner")).when(y < x, F.col("b.inner")).otherwise(F.col("a.inner") & F.col("b.inner"))
-    return sizes & inner
+    # So many hashes similar sets of these sizes have in common; the first of them is not far from the start.
+    common = F.ceil((x + y) * percent / F.lit(100 + percent)).cast("int")
+    return sizes & (F.col("a.pos") <= x - common) & (F.col("b.pos") <= y - common)
 
 
 def _band(size: Column, percent: int) -> Column:
@@ -251,10 +243,10 @@ def group_pairs(postings: DataFrame, counts: DataFrame, percent: int) -> DataFra
     small = few.alias("a").join(few.alias("b"), same & possible).select(F.col("a.grp").alias("a"), F.col("b.grp").alias("b"))
 
     many = many.withColumn("band", _band(F.col("size"), percent))
-    chosen = [F.min(F.struct(F.xxhash64("grp", F.lit(k)), "grp", "size", "inner")).alias(f"h{k}") for k in range(HUBS)]
+    chosen = [F.min(F.struct(F.xxhash64("grp", F.lit(k)), "grp", "size", "pos")).alias(f"h{k}") for k in range(HUBS)]
     hubs = many.groupBy("hash", "band").agg(*chosen)
     hubs = hubs.select("hash", "band", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HUBS)]))).alias("hub"))
-    hubs = hubs.select("hash", "band", "hub.grp", "hub.size", "hub.inner")
+    hubs = hubs.select("hash", "band", "hub.grp", "hub.size", "hub.pos")
     near = many.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     same = (F.col("a.hash") == F.col("b.hash")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.grp") != F.col("b.grp"))
     large = near.alias("a").join(hubs.alias("b"), same & possible)
@@ -334,12 +326,12 @@ def open_pairs(postings: DataFrame, counts: DataFrame, members: DataFrame, found
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("classes"))
     rows = postings.join(counts, "hash").join(sizes, "grp")
     partly = rows.groupBy("hash").agg(F.max((F.col("n") > FEW) | (F.col("classes") > 1)).alias("partly")).where("partly").select("hash")
-    rows = postings.join(partly, "hash").join(members.select("grp", "cls", "sig", "brief"), "grp").select("hash", "cls", "size", "inner", "sig", "brief")
+    rows = postings.join(partly, "hash").join(members.select("grp", "cls", "sig", "brief"), "grp").select("hash", "cls", "size", "pos", "sig", "brief")
     crowded = sizes.where(F.col("classes") > 1).select("grp")
-    alone = members.join(crowded, "grp").select(F.col("grp").alias("hash"), "cls", "size", F.lit(True).alias("inner"), "sig", "brief")
+    alone = members.join(crowded, "grp").select(F.col("grp").alias("hash"), "cls", "size", F.lit(0).alias("pos"), "sig", "brief")
     rows = rows.unionByName(alone).join(found, F.col("cls") == F.col("vertex"), "left")
     briefs = [F.col("brief")[i].alias(f"brief{i}") for i in range(BRIEF)]
-    rows = rows.select("hash", "cls", "size", "inner", "sig", *briefs, F.coalesce("component", "cls").alias("component"))
+    rows = rows.select("hash", "cls", "size", "pos", "sig", *briefs, F.coalesce("component", "cls").alias("component"))
     # Only rows outside a hash's commonest component look for partners: within it there is nothing to find.
     parts = rows.groupBy("hash", "component").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("hash").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", "n").alias("main"))
@@ -367,7 +359,7 @@ def ngram_jaccard(docs: DataFrame, id: str = "doc_id", text: str = "text", n: in
     sketched = landed(sketches(docs, n, percent, frequent_hashes(docs, n)), "sketches")
     same = sketched.where(F.col("size") > 0).groupBy("cls", "grp", "size")
     members = landed(same.agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("brief").alias("brief")), "classes")
-    postings = landed(shared_postings(sketched, percent), "postings")
+    postings = landed(shared_postings(sketched), "postings")
     counts = postings.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
 
     def linked(pairs: DataFrame) -> DataFrame:
