@@ -14,6 +14,7 @@ from stateline.llm.ngram_jaccard import ngram_jaccard
 from stateline.llm.scratch import landed
 from stateline.llm.substring_dedup import substring_dedup
 from stateline.llm.workers import importable
+from stateline.session import delete, scratch_noted
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,13 +22,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ROW = "_row"
 
 
+#: Above this many numbers they are joined by a shuffle; 16 MB of them are broadcast.
+MOST_BROADCAST = 2_000_000
+
+
 def _numbered(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW, F.xxhash64(*docs.columns))
 
 
 def _without(docs: DataFrame, numbers: DataFrame) -> DataFrame:
-    """The rows whose number is not among ``numbers``. These are written first, so Spark knows their size."""
-    return _numbered(docs).join(landed(numbers.distinct(), "dropped"), ROW, "left_anti").select(*docs.columns)
+    """The rows whose number is not among ``numbers``; texts are moved only if there are very many of these."""
+    dropped = landed(numbers.distinct(), "dropped")
+    dropped = F.broadcast(dropped) if dropped.count() <= MOST_BROADCAST else dropped.hint("merge")
+    return _numbered(docs).join(dropped, ROW, "left_anti").select(*docs.columns)
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,9 +76,29 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return best_fit_packing(docs, capacity=2048, end=0)
 
 
+#: Scratch folders of the stages so far.
+_left: list[str] = []
+
+
 def _ready(stage: Stage) -> Stage:
-    """The stage, with workers that find the package."""
-    return lambda spark, docs, sf_dir: stage(importable(spark), docs, sf_dir)
+    """The stage, with workers that find the package, and without the scratch of stages before.
+
+    A stage's input is written, so what earlier stages left is not needed any more; folders that
+    ``docs`` still reads stay.
+    """
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        importable(spark)
+        read = docs.inputFiles() if _left else []
+        for path in [p for p in _left if not any(p.rsplit("/", 1)[1] in file for file in read)]:
+            delete(spark, path)
+            _left.remove(path)
+        with scratch_noted() as made:
+            result = stage(spark, docs, sf_dir)
+        _left.extend(made)
+        return result
+
+    return run_stage
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
-#: Scratch folders made inside ``scratch_deleted``, innermost last.
+#: Scratch folders made inside ``scratch_noted``, innermost last.
 _made: list[list[str]] = []
 
 
@@ -49,8 +49,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         root = f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_scratch"
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _made:
-        _made[-1].append(path)
+    for noted in _made:
+        noted.append(path)
     return path
 
 
@@ -88,11 +88,21 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def scratch_deleted(spark: SparkSession) -> Iterator[None]:
-    """Deletes, at its end, the scratch folders made in it: for steps that end in tables of their own."""
+def scratch_noted() -> Iterator[list[str]]:
+    """A list of the scratch folders made in the block."""
     _made.append([])
     try:
-        yield
+        yield _made[-1]
     finally:
-        for path in _made.pop():
-            delete(spark, path)
+        _made.pop()
+
+
+@contextmanager
+def scratch_deleted(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the scratch folders made in it: for steps that end in tables of their own."""
+    with scratch_noted() as made:
+        try:
+            yield
+        finally:
+            for path in made:
+                delete(spark, path)
