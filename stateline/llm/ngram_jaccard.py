@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from stateline.llm.components import components
@@ -29,13 +28,13 @@ from stateline.llm.words import SPACED_LOWER, Words, blocks, lists, mix, signed,
 WORDS = 5
 #: Two sets link when 100 * intersection >= 75 * union.
 PERCENT = 75
-#: The hashes that go last in the order: at most this many are broadcast (8 MB), those that most
+#: The hashes that go last in the order: at most this many are broadcast (2 MB), those that most
 #: documents share. Which they are influences the work, never a link.
-MOST_FREQUENT = 1 << 19
+MOST_FREQUENT = 1 << 17
 COUNT_BYTES = 8 << 20
 #: A hash of more groups than this is first compared through hubs.
 FEW = 8
-HUBS = 3
+HUBS = 4
 #: Words of a short signature of one length for all sets, which rules out most pairs of small sets.
 BRIEF = 4
 
@@ -54,10 +53,10 @@ def set_key(hashes: np.ndarray) -> np.uint64:
 def signature(hashes: np.ndarray, bits: int | None = None) -> np.ndarray:
     """A bit for each residue of the hashes, odd counts set, in 64-bit words.
 
-    Two to four times as many bits as the set is large. Two sets differ by at least as many hashes
+    As many bits as the set is large, or up to twice that. Two sets differ by at least as many hashes
     as their signatures of equal length differ by bits.
     """
-    bits = bits or max(64, 2 << (len(hashes) - 1).bit_length())
+    bits = bits or max(64, 1 << (len(hashes) - 1).bit_length())
     odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -216,13 +215,18 @@ def shared_postings(sketched: DataFrame) -> DataFrame:
     return posted.select(F.coalesce("hash", "key").alias("hash"), "grp", "size", "pos")
 
 
+def _sizes(percent: int) -> Column:
+    """Whether the sizes of ``a`` and ``b`` allow that they are similar."""
+    x, y = F.col("a.size"), F.col("b.size")
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
 def _possible(percent: int) -> Column:
-    """The condition under which the postings ``a`` and ``b`` of a hash can belong to similar sets."""
+    """Whether the postings ``a`` and ``b`` of a hash can be the first that similar sets have in common."""
     x, y = F.col("a.size"), F.col("b.size")
-    sizes = F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    # So many hashes similar sets of these sizes have in common; the first of them is not far from the start.
+    # So many hashes sets of these sizes must have in common, so the first is not far from the start.
     common = F.ceil((x + y) * percent / F.lit(100 + percent)).cast("int")
-    return sizes & (F.col("a.pos") <= x - common) & (F.col("b.pos") <= y - common)
+    return _sizes(percent) & (F.col("a.pos") <= x - common) & (F.col("b.pos") <= y - common)
 
 
 def _band(size: Column, percent: int) -> Column:
@@ -249,7 +253,8 @@ def group_pairs(postings: DataFrame, counts: DataFrame, percent: int) -> DataFra
     hubs = hubs.select("hash", "band", "hub.grp", "hub.size", "hub.pos")
     near = many.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     same = (F.col("a.hash") == F.col("b.hash")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.grp") != F.col("b.grp"))
-    large = near.alias("a").join(hubs.alias("b"), same & possible)
+    # Anything that may link a group to a hub helps, not only the first hash they share.
+    large = near.alias("a").join(hubs.alias("b"), same & _sizes(percent))
     large = large.select(F.least("a.grp", "b.grp").alias("a"), F.greatest("a.grp", "b.grp").alias("b"))
     return small.unionByName(large).distinct()
 
