@@ -331,16 +331,18 @@ def open_pairs(postings: DataFrame, counts: DataFrame, members: DataFrame, found
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("classes"))
     rows = postings.join(counts, "hash").join(sizes, "grp")
     partly = rows.groupBy("hash").agg(F.max((F.col("n") > FEW) | (F.col("classes") > 1)).alias("partly")).where("partly").select("hash")
-    rows = postings.join(partly, "hash").join(members.select("grp", "cls", "sig", "brief"), "grp").select("hash", "cls", "size", "pos", "sig", "brief")
+    rows = postings.join(partly, "hash").join(members.select("grp", "cls"), "grp").select("hash", "cls", "size", "pos")
     crowded = sizes.where(F.col("classes") > 1).select("grp")
-    alone = members.join(crowded, "grp").select(F.col("grp").alias("hash"), "cls", "size", F.lit(0).alias("pos"), "sig", "brief")
+    alone = members.join(crowded, "grp").select(F.col("grp").alias("hash"), "cls", "size", F.lit(0).alias("pos"))
     rows = rows.unionByName(alone).join(found, F.col("cls") == F.col("vertex"), "left")
-    briefs = [F.col("brief")[i].alias(f"brief{i}") for i in range(BRIEF)]
-    rows = rows.select("hash", "cls", "size", "pos", "sig", *briefs, F.coalesce("component", "cls").alias("component"))
+    rows = rows.select("hash", "cls", "size", "pos", F.coalesce("component", "cls").alias("component"))
     # Only rows outside a hash's commonest component look for partners: within it there is nothing to find.
     parts = rows.groupBy("hash", "component").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("hash").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", "n").alias("main"))
     rows = rows.join(main.where(F.col("parts") > 1).select("hash", "main"), "hash").withColumn("band", _band(F.col("size"), percent))
+    # Signatures come last: few rows are left to carry them.
+    briefs = [F.col("brief")[i].alias(f"brief{i}") for i in range(BRIEF)]
+    rows = rows.join(members.select("cls", "sig", *briefs), "cls")
     around = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
     seeking = rows.where(F.col("component") != F.col("main")).withColumn("band", around)
     same = (F.col("a.hash") == F.col("b.hash")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.component") != F.col("b.component"))

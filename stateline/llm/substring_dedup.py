@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from stateline.llm.scratch import landed
 from stateline.llm.words import SPACED, Words, blocks, grams, lists, mix, pick, signed
