@@ -35,6 +35,8 @@ COUNT_BYTES = 8 << 20
 #: A hash of more groups than this is first compared through hubs.
 FEW = 8
 HUBS = 4
+#: Ids of at most this many classes are broadcast to find their texts.
+MOST_BROADCAST = 200_000
 #: Words of a short signature of one length for all sets, which rules out most pairs of small sets.
 BRIEF = 4
 
@@ -287,6 +289,8 @@ def fetched_texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
     Where ids repeat with other texts, a class may get those, too; ``verified`` passes them over.
     """
     same = F.col("d.id").eqNullSafe(F.col("c.id"))
+    # Few ids go to the texts; beyond that, texts and ids meet in a shuffle.
+    needed = F.broadcast(needed) if needed.count() <= MOST_BROADCAST else needed.hint("merge")
     rows = docs.alias("d").join(needed.alias("c"), same).select("c.cls", "d.text")
     return rows.dropDuplicates(["cls", "text"])
 
