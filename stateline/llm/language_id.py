@@ -22,13 +22,16 @@ from stateline.llm.words import SMALL_BLOCK_BYTES, blocks, bytes_of
 
 #: Trigrams are counted in so many classes of their hashes.
 CLASSES = 1 << 15
-#: A declared language is one if this share of the declaring rows declare it; at most ``MOST_LANGUAGES``.
-LEAST_SHARE = 0.002
-MOST_LANGUAGES = 64
+#: A declared language has a model if its texts hold this many trigrams, however rare it is.
+LEAST_TRIGRAMS = 200
+#: Models go to the workers in blocks of so many languages, 128 KB each; tasks keep as many counts before they pass them on.
+LANGUAGES_AT_ONCE = 64
 #: Trigrams of a text depend on each other: a text weighs as much as at most this many independent ones.
 WEIGHT = 64
 #: So much of each language's model is any class whatever: unseen trigrams are unlikely, not impossible.
+#: Of small models, a greater part: as much as so many trigrams.
 ANY_CLASS = 0.1
+ANY_TRIGRAMS = 2000
 #: Text that is no language: all classes alike. Its name, and its share before any evidence.
 UNKNOWN = "und"
 UNKNOWN_SHARE = 0.01
@@ -37,6 +40,9 @@ HOST_LEAN, DOMAIN_LEAN, SMOOTHING = 10.0, 50.0, 1.0
 #: A row is accepted if it is at least this probable that its language is known, whichever it is.
 LEAST_PROBABILITY = 0.65
 
+#: What a text with letters matches.
+LETTERS = r"[A-Za-z\x{80}-\x{10FFFF}]"
+
 # Letters fold to small ones; whatever is no letter parts words.
 _SYMBOLS = np.zeros(256, np.uint32)
 _SYMBOLS[0x61:0x7B] = np.arange(1, 27)
@@ -61,43 +67,67 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return classes, np.searchsorted(at, offsets)
 
 
-def trigram_counts(rows: DataFrame, languages: Sequence[str]) -> np.ndarray:
-    """Counts of all trigram classes over all rows that declare each of the languages.
+def trigram_counts(rows: DataFrame) -> DataFrame:
+    """Rows ``declared, cls, n``: counts of all trigram classes over all rows that declare each of the languages.
 
-    Tasks count, Spark adds up; as many numbers as there are classes and languages reach the driver.
+    Tasks count, Spark adds up; a task holds the counts of at most ``LANGUAGES_AT_ONCE`` languages and a block's.
     """
 
+    def flushed(total):
+        for language, counts in total.items():
+            cls = np.flatnonzero(counts)
+            for at in range(0, len(cls), 10_000):
+                part = cls[at : at + 10_000]
+                columns = [pa.array([language] * len(part), pa.string()), pa.array(part.astype(np.int32)), pa.array(counts[part])]
+                yield pa.RecordBatch.from_arrays(columns, ["declared", "cls", "n"])
+        total.clear()
+
     def count(batches):
-        total = np.zeros((len(languages), CLASSES), np.int64)
+        total: dict[str, np.ndarray] = {}
         for block in blocks(batches, "text", SMALL_BLOCK_BYTES):
             classes, first = trigrams(block.column("text"))
-            declared = np.array(block.column("declared").to_pylist(), object)
-            for k, language in enumerate(languages):
-                own = np.repeat(declared == language, np.diff(first))
-                total[k] += np.bincount(classes[own], minlength=CLASSES)
-        language, cls = np.nonzero(total)
-        for at in range(0, len(cls), 10_000):
-            part = slice(at, at + 10_000)
-            columns = [language[part].astype(np.int32), cls[part].astype(np.int32), total[language[part], cls[part]]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["language", "cls", "n"])
-
-    known = rows.where(F.col("declared").isin(list(languages))).select("text", "declared")
-    counted = known.mapInArrow(count, "language int, cls int, n bigint").groupBy("language", "cls").agg(F.sum("n").alias("n"))
-    table = counted.toArrow()
-    counts = np.zeros((len(languages), CLASSES))
-    counts[table.column("language").to_numpy(), table.column("cls").to_numpy()] = table.column("n").to_numpy()
-    return counts
-
-
-def text_evidence(rows: DataFrame, counts: np.ndarray) -> DataFrame:
+            coded = block.column("declared").dictionary_encode()
+            code, n = coded.indices.to_numpy(), np.diff(first)
+            # Rows of one language after each other, and their trigrams with them.
+            order = np.argsort(code, kind="stable")
+            ends = np.cumsum(n[order])
+            at = np.repeat(first[:-1][order] - ends + n[order], n[order]) + np.arange(len(classes))
+            bounds = np.concatenate([[0], ends])[np.searchsorted(code[order], np.arange(len(coded.dictionary) + 1))]
+            for k, language in enumerate(coded.dictionary.to_pylist()):
+                if bounds[k] < bounds[k + 1]:
+                    if language not in total:
+                        if len(total) >= LANGUAGES_AT_ONCE:
+                            yield from flushed(total)
+                        total[language] = np.zeros(CLASSES, np.int64)
+                    total[language] += np.bincount(classes[at[bounds[k] : bounds[k + 1]]], minlength=CLASSES)
+        yield from flushed(total)
+
+    known = rows.where(F.col("declared").isNotNull()).select("text", "declared")
+    counted = known.mapInArrow(count, "declared string, cls int, n bigint")
+    return counted.groupBy("declared", "cls").agg(F.sum("n").alias("n"))
+
+
+def log_shares(counts: DataFrame, languages: Sequence[str]) -> np.ndarray:
+    """For each of the languages the logs of the shares of its trigram classes, smoothed."""
+    found = np.zeros((len(languages), CLASSES), np.float64)
+    place = {language: k for k, language in enumerate(languages)}
+    table = counts.where(F.col("declared").isin(list(languages))).toArrow()
+    at = np.array([place[x] for x in table.column("declared").to_pylist()], np.int64)
+    found[at, table.column("cls").to_numpy()] = table.column("n").to_numpy()
+    total = found.sum(1, keepdims=True)
+    any_class = np.maximum(ANY_CLASS, ANY_TRIGRAMS / (total + ANY_TRIGRAMS))
+    return np.log((1 - any_class) * found / np.maximum(total, 1) + any_class / CLASSES).astype(np.float32)
+
+
+def text_evidence(rows: DataFrame, counts: DataFrame, languages: Sequence[str]) -> DataFrame:
     """``rows`` without ``text`` but with ``ll``, the weighted log likelihood of each language and of none.
 
-    ``ll`` is null for a text without trigrams.
+    ``ll`` is null for a text without trigrams. The driver holds one block of languages at a time.
     """
-    shares = counts / np.maximum(counts.sum(1, keepdims=True), 1)
-    logs = np.log((1 - ANY_CLASS) * shares + ANY_CLASS / CLASSES)
-    logs = np.vstack([logs, np.full(CLASSES, -math.log(CLASSES))])
-    shared = rows.sparkSession.sparkContext.broadcast(logs)
+    context = rows.sparkSession.sparkContext
+    starts = range(0, len(languages), LANGUAGES_AT_ONCE)
+    shared = [context.broadcast(log_shares(counts, languages[at : at + LANGUAGES_AT_ONCE])) for at in starts]
+    width = len(languages) + 1
     others = [c for c in rows.columns if c != "text"]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*others).schema.fields]
 
@@ -106,12 +136,15 @@ def text_evidence(rows: DataFrame, counts: np.ndarray) -> DataFrame:
             classes, first = trigrams(block.column("text"))
             n = np.diff(first)
             some = np.flatnonzero(n)
-            ll = np.zeros((len(n), len(shared.value)))
-            for k, log in enumerate(shared.value):
-                if len(some):
-                    ll[some, k] = np.add.reduceat(log[classes], first[:-1][some])
-            ll *= (np.minimum(n, WEIGHT) / np.maximum(n, 1))[:, None]
-            values = pa.array([list(x) if m else None for x, m in zip(ll, n, strict=True)], pa.list_(pa.float64()))
+            ll = np.empty((len(some), width))
+            if len(some):
+                logs = (log for part in shared for log in part.value)
+                for k, log in enumerate(logs):
+                    ll[:, k] = np.add.reduceat(log[classes], first[:-1][some], dtype=np.float64)
+                ll[:, -1] = -math.log(CLASSES) * n[some]
+                ll *= (np.minimum(n[some], WEIGHT) / n[some])[:, None]
+            offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, width, 0))]).astype(np.int32)
+            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ll.ravel()), mask=pa.array(n == 0))
             yield pa.RecordBatch.from_arrays([*[block.column(c) for c in others], values], [*others, "ll"])
 
     return rows.mapInArrow(measure, ", ".join([*fields, "ll array<double>"]))
@@ -172,11 +205,14 @@ def declaration_odds(rows: DataFrame, column: str, languages: Sequence[str]) ->
     return np.log(counts / counts.sum(1, keepdims=True))
 
 
-def _said(odds: np.ndarray, column: str, languages: Sequence[str]) -> Column:
-    """The log odds of what a row declares, one for each language."""
+def _with_said(rows: DataFrame, odds: np.ndarray, column: str, languages: Sequence[str]) -> DataFrame:
+    """``rows`` with ``odds_<column>``, the log odds of what a row declares, one for each language."""
     place = F.array_position(F.lit(list(languages)), F.col(column)).cast("int")
     said = F.when(F.col(column).isNull(), len(languages) + 1).when(place > 0, place - 1).otherwise(len(languages))
-    return F.get(F.lit(odds.T.tolist()), said)
+    # A table and not a literal: languages are as many as the corpus has.
+    table = pa.table({"_said": pa.array(np.arange(odds.shape[1], dtype=np.int32)), f"odds_{column}": pa.array(odds.T.tolist())})
+    known = F.broadcast(rows.sparkSession.createDataFrame(table))
+    return rows.withColumn("_said", said).join(known, "_said").drop("_said")
 
 
 def language_id(
@@ -193,8 +229,10 @@ def language_id(
 
     ``declared``, ``suffix`` and ``host`` are columns or expressions, or None where there is no such
     evidence; a null value is a declaration of nothing, and a null host has the prior of all rows.
-    ``languages`` are those to tell apart, by default what enough rows declare. ``text_language`` is
-    the likeliest by text alone, ``language`` by all evidence, or ``und`` if the text is none of them.
+    ``languages`` are those to tell apart, by default all that are declared with ``LEAST_TRIGRAMS`` of
+    text. ``text_language`` is the likeliest by text alone, ``language`` by all evidence, or ``und`` if
+    the text is none of them. By default a row that declares a language with less text, so without a
+    model, is accepted, and has that language unless a known one has a probability of ``least`` or more.
     Accepted are rows with a known language if all known ones together have a probability of ``least``
     or more: a text in two languages is in doubt between them, but not rejected. A null, empty or
     letterless text has no language: ``text_language`` is null, ``language`` is what the rest says, and
@@ -210,27 +248,32 @@ def language_id(
     rows = docs.select(
         F.col(id).alias("id"), F.col(text).alias("text"), column(declared).alias("declared"), column(suffix).alias("suffix"), column(host).alias("host")
     )
-    if languages is None:
-        said = rows.where(F.col("declared").isNotNull()).groupBy("declared").count()
-        found = said.orderBy(F.desc("count"), "declared").limit(MOST_LANGUAGES).collect()
-        total = said.agg(F.sum("count")).first()[0] or 0
-        languages = [r["declared"] for r in found if r["count"] >= LEAST_SHARE * total and r["declared"] != UNKNOWN]
+    named = languages is not None
+    counted = rows.where(F.col("declared").isin(list(languages))) if named else rows.where(F.col("declared") != UNKNOWN)
+    counts = landed(trigram_counts(counted), "trigrams")
+    if not named:
+        totals = counts.groupBy("declared").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TRIGRAMS)
+        languages = [r["declared"] for r in totals.orderBy(F.desc("n"), "declared").collect()]
     languages, n = list(languages), len(languages)
+    unmodelled = F.lit(False) if named else F.col("declared").isNotNull() & ~F.col("declared").isin([*languages, UNKNOWN])
     if not n:
-        nothing = [F.lit(None).cast("string").alias("text_language"), F.lit(UNKNOWN).alias("language"), F.lit(1.0).alias("probability"), F.lit(False).alias("accepted")]
+        taken = F.coalesce(unmodelled & F.col("text").rlike(LETTERS), F.lit(False))
+        language = F.when(taken, F.col("declared")).otherwise(UNKNOWN)
+        nothing = [F.lit(None).cast("string").alias("text_language"), language.alias("language"), F.lit(1.0).alias("probability"), taken.alias("accepted")]
         return rows.select(F.col("id").alias(id), *nothing)
 
-    judged = text_evidence(rows, trigram_counts(rows, languages))
+    judged = text_evidence(rows, counts, languages)
     judged = landed(judged.withColumn("best", _best(F.col("ll"))), "evidence")
-    ways = [_said(declaration_odds(judged, c, languages), c, languages) for c, given in (("declared", declared), ("suffix", suffix)) if given is not None]
+    ways = [(declaration_odds(judged, c, languages), c) for c, given in (("declared", declared), ("suffix", suffix)) if given is not None]
 
     priors = host_priors(judged, n + 1)
     even = F.array_repeat(F.lit(1.0 / (n + 1)), n + 1)
     joined = judged.join(priors, "host", "left")
     prior = F.zip_with(F.coalesce("prior", even), F.lit([1 - UNKNOWN_SHARE] * n + [UNKNOWN_SHARE]), lambda p, u: F.log(p) + F.log(u))
     score = F.zip_with(prior, F.coalesce("ll", F.array_repeat(F.lit(0.0), n + 1)), lambda p, x: p + x)
-    for way in ways:
-        score = F.zip_with(score, way, lambda s, x: s + x)
+    for odds, c in ways:
+        joined = _with_said(joined, odds, c, languages)
+        score = F.zip_with(score, F.col(f"odds_{c}"), lambda s, x: s + x)
     fused = joined.withColumn("score", score)
     most = F.array_max("score")
     total = F.aggregate("score", F.lit(0.0), lambda a, s: a + F.exp(s - F.array_max("score")))
@@ -238,7 +281,9 @@ def language_id(
     language = F.get(names, _best(F.col("score")))
     probability = 1 / total
     known = 1 - F.exp(F.col("score")[n] - most) / total
-    accepted = F.col("ll").isNotNull() & (language != UNKNOWN) & (known >= least)
+    accepted = F.col("ll").isNotNull() & (unmodelled | ((language != UNKNOWN) & (known >= least)))
+    doubtful = (language == UNKNOWN) | (probability < least)
+    language = F.when(unmodelled & F.col("ll").isNotNull() & doubtful, F.col("declared")).otherwise(language)
     return fused.select(
         F.col("id").alias(id),
         F.get(names, F.col("best")).alias("text_language"),

@@ -189,6 +189,30 @@ def test_language_id(spark):
     assert by[403]["language"] == "aa"
 
 
+def test_language_id_models_all_declared_languages(spark):
+    rng = random.Random(9)
+    table = []
+
+    def add(language, n):
+        base = 0x400 + 40 * language
+        for _ in range(n):
+            words = ["".join(chr(base + rng.randrange(30)) for _ in range(rng.randint(3, 8))) for _ in range(12)]
+            table.append((len(table), " ".join(words), f"l{language}", None))
+
+    for language in range(90):  # more than 64, and half of them below a share of 0.002
+        add(language, 40 if language < 45 else 3)
+    table.append((len(table), "ßäß öüö", "rare", None))
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string").repartition(3)
+    result = {r["doc_id"]: r for r in language_id(docs).collect()}
+    assert len(result) == len(table)
+    assert all(result[i]["accepted"] and result[i]["language"] == lang for i, _, lang, _ in table)
+
+
+def test_language_id_without_models(spark, rows):
+    docs = spark.createDataFrame([(1, "abc", "xx", None), (2, "12", "xx", None), (3, "abc", None, None)], "doc_id long, text string, lang string, source string")
+    assert rows(language_id(docs), "doc_id", "language", "accepted") == [(1, "xx", True), (2, "und", False), (3, "und", False)]
+
+
 def test_language_id_without_rows(spark):
     docs = spark.createDataFrame([(1, "abc", None, None)], "doc_id long, text string, lang string, source string")
     assert [tuple(r) for r in language_id(docs).collect()] == [(1, None, "und", 1.0, False)]
