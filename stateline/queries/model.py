@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from stateline.queries.profiling import _profile_sql, _rounded
 from stateline.queries.registry import (
     NATIONS,
     SEGMENTS,
+    SQL,
     query,
     sql_case,
     sql_mean,
@@ -344,8 +346,8 @@ def fewer(df):
     left join ({FEWER_GROWTH_SQL}) using (id_state) group by availability
     """
 )
-def growth_by_type(spark, folder):
-    result = reports.growth_by_availability(institutions(spark, folder), fewer(state_growth(spark, folder)))
+def growth_by_type(spark, folder, side=fewer):
+    result = reports.growth_by_availability(institutions(spark, folder), side(state_growth(spark, folder)))
     return _round(result, 8, "mean_growth")
 
 
@@ -361,8 +363,8 @@ KINDS = {s: s.lower() for s in SEGMENTS}
     from ({INSTITUTIONS_SQL}) left join ({FEWER_GROWTH_SQL}) using (id_state) group by id_state
     """
 )
-def type_mix_and_growth(spark, folder):
-    mix = reports.availability_mix(institutions(spark, folder), fewer(state_growth(spark, folder)), KINDS)
+def type_mix_and_growth(spark, folder, side=fewer):
+    mix = reports.availability_mix(institutions(spark, folder), side(state_growth(spark, folder)), KINDS)
     return _round(mix, 8, "mean_growth")
 
 
@@ -374,8 +376,8 @@ def type_mix_and_growth(spark, folder):
     left join ({FEWER_GROWTH_SQL}) using (id_state) group by availability, employees_from
     """
 )
-def by_staff_and_type(spark, folder):
-    result = reports.growth_by_staff(institutions(spark, folder), fewer(state_growth(spark, folder)), 20)
+def by_staff_and_type(spark, folder, side=fewer):
+    result = reports.growth_by_staff(institutions(spark, folder), side(state_growth(spark, folder)), 20)
     return _round(result, 8, "mean_growth")
 
 
@@ -397,8 +399,8 @@ def by_staff_and_type(spark, folder):
     group by season
     """
 )
-def by_season(spark, folder):
-    result = reports.growth_by_season(growth_rows(spark, folder), fewer(state_table(spark, folder)))
+def by_season(spark, folder, side=fewer):
+    result = reports.growth_by_season(growth_rows(spark, folder), side(state_table(spark, folder)))
     result = _round(result, 4, "mean_new_positive", "mean_temp")
     return _round(result, 8, "correlation")
 
@@ -411,8 +413,8 @@ def by_season(spark, folder):
     using (id_state) group by temp_from
     """
 )
-def mean_by_bucket(spark, folder):
-    result = reports.growth_by_temperature(state_growth(spark, folder), fewer(state_table(spark, folder)), 1000)
+def mean_by_bucket(spark, folder, side=fewer):
+    result = reports.growth_by_temperature(state_growth(spark, folder), side(state_table(spark, folder)), 1000)
     return _round(result, 8, "mean_growth")
 
 
@@ -426,8 +428,8 @@ def mean_by_bucket(spark, folder):
         for s in SHARES
     )
 )
-def rate_by_share(spark, folder):
-    rates = reports.state_rates(case_table(spark, folder), fewer(state_table(spark, folder)), scale=2)
+def rate_by_share(spark, folder, side=fewer):
+    rates = reports.state_rates(case_table(spark, folder), side(state_table(spark, folder)), scale=2)
     return _round(reports.rate_by_share(rates), 8, "positive_correlation", "death_correlation")
 
 
@@ -438,8 +440,15 @@ def rate_by_share(spark, folder):
     from ({DAYS_SQL}) left join ({FEWER_STATES_SQL}) using (id_state)
     """
 )
-def rate_by_population(spark, folder):
-    return reports.rate_by_population(case_table(spark, folder), fewer(state_table(spark, folder)), scale=2)
+def rate_by_population(spark, folder, side=fewer):
+    return reports.rate_by_population(case_table(spark, folder), side(state_table(spark, folder)), scale=2)
+
+
+#: The same reports with both sides whole: ``<name>_whole``.
+for _report in (growth_by_type, type_mix_and_growth, by_staff_and_type, by_season, mean_by_bucket, rate_by_share, rate_by_population):
+    _whole = partial(_report, side=lambda df: df)
+    _whole.__name__ = f"{_report.__name__}_whole"
+    query(SQL[_report.__name__].replace(FEWER_GROWTH_SQL, STATE_GROWTH_SQL).replace(FEWER_STATES_SQL, STATE_SQL))(_whole)
 
 
 @query(

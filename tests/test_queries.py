@@ -38,3 +38,10 @@ def test_entry(spark):
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
     assert driver.queries().keys() >= QUERIES.keys()
+
+
+def test_whole_reports_know_all_nations(spark):
+    growth = QUERIES["type_mix_and_growth_whole"](spark, FOLDER)
+    assert growth.where("mean_growth is null").isEmpty()
+    rates = QUERIES["rate_by_population_whole"](spark, FOLDER)
+    assert {r.id_state for r in rates.where("positive_rate is not null").select("id_state").distinct().collect()} == set(range(25))
