@@ -6,13 +6,16 @@ form a group, prefixes are joined between groups, and what remains is expanded t
 verified on whole sets. Any order gives the same links; this one puts the hashes that most documents
 share last, so that passages found everywhere stay out of the prefixes.
 
-What is wanted is which documents hang together, not each link. Where many groups share a hash, its
+``ngram_jaccard`` says which documents hang together, not each link. Where many groups share a hash, its
 members are therefore compared with a few of them first, and only those still apart with each other.
+``ngram_jaccard_links`` gives all links: similar sets are in one component, so each pair of a component
+whose sizes allow it is compared, block by block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,8 @@ FEW = 8
 HUBS = 4
 #: Ids of at most this many classes are broadcast to find their texts.
 MOST_BROADCAST = 200_000
+#: Links are looked for between blocks of about so many sets, with so many hashes, columns of a matrix at a time.
+BLOCK_SETS, BLOCK_HASHES, COLUMNS = 256, 1 << 17, 2048
 #: Words of a short signature of one length for all sets, which rules out most pairs of small sets.
 BRIEF = 4
 
@@ -356,17 +361,23 @@ def open_pairs(postings: DataFrame, counts: DataFrame, members: DataFrame, found
     return pairs.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()
 
 
-def ngram_jaccard(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row: id, ``n_shingles`` (size of its set) and ``component_id``, the smallest id it hangs together with.
+class Parts(NamedTuple):
+    """Rows of ``sketches``, their classes, and ``vertex, component`` of the classes that link with another."""
 
-    Texts are lower-cased (A-Z) and split at ASCII white space; a set holds the distinct runs of ``n``
-    words, or the whole sequence of fewer. Rows link when 100 * intersection >= ``percent`` * union. A
-    null or empty text has an empty set and links with nothing: its component is its own id. Rows
-    with one set are linked, whatever their ids; a null id takes part, but names a component only if
-    all its ids are null. Repeated rows stay, an empty table gives an empty result, other columns are
-    ignored. Sets and n-grams are compared by hashes of 64 bits.
-    """
-    docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    sketched: DataFrame
+    members: DataFrame
+    found: DataFrame
+
+    def named(self) -> DataFrame:
+        """``cls, component_id`` of all classes."""
+        labelled = self.members.join(self.found, F.col("cls") == F.col("vertex"), "left")
+        labelled = labelled.select("cls", "id", F.coalesce("component", "cls").alias("component"))
+        least = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
+        return labelled.join(least, "component").select("cls", "component_id")
+
+
+def parts(docs: DataFrame, n: int, percent: int) -> Parts:
+    """What hangs together among the rows ``id, text``."""
     sketched = landed(sketches(docs, n, percent, frequent_hashes(docs, n)), "sketches")
     same = sketched.where(F.col("size") > 0).groupBy("cls", "grp", "size")
     members = landed(same.agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("brief").alias("brief")), "classes")
@@ -385,11 +396,142 @@ def ngram_jaccard(docs: DataFrame, id: str = "doc_id", text: str = "text", n: in
     more = landed(more.join(pairs, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         found = components(links.unionByName(linked(more)))
+    return Parts(sketched, members, found)
+
+
+def _range(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+
 
-    labelled = members.join(found, F.col("cls") == F.col("vertex"), "left")
-    labelled = labelled.select("cls", "id", F.coalesce("component", "cls").alias("component"))
-    least = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = labelled.join(least, "component").select("cls", "component_id")
-    result = sketched.select("id", F.col("size").cast("bigint").alias("n_shingles"), "cls").join(named, "cls", "left")
+def tiles(vertices: DataFrame, percent: int) -> DataFrame:
+    """``cls`` and each ``tile`` it takes part in, on side ``a`` or not: any two classes that may link meet in one tile.
+
+    ``vertices``: ``cls, component, size``. A component's classes are dealt by band of sizes, and within
+    a band to blocks; a tile is two blocks of a band or of neighbouring bands. A component that fits
+    a block is one tile. How many rows a class becomes is the number of blocks of its bands.
+    """
+    blocks_ = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("size") / BLOCK_HASHES))
+    whole = vertices.groupBy("component").agg(blocks_.alias("whole"))
+    rows = vertices.join(whole, "component").withColumn("band", F.when(F.col("whole") > 1, _band(F.col("size"), percent)).otherwise(0))
+    dealt = landed(rows.groupBy("component", "band").agg(blocks_.alias("blocks")), "dealt")
+    above = dealt.select("component", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    below = dealt.select("component", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    around = dealt.join(above, ["component", "band"], "left").join(below, ["component", "band"], "left").na.fill(0)
+    rows = rows.join(around, ["component", "band"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    band, block = F.col("band"), F.col("block")
+
+    def tile(band_a: Column, a: Column, band_b: Column, b: Column, first: Column) -> Column:
+        return F.struct(band_a.alias("band_a"), a.alias("a"), band_b.alias("band_b"), b.alias("b"), first.alias("first"))
+
+    same = F.transform(_range(F.col("blocks")), lambda j: tile(band, F.least(block, j), band, F.greatest(block, j), block <= j))
+    up = F.transform(_range(F.col("above")), lambda j: tile(band, block, band + 1, j, F.lit(True)))
+    down = F.transform(_range(F.col("below")), lambda j: tile(band - 1, j, band, block, F.lit(False)))
+    return rows.select("cls", "component", F.explode(F.concat(same, up, down)).alias("tile")).select("cls", "component", "tile.*")
+
+
+def similar(table: pa.Table, percent: int) -> pa.Table:
+    """The pairs ``a, b`` of a tile's classes that are similar enough, and ``common``, the hashes they share."""
+    table = table.combine_chunks()
+    cls, kept = np.unique(table.column("cls").to_numpy(), return_index=True)
+    table = table.take(pa.array(kept)).combine_chunks()
+    first = table.column("first").to_numpy()
+    alone = table.column("a")[0] == table.column("b")[0] and table.column("band_a")[0] == table.column("band_b")[0]
+    sets_ = table.column("hashes").chunk(0)
+    lengths = np.diff(sets_.offsets.to_numpy())
+    of = np.repeat(np.arange(len(cls)), lengths)
+    _, column, counts = np.unique(sets_.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shared = counts[column] > 1
+    place = (np.cumsum(counts > 1) - 1)[column[shared]]
+    order = np.argsort(place, kind="stable")
+    place, of = place[order], of[shared][order]
+    x, y = (np.arange(len(cls)),) * 2 if alone else (np.flatnonzero(first), np.flatnonzero(~first))
+    common = np.zeros((len(x), len(y)))
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        begin, end = np.searchsorted(place, [at, at + COLUMNS])
+        has = np.zeros((len(cls), COLUMNS), np.float32)
+        has[of[begin:end], place[begin:end] - at] = 1
+        common += has[x] @ has[y].T
+    good = (common > 0) & (100 * common >= percent * (lengths[x][:, None] + lengths[y][None, :] - common))
+    if alone:
+        good = np.triu(good, 1)
+    i, j = np.nonzero(good)
+    a, b = cls[x[i]], cls[y[j]]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "common": common[i, j].astype(np.int64)})
+
+
+def all_links(docs: DataFrame, found: Parts, n: int, percent: int) -> DataFrame:
+    """``a, b, common``: every two classes that link, once, and how many hashes they share."""
+    vertices = found.members.join(found.found, F.col("cls") == F.col("vertex")).select("cls", "component", "size", "id")
+    vertices = landed(vertices, "vertices")
+
+    def hashed(batches):
+        for block in blocks(batches, "text"):
+            wanted, values, kept = block.column("cls").to_numpy(), [np.empty(0, np.uint64)], []
+            for i, hashes in sets(block, n):
+                if set_key(hashes).astype(np.int64) == wanted[i]:  # where ids repeat, texts of other classes come, too
+                    values.append(hashes)
+                    kept.append(i)
+            held = lists(signed(np.concatenate(values)), np.array([len(v) for v in values[1:]], np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(wanted[kept]), held], ["cls", "hashes"])
+
+    texts = landed(fetched_texts(docs, vertices.select("cls", "id")), "texts")
+    held = landed(texts.mapInArrow(hashed, "cls bigint, hashes array<bigint>"), "sets")
+    rows = tiles(vertices, percent).join(held, "cls")
+    found_in = rows.groupBy("component", "band_a", "a", "band_b", "b")
+    return found_in.applyInArrow(lambda table: similar(table, percent), "a bigint, b bigint, common bigint")
+
+
+class Links(NamedTuple):
+    """All links.
+
+    ``documents``: per row its id, ``n_shingles``, ``class``, ``n_links`` and ``component_id``. Rows with
+    one set are of one class and linked; ``class`` is null for an empty set. ``n_links`` counts the rows
+    that a row links with, by its class or another, without itself.
+    ``links``: ``a, b, common``, every two classes that link, once, and the size of their intersection.
+    """
+
+    documents: DataFrame
+    links: DataFrame
+
+
+def ngram_jaccard_links(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> Links:
+    """Every link between rows as ``ngram_jaccard`` defines it; copies are one class, and not expanded into pairs.
+
+    The links between classes are as many as there are: the square of a family where all its texts are similar.
+    """
+    docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    found = parts(docs, n, percent)
+    links = landed(all_links(docs, found, n, percent), "all_links")
+    copies = found.sketched.where(F.col("size") > 0).groupBy("cls").agg(F.count(F.lit(1)).alias("copies"))
+    copies = landed(copies, "copies")
+    ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(copies, F.col("b") == F.col("cls")).groupBy("a").agg(F.sum("copies").alias("others"))
+    classes = copies.join(others, F.col("cls") == F.col("a"), "left").join(found.named(), "cls")
+    classes = classes.select("cls", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
+    rows = found.sketched.select("id", F.col("size").cast("bigint").alias("n_shingles"), "cls").join(classes, "cls", "left")
+    some = F.col("n_shingles") > 0
+    documents = rows.select(
+        F.col("id").alias(id),
+        "n_shingles",
+        F.when(some, F.col("cls")).alias("class"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.when(some, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+    )
+    return Links(documents, links)
+
+
+def ngram_jaccard(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Components only. Per row: id, ``n_shingles`` (size of its set) and ``component_id``, the smallest id it hangs together with.
+
+    Texts are lower-cased (A-Z) and split at ASCII white space; a set holds the distinct runs of ``n``
+    words, or the whole sequence of fewer. Rows link when 100 * intersection >= ``percent`` * union. A
+    null or empty text has an empty set and links with nothing: its component is its own id. Rows
+    with one set are linked, whatever their ids; a null id takes part, but names a component only if
+    all its ids are null. Repeated rows stay, an empty table gives an empty result, other columns are
+    ignored. Sets and n-grams are compared by hashes of 64 bits.
+    """
+    docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    found = parts(docs, n, percent)
+    result = found.sketched.select("id", F.col("size").cast("bigint").alias("n_shingles"), "cls").join(found.named(), "cls", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return result.select(F.col("id").alias(id), "n_shingles", component.alias("component_id"))

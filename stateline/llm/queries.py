@@ -9,7 +9,7 @@ from stateline.llm.best_fit_packing import best_fit_packing
 from stateline.llm.decontamination import contaminated, hit_words, with_matches
 from stateline.llm.language_id import language_id
 from stateline.llm.multi_index_hashing import nearest_neighbours
-from stateline.llm.ngram_jaccard import ngram_jaccard
+from stateline.llm.ngram_jaccard import ngram_jaccard, ngram_jaccard_links
 from stateline.llm.quality_classifier import quality_classifier
 from stateline.llm.substring_dedup import substring_dedup
 from stateline.llm.token_counts import token_counts
@@ -176,6 +176,18 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard(table(spark, folder, "documents"), n=5, percent=75)
 
 
+@_register(
+    SQL["op2_ngram_jaccard"].partition("    reach as")[0].rstrip().removesuffix(",")
+    + """
+    select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(k, 0) as n_links
+    from d left join sizes using (r) left join (select a as r, count(*) as k from links group by a) using (r)"""
+)
+def op2_ngram_jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
+    """How many documents each document links with, of all links."""
+    found = ngram_jaccard_links(table(spark, folder, "documents"), n=5, percent=75)
+    return found.documents.select("doc_id", "n_shingles", "n_links")
+
+
 @_register()
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's quality, learned from the labels that are not held out."""

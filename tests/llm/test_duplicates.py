@@ -12,7 +12,7 @@ import stateline.llm.substring_dedup as substring
 import stateline.llm.words as words_module
 from stateline.llm.components import components
 from stateline.llm.decontamination import decontaminate, hit_words, with_matches
-from stateline.llm.ngram_jaccard import least_difference, ngram_jaccard, signature
+from stateline.llm.ngram_jaccard import least_difference, ngram_jaccard, ngram_jaccard_links, signature
 from stateline.llm.substring_dedup import COVER, PERIOD, substring_dedup
 
 SCHEMA = "doc_id long, text string, n_words string, cls int"
@@ -52,6 +52,23 @@ def test_ngram_jaccard(spark, rows, monkeypatch, few, hubs, frequent):
     assert rows(found) == sorted(expected, key=lambda r: tuple((v is None, v) for v in r))
 
 
+@pytest.mark.parametrize("block", [256, 3])
+def test_ngram_jaccard_links_are_all_links(spark, rows, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+    table = families(4)
+    found = ngram_jaccard_links(spark.createDataFrame(table, SCHEMA).repartition(5))
+    held = [brute.shingles(text) for _, text, *_ in table]
+    alike = [[bool(x and y) and 100 * len(x & y) >= 75 * len(x | y) for y in held] for x in held]
+    key = lambda r: tuple((v is None, v) for v in r)
+    components_ = brute.components([r[:2] for r in table])
+    expected = [(row[0], len(x), sum(near) - bool(x)) for row, x, near in zip(table, held, alike, strict=True)]
+    assert rows(found.documents, "doc_id", "n_shingles", "n_links") == sorted(expected, key=key)
+    assert rows(found.documents, "doc_id", "n_shingles", "component_id") == sorted(components_, key=key)
+    kinds = list({frozenset(x) for x in held if x})
+    pairs = sorted(len(x & y) for i, x in enumerate(kinds) for y in kinds[:i] if 100 * len(x & y) >= 75 * len(x | y))
+    assert sorted(r["common"] for r in found.links.collect()) == pairs
+
+
 def test_ngram_jaccard_of_nothing(spark, rows):
     assert rows(ngram_jaccard(spark.createDataFrame([], SCHEMA))) == []
     assert rows(ngram_jaccard(spark.createDataFrame([(2, None, "", 0), (1, " ", "", 0)], SCHEMA))) == [(1, 0, 1), (2, 0, 2)]
