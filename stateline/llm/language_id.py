@@ -173,19 +173,20 @@ def _counts(place: str, n: int) -> Column:
     return F.array(*[F.sum((F.col(place) == k).cast("double")) for k in range(n)])
 
 
-def host_priors(rows: DataFrame, n: int) -> DataFrame:
-    """``host, prior``: shares of languages by host, smoothed by domain and by all rows.
+def host_priors(rows: DataFrame, n: int) -> tuple[DataFrame, Column]:
+    """``host, prior``: shares of languages by host, smoothed by domain and by all rows; and those of all rows.
 
     ``rows``: ``host`` and ``best``, the language of the text alone. A frequent host is added up before
     it is moved.
     """
-    hosts = rows.where(F.col("host").isNotNull() & F.col("best").isNotNull()).groupBy("host").agg(_counts("best", n).alias("counts"))
+    hosts = rows.where(F.col("best").isNotNull()).groupBy("host").agg(_counts("best", n).alias("counts"))
     hosts = landed(hosts.withColumn("domain", domain_of(F.col("host"))), "hosts")
     added = F.array(*[F.sum(F.col("counts")[k]) for k in range(n)])
     everything = hosts.agg(added.alias("counts")).select(_log_shares(F.coalesce("counts", F.array_repeat(F.lit(0.0), n)), None, SMOOTHING * n, n).alias("prior"))
     total = F.lit(everything.first()["prior"])
+    hosts = hosts.where(F.col("host").isNotNull())
     domains = hosts.groupBy("domain").agg(added.alias("own")).select("domain", _log_shares(F.col("own"), total, DOMAIN_LEAN, n).alias("above"))
-    return hosts.join(domains, "domain").select("host", _log_shares(F.col("counts"), F.col("above"), HOST_LEAN, n).alias("prior"))
+    return hosts.join(domains, "domain").select("host", _log_shares(F.col("counts"), F.col("above"), HOST_LEAN, n).alias("prior")), total
 
 
 def declaration_odds(rows: DataFrame, column: str, languages: Sequence[str]) -> np.ndarray:
@@ -266,10 +267,9 @@ def language_id(
     judged = landed(judged.withColumn("best", _best(F.col("ll"))), "evidence")
     ways = [(declaration_odds(judged, c, languages), c) for c, given in (("declared", declared), ("suffix", suffix)) if given is not None]
 
-    priors = host_priors(judged, n + 1)
-    even = F.array_repeat(F.lit(1.0 / (n + 1)), n + 1)
+    priors, overall = host_priors(judged, n + 1)
     joined = judged.join(priors, "host", "left")
-    prior = F.zip_with(F.coalesce("prior", even), F.lit([1 - UNKNOWN_SHARE] * n + [UNKNOWN_SHARE]), lambda p, u: F.log(p) + F.log(u))
+    prior = F.zip_with(F.coalesce("prior", overall), F.lit([1 - UNKNOWN_SHARE] * n + [UNKNOWN_SHARE]), lambda p, u: F.log(p) + F.log(u))
     score = F.zip_with(prior, F.coalesce("ll", F.array_repeat(F.lit(0.0), n + 1)), lambda p, x: p + x)
     for odds, c in ways:
         joined = _with_said(joined, odds, c, languages)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import stateline.llm.url_filters as filters
-from stateline.llm.language_id import language_id, trigrams
+from stateline.llm.language_id import host_priors, language_id, trigrams
 from stateline.llm.quality_classifier import FEATURES, Discriminant, quality_classifier, statistics
 from stateline.llm.queries import URL_RULES
 from stateline.llm.toxicity import toxicity
@@ -208,6 +208,14 @@ def test_language_id_models_all_declared_languages(spark):
     assert all(result[i]["accepted"] and result[i]["language"] == lang for i, _, lang, _ in table)
 
 
+def test_host_priors_of_rows_without_host(spark):
+    rows = spark.createDataFrame([("a.org", 0)] * 5 + [(None, 0)] * 4 + [(None, 1)], "host string, best int")
+    priors, overall = host_priors(rows, 2)
+    assert [r["host"] for r in priors.collect()] == ["a.org"]
+    shares = spark.range(1).select(overall.alias("p")).first()["p"]
+    assert np.allclose(shares, [(9 + 1) / 12, (1 + 1) / 12])
+
+
 def test_language_id_without_models(spark, rows):
     docs = spark.createDataFrame([(1, "abc", "xx", None), (2, "12", "xx", None), (3, "abc", None, None)], "doc_id long, text string, lang string, source string")
     assert rows(language_id(docs), "doc_id", "language", "accepted") == [(1, "xx", True), (2, "und", False), (3, "und", False)]
