@@ -4,7 +4,8 @@ Two equal runs of ``window`` words begin anywhere in their documents. Hashes are
 that are, modulo a period, in a difference cover: for any two places, some shift below the period brings
 both to cover places. So two equal runs always share an anchor at the same distance from their starts,
 and only about a fifth of all places has one. A place near an anchor that another document has as well
-is then extended: the whole windows around it are compared, and nothing else is.
+is then extended: the whole windows around it are compared. Exact copies of a text with a smaller id are
+settled by a hash of the whole text, and nothing else is compared.
 """
 
 from __future__ import annotations
