@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from stateline.llm.best_fit_packing import best_fit_packing
 from stateline.llm.decontamination import contaminated, hit_words, with_matches
+from stateline.llm.hard_negatives import hard_negatives
 from stateline.llm.language_id import language_id
 from stateline.llm.multi_index_hashing import nearest_neighbours
 from stateline.llm.ngram_jaccard import ngram_jaccard, ngram_jaccard_links
 from stateline.llm.quality_classifier import quality_classifier
+from stateline.llm.source_mixing import source_mixing
 from stateline.llm.substring_dedup import substring_dedup
 from stateline.llm.token_counts import token_counts
 from stateline.llm.toxicity import toxicity
@@ -225,3 +227,40 @@ def op1_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest rows found for every vector whose id is divisible by 20."""
     vectors = table(spark, folder, "embeddings")
     return nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@_register()
+def op12_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How often a mix of 150% of all words takes each document."""
+    return source_mixing(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, most=2)
+
+
+@_register(
+    """
+    with v as (
+        select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as x
+        from embeddings
+        where label is not null and embedding is not null and len(list_filter(embedding, x -> isfinite(x))) = len(embedding)),
+    s as (
+        select a.id as anchor_id, b.id as id, a.label = b.label as same,
+            cast(list_dot_product(cast(a.x as double[]), cast(b.x as double[])) as bigint) as score
+        from v a join v b on a.id <> b.id where a.id % 100 = 0),
+    p as (
+        select anchor_id, id as positive_id, score as positive_score from s where same
+        qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+    n as (
+        select p.*, s.id as negative_id, s.score as negative_score,
+            row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.id) as rank
+        from p join s on s.anchor_id = p.anchor_id and not same
+            and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+    select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 5"""
+)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Five positives of every row whose id is divisible by 100, and five hard negatives of each."""
+    rows = table(spark, folder, "embeddings")
+    finite = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    rows = rows.where(finite).select("vec_id", label.alias("label"), whole.alias("embedding"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, least_percent=80)
