@@ -239,9 +239,9 @@ def op12_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """
     with v as (
         select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-            list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as x
+            list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as x
         from embeddings
-        where label is not null and embedding is not null and len(list_filter(embedding, x -> isfinite(x))) = len(embedding)),
+        where label is not null and embedding is not null and len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
     s as (
         select a.id as anchor_id, b.id as id, a.label = b.label as same,
             cast(list_dot_product(cast(a.x as double[]), cast(b.x as double[])) as bigint) as score
