@@ -11,6 +11,7 @@ from stateline.llm.hard_negatives import hard_negatives
 from stateline.llm.language_id import language_id
 from stateline.llm.multi_index_hashing import nearest_neighbours
 from stateline.llm.ngram_jaccard import ngram_jaccard, ngram_jaccard_links
+from stateline.llm.prefix_trie import head_swapped, prefix_nodes, turn_sequences
 from stateline.llm.quality_classifier import quality_classifier
 from stateline.llm.source_mixing import source_mixing
 from stateline.llm.substring_dedup import substring_dedup
@@ -229,6 +230,57 @@ def op1_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+#: CRC-32 of an id's decimal digits, bit by bit: each byte meets the lowest bits, then eight shifts.
+_CRC32 = """
+    xor(4294967295, list_reduce(
+        list_prepend(4294967295::bigint, flatten(list_transform(string_split(cast({id} as varchar), ''),
+            lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda crc, bit: xor(xor(crc, bit) >> 1, 3988292384 * (xor(crc, bit) & 1))))"""
+
+
+@_register(
+    f"""
+    with own as (
+        select conv_id, row_number() over (partition by conv_id order by turn nulls first) - 1 as pos,
+            coalesce(role, '') as role, coalesce(text, '') as text
+        from conversations where conv_id is not null),
+    convs as (
+        select conv_id, conv_id - conv_id % 5 as head, {_CRC32.format(id="conv_id")} % 9 as h
+        from (select distinct conv_id from own)),
+    rebuilt as (
+        select c.conv_id, 0 as part, o.pos, role, text from convs c join own o on o.conv_id = c.head and o.pos < c.h
+        union all
+        select c.conv_id, 1, o.pos, role, text from convs c join own o on o.conv_id = c.conv_id and o.pos >= c.h),
+    turns as (
+        select conv_id, row_number() over (partition by conv_id order by part, pos) as d,
+            md5(cast(strlen(role) as varchar) || ':' || role || text) as code, strlen(text) as size
+        from rebuilt),
+    listed as (select conv_id, max(d) as len, list(code order by d) as codes from turns group by conv_id),
+    paths as (
+        select conv_id, d, size, md5(list_aggregate(codes[1:d], 'string_agg', ',')) as k from turns join listed using (conv_id)
+        union all select conv_id, 0, 0, '' from convs),
+    whole as (select conv_id, coalesce(len, 0) as len from convs left join listed using (conv_id)),
+    nodes as (
+        select k, d, min(conv_id) as conv_id, count(*) as n, any_value(size) as size,
+            string_agg(case when d = len then conv_id end, ',' order by conv_id) as ends
+        from paths join whole using (conv_id) group by k, d),
+    edges as (select distinct p.k as above, q.k as k, q.d from paths p join paths q on p.conv_id = q.conv_id and q.d = p.d + 1),
+    children as (select above as k, count(*) as n_children from edges group by above),
+    below as (select distinct p.k as above, q.k as k from paths p join paths q on p.conv_id = q.conv_id and q.d >= p.d),
+    sums as (
+        select above as k, count(*) filter (where n_children is null) as n_leaves, sum((n - 1) * size) as saved_tokens
+        from below join nodes using (k) left join children using (k) group by above)
+    select x.conv_id, cast(x.d as bigint) as depth, p.conv_id as parent_conv_id, x.n as n_convs, coalesce(n_children, 0) as n_children,
+        n_leaves, cast(saved_tokens as bigint) as saved_tokens, sha256(coalesce(x.ends, '')) as ends_sha256
+    from nodes x left join edges e on e.k = x.k left join nodes p on p.k = e.above
+    left join children c on c.k = x.k join sums s on s.k = x.k"""
+)
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of conversations that begin with up to eight turns of their family's first."""
+    sequences = turn_sequences(table(spark, folder, "conversations"))
+    return prefix_nodes(head_swapped(sequences, family=5, most=9, chosen=F.crc32(F.col("id").cast("string").cast("binary")) % 9))
+
+
 @_register()
 def op12_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How often a mix of 150% of all words takes each document."""
