@@ -81,3 +81,53 @@ def test_every_code_within_the_radius(radius):
         for code in codes[95:105] & mask:
             expected = np.flatnonzero(np.bitwise_count((codes & mask) ^ code) <= radius)
             assert index.within(code, radius).tolist() == expected.tolist()
+
+
+@pytest.mark.parametrize("radius", [0, 9, 40, 100])
+def test_codes_of_several_words(radius):
+    rng = np.random.default_rng(radius)
+    codes = rng.integers(0, 2**63, (300, 3), dtype=np.uint64)
+    for i in range(100):
+        codes[i] = codes[100]
+        for bit in rng.integers(0, 180, rng.integers(0, 60)):
+            codes[i, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    index = Index(codes, [(at, 16) for at in range(0, 192, 16)])
+    distances = index.distances(codes[95:105])
+    for code, distance in zip(codes[95:105], distances, strict=True):
+        expected = np.bitwise_count(codes ^ code).sum(1, dtype=int)
+        assert distance.tolist() == expected.tolist()
+        assert index.within(code, radius).tolist() == np.flatnonzero(expected <= radius).tolist()
+
+
+@pytest.mark.parametrize("shard_rows", [(8192, 65536), (30, 30)])
+def test_an_id_with_many_vectors_is_one_neighbour(spark, monkeypatch, shard_rows):
+    monkeypatch.setattr(hashing, "SHARD_ROWS", shard_rows)
+    rng = np.random.default_rng(3)
+    table = [(i, np.float32(rng.normal(size=16)).tolist(), "") for i in range(100)]
+    table += [(7, np.float32(0.1 * rng.normal(size=16) + 9 * np.array(table[0][1])).tolist(), "") for _ in range(60)]
+    table += [(8, table[8][1], "")] * 50
+    frame = spark.createDataFrame(table, SCHEMA)
+    found = nearest_neighbours(frame, frame.where("vec_id = 0"), k=20).orderBy("rank").collect()
+    assert [r["rank"] for r in found] == list(range(1, 21))
+    assert len({r["vec_id"] for r in found}) == 20
+    best: dict = {}
+    for i, v, _ in table[1:]:
+        best[i] = max(best.get(i, -np.inf), float(np.array(table[0][1], float) @ np.array(v, float)))
+    assert found[0]["vec_id"] == 7
+    assert all(r["score"] == pytest.approx(best[r["vec_id"]]) for r in found)
+    assert len({r["vec_id"] for r in found} & set(sorted(best, key=lambda i: -best[i])[:20])) >= 18
+
+
+@pytest.mark.parametrize("part", [0.0, 1e9])
+def test_probing_and_testing_all_codes_find_the_same(spark, monkeypatch, part):
+    """Near copies, so that the radius is small; buckets are probed, or all codes tested."""
+    monkeypatch.setattr(hashing, "PROBED_PART", part)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16))
+    table = [(i, np.float32(centres[i % 40] + 0.02 * rng.normal(size=16)).tolist(), "") for i in range(1200)]
+    frame = spark.createDataFrame(table, SCHEMA)
+    got: dict = {}
+    for r in nearest_neighbours(frame, frame.where("vec_id % 100 = 0"), k=10).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    expected = exact(table, set(range(0, 1200, 100)), 10)
+    assert np.mean([len(got[q] & {j for j, _ in near}) / 10 for q, near in expected.items()]) >= 0.95
