@@ -235,9 +235,10 @@ def language_id(
     the text is none of them. By default a row that declares a language with less text, so without a
     model, is accepted, and has that language unless a known one has a probability of ``least`` or more.
     Accepted are rows with a known language if all known ones together have a probability of ``least``
-    or more: a text in two languages is in doubt between them, but not rejected. A null, empty or
-    letterless text has no language: ``text_language`` is null, ``language`` is what the rest says, and
-    the row is not accepted. Without any declared language every row is ``und``. Repeated rows and null
+    or more: a text in two languages is in doubt between them, but not rejected. A text whose letters make
+    no trigram (``Hi``) has a null ``text_language`` and is judged by the rest. A null, empty or letterless
+    text has no language: ``text_language`` is null, ``language`` is what the rest says, and the row is not
+    accepted. Without any declared language every row is ``und``. Repeated rows and null
     ids stay, an empty table gives an empty result, other columns are ignored.
 
     Texts are read twice, to count and to judge, and never moved; hosts are joined to a few numbers per row.
@@ -249,6 +250,7 @@ def language_id(
     rows = docs.select(
         F.col(id).alias("id"), F.col(text).alias("text"), column(declared).alias("declared"), column(suffix).alias("suffix"), column(host).alias("host")
     )
+    rows = rows.withColumn("lettered", F.coalesce(F.col("text").rlike(LETTERS), F.lit(False)))
     named = languages is not None
     counted = rows.where(F.col("declared").isin(list(languages))) if named else rows.where(F.col("declared") != UNKNOWN)
     counts = landed(trigram_counts(counted), "trigrams")
@@ -258,7 +260,7 @@ def language_id(
     languages, n = list(languages), len(languages)
     unmodelled = F.lit(False) if named else F.col("declared").isNotNull() & ~F.col("declared").isin([*languages, UNKNOWN])
     if not n:
-        taken = F.coalesce(unmodelled & F.col("text").rlike(LETTERS), F.lit(False))
+        taken = unmodelled & F.col("lettered")
         language = F.when(taken, F.col("declared")).otherwise(UNKNOWN)
         nothing = [F.lit(None).cast("string").alias("text_language"), language.alias("language"), F.lit(1.0).alias("probability"), taken.alias("accepted")]
         return rows.select(F.col("id").alias(id), *nothing)
@@ -281,9 +283,9 @@ def language_id(
     language = F.get(names, _best(F.col("score")))
     probability = 1 / total
     known = 1 - F.exp(F.col("score")[n] - most) / total
-    accepted = F.col("ll").isNotNull() & (unmodelled | ((language != UNKNOWN) & (known >= least)))
+    accepted = F.col("lettered") & (unmodelled | ((language != UNKNOWN) & (known >= least)))
     doubtful = (language == UNKNOWN) | (probability < least)
-    language = F.when(unmodelled & F.col("ll").isNotNull() & doubtful, F.col("declared")).otherwise(language)
+    language = F.when(unmodelled & F.col("lettered") & doubtful, F.col("declared")).otherwise(language)
     return fused.select(
         F.col("id").alias(id),
         F.get(names, F.col("best")).alias("text_language"),
