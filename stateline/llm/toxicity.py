@@ -170,7 +170,7 @@ def toxicity(
 
     ``labels`` has the same id and a column 0 or 1 per category; null and other values are unknown, of
     several rows for an id the largest counts, a null id labels nothing. The models are fitted on a
-    sample of at most ``sample_rows`` labelled rows; their texts are found by a broadcast of the sample,
+    sample of at most ``sample_rows`` labelled ids, one row each (the one with the least terms); their texts are found by a broadcast of the sample,
     which that bound bounds, and reduced to a few hundred bits each before they reach the driver. If a category has no rows of some value, its model gives the share there
     is. All texts are scored whole, a null text as an empty one; repeated rows and null ids stay, an
     empty table gives an empty result, other columns are ignored.
@@ -190,7 +190,8 @@ def toxicity(
 
     columns = ", ".join(f"{c} int" for c in names)
     rows = docs.join(sample, "id").select("order", *names, "text").mapInArrow(read, f"order bigint, {columns}, terms array<bigint>")
-    rows = landed(rows, "sample")
+    # Of several rows with an id one counts, so the bound of the sample holds for rows, too.
+    rows = landed(rows.groupBy("order", *names).agg(F.min("terms").alias("terms")), "sample")
     chain = _fitted(rows, names)
     kind = docs.schema["id"].dataType.simpleString()
 
