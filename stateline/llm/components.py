@@ -13,7 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     In a round each vertex joins its smallest neighbour, if that is smaller, and the links are drawn
     between what they joined. At least half of the vertices that still have links disappear in each
-    round. Vertices and links stay in tables; the driver sees only whether any link is left.
+    round. Vertices and links stay in tables; the driver sees only whether any link is left. The result
+    is a table, too, so that whoever uses it more than once does not plan and run all rounds again.
     """
     edges = landed(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "links")
     rounds: list[DataFrame] = []
@@ -34,5 +35,5 @@ def components(edges: DataFrame) -> DataFrame:
     for parents in reversed(rounds):
         above = found.select(F.col("vertex").alias("parent"), "component")
         component = F.coalesce("component", "parent").alias("component")
-        found = parents.join(above, "parent", "left").select("vertex", component)
+        found = landed(parents.join(above, "parent", "left").select("vertex", component), "components")
     return found

@@ -344,14 +344,15 @@ def open_pairs(postings: DataFrame, counts: DataFrame, members: DataFrame, found
     crowded = sizes.where(F.col("classes") > 1).select("grp")
     alone = members.join(crowded, "grp").select(F.col("grp").alias("hash"), "cls", "size", F.lit(0).alias("pos"))
     rows = rows.unionByName(alone).join(found, F.col("cls") == F.col("vertex"), "left")
-    rows = rows.select("hash", "cls", "size", "pos", F.coalesce("component", "cls").alias("component"))
+    rows = landed(rows.select("hash", "cls", "size", "pos", F.coalesce("component", "cls").alias("component")), "apart")
     # Only rows outside a hash's commonest component look for partners: within it there is nothing to find.
     parts = rows.groupBy("hash", "component").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("hash").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", "n").alias("main"))
-    rows = rows.join(main.where(F.col("parts") > 1).select("hash", "main"), "hash").withColumn("band", _band(F.col("size"), percent))
+    main = landed(main.where(F.col("parts") > 1).select("hash", "main"), "main")
+    rows = rows.join(main, "hash").withColumn("band", _band(F.col("size"), percent))
     # Signatures come last: few rows are left to carry them.
     briefs = [F.col("brief")[i].alias(f"brief{i}") for i in range(BRIEF)]
-    rows = rows.join(members.select("cls", "sig", *briefs), "cls")
+    rows = landed(rows.join(members.select("cls", "sig", *briefs), "cls"), "open")
     around = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
     seeking = rows.where(F.col("component") != F.col("main")).withColumn("band", around)
     same = (F.col("a.hash") == F.col("b.hash")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.component") != F.col("b.component"))
@@ -382,7 +383,7 @@ def parts(docs: DataFrame, n: int, percent: int) -> Parts:
     same = sketched.where(F.col("size") > 0).groupBy("cls", "grp", "size")
     members = landed(same.agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("brief").alias("brief")), "classes")
     postings = landed(shared_postings(sketched), "postings")
-    counts = postings.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    counts = landed(postings.groupBy("hash").agg(F.count(F.lit(1)).alias("n")), "counts")
 
     def linked(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
