@@ -29,7 +29,7 @@ def test_query(spark, db, name):
 
 def test_registered():
     names = driver.queries().keys()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in names if name.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in names if name.startswith("op")}
     assert "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard", "substring_dedup", "decontamination", "best_fit_packing"]
 
@@ -116,6 +116,24 @@ def test_run(spark, folder):
             at += length
 
 
+def test_two_runs_do_not_disturb_each_other(spark, folder):
+    """The first result can be read after a second run, and neither leaves the stages' own tables behind."""
+    first = corpus_pipeline.run(spark, folder)
+    second = corpus_pipeline.run(spark, folder)
+    assert first.count() == second.count() > 0
+    assert {r["doc_id"] for r in first.collect()} == {r["doc_id"] for r in second.collect()}
+
+
+def test_short_texts_are_kept(spark, rows, tmp_path):
+    """Texts of so few letters that they have no trigram are judged by what they declare."""
+    words = "this is a text with enough words in one language to make a model of it and then some more of them"
+    docs = [(i, f"{words} {i}", "en", "a", 1) for i in range(20)] + [(100, "Hi", "en", "a", 2), (101, "OK", "en", None, 2), (102, "A -- 1", "en", "b", 6)]
+    docs += [(103, "...", "en", "a", 3), (104, "é", "xx", "a", 1)]
+    frame = spark.createDataFrame(docs, DOCS)
+    found = stage("language_id")(spark, frame, str(tmp_path))
+    assert [r[0] for r in rows(found)] == [*range(20), 100, 101, 102, 104]
+
+
 def test_run_of_nothing(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
