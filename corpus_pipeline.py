@@ -46,12 +46,22 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near duplicates, null ids last.
 
-    Rows that are equal in every column are one group, too, and one of them stays.
+    Rows that are equal in every column are one group, too, and one of them stays. The join runs on row
+    numbers; which row of a group has the smallest doc_id is looked up once, at the end.
     """
-    least = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("doc_id"), F.col(ROW).alias("row"))
-    found = landed(ngram_jaccard(_numbered(docs).withColumn("_least", least), id="_least"), "components")
-    kept = _without(docs, found.where(F.col("_least") != F.col("component_id")).select(F.col("_least.row").alias(ROW)))
-    again = landed(found.groupBy(F.col("_least.row").alias(ROW)).count().where(F.col("count") > 1).select(ROW), "repeated")
+    with scratch_noted() as made:
+        joined = ngram_jaccard(_numbered(docs), id=ROW).select(ROW, F.col("component_id").alias("group"))
+    found = landed(joined, "groups")
+    for path in made:  # the join's own tables; nothing after this line reads them
+        delete(spark, path)
+    ids = landed(_numbered(docs).select(ROW, "doc_id").distinct(), "ids")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col(ROW))
+    # Only groups of several rows are looked up; they are pre-aggregated, so a large one is no hot key.
+    several = found.groupBy("group").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1).select("group")
+    grouped = landed(found.join(several, "group").distinct().join(ids, ROW), "grouped")
+    first = landed(grouped.groupBy("group").agg(F.min(rank)[ROW].alias(ROW)).select(ROW), "first")
+    kept = _without(docs, grouped.select(ROW).join(first, ROW, "left_anti"))
+    again = landed(found.groupBy(ROW).count().where(F.col("count") > 1).select(ROW), "repeated")
     if again.isEmpty():
         return kept
     single = _without(kept, again)
@@ -76,27 +86,11 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return best_fit_packing(docs, capacity=2048, end=0)
 
 
-#: Scratch folders of the stages so far.
-_left: list[str] = []
-
-
 def _ready(stage: Stage) -> Stage:
-    """The stage, with workers that find the package, and without the scratch of stages before.
-
-    A stage's input is written, so what earlier stages left is not needed any more; folders that
-    ``docs`` still reads stay.
-    """
+    """The stage, with workers that find the package."""
 
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        importable(spark)
-        read = docs.inputFiles() if _left else []
-        for path in [p for p in _left if not any(p.rsplit("/", 1)[1] in file for file in read)]:
-            delete(spark, path)
-            _left.remove(path)
-        with scratch_noted() as made:
-            result = stage(spark, docs, sf_dir)
-        _left.extend(made)
-        return result
+        return stage(importable(spark), docs, sf_dir)
 
     return run_stage
 
@@ -114,8 +108,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the scratch folder and read by the next."""
+    """All stages over ``documents``, each written to the scratch folder and read by the next.
+
+    What a stage left in the scratch folder is deleted once its result is written; what the last one left
+    is read by the result, and stays as checkpoints do. Each run knows its own folders only.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    left: list[str] = []
     for name, stage in STAGES[:-1]:
-        docs = landed(stage(spark, docs, sf_dir), name)
+        with scratch_noted() as made:
+            result = stage(spark, docs, sf_dir)
+        with scratch_noted() as output:
+            docs = landed(result, name)
+        for path in [*left, *made]:
+            delete(spark, path)
+        left = output
     return STAGES[-1][1](spark, docs, sf_dir)
