@@ -22,8 +22,8 @@ KINDS = {PUBLIC: "public", PRIVATE: "private", COLLEGE: "no_data"}
 
 
 def report(run: Run, name: str) -> DataFrame:
-    """One of the six questions, over the published tables."""
-    covid, state, education = (run.table(t) for t in ("covid", "state", "education"))
+    """One of the six questions, over the tables of one snapshot."""
+    covid, state, education = map(run.snapshots.current().table, ("covid", "state", "education"))
     growth = reports.daily_growth(covid, zero_is_unknown=True)
     per_state = reports.state_growth(growth)
     questions = {

@@ -14,10 +14,10 @@ from stateline.plans.cases import build_covid, clean_daily_cases
 from stateline.plans.demographics import state_shares
 from stateline.plans.institutions import build_education, clean_institutions
 from stateline.plans.temperatures import seasonal_means
-from stateline.session import delete, scratch_deleted
+from stateline.session import scratch_deleted
 from stateline.sources.manifest import STATE, TABLES
 from stateline.sources.readers import read_raw
-from stateline.sources.sinks import prepare_table, publish_tables
+from stateline.sources.snapshots import Snapshot, Snapshots
 
 SHARES = ("american_native", "asian", "african_american", "hispanic", "white")
 SEASON_MEANS = ("avg_autumn_temp", "avg_spring_temp", "avg_summer_temp", "avg_winter_temp")
@@ -70,7 +70,7 @@ Tables = dict[str, Callable[[], DataFrame]]
 class Run:
     """Where a run reads and writes: the raw folder and a table prefix such as ``db.``.
 
-    ``decimals`` are those of the raw amounts (None adds doubles), ``reader_options`` go to the readers
+    Tables are published together, as snapshots; steps read one snapshot each. ``decimals`` are those of the raw amounts (None adds doubles), ``reader_options`` go to the readers
     of the raw data sets, by name, ``plan_options`` to the cleaning plans, by staging table.
     """
 
@@ -81,8 +81,9 @@ class Run:
     reader_options: Mapping[str, Mapping] = field(default_factory=dict)
     plan_options: Mapping[str, Mapping] = field(default_factory=dict)
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.table(self.prefix + name)
+    @property
+    def snapshots(self) -> Snapshots:
+        return Snapshots(self.spark, self.prefix)
 
     def raw(self, name: str) -> DataFrame:
         return read_raw(self.spark, self.root, name, **self.reader_options.get(name, {}))
@@ -114,46 +115,43 @@ class Run:
             "covid": lambda: build_covid(table("staging_covid")),
         }
 
-    def prepare(self, tables: Tables) -> dict[str, str]:
-        """Next versions of independent tables, written at the same time: name to folder."""
+    def prepare(self, tables: Tables) -> dict[str, dict]:
+        """Next versions of independent tables, written at the same time."""
+        store = self.snapshots
 
-        def write(name: str) -> str:
-            return prepare_table(tables[name](), self.prefix + name, TABLES[name])
+        def write(name: str) -> dict:
+            return store.prepare(tables[name](), name, TABLES[name])
 
         with ThreadPoolExecutor(len(tables)) as pool:
             return dict(zip(tables, pool.map(write, tables), strict=True))
 
-    def publish(self, folders: Mapping[str, str]) -> None:
-        publish_tables(self.spark, {self.prefix + name: folder for name, folder in folders.items()})
-
     def stage(self) -> None:
         with scratch_deleted(self.spark):
-            self.publish(self.prepare(self.staging()))
+            self.snapshots.publish(self.prepare(self.staging()))
 
     def build(self) -> None:
+        """From the staging tables of one snapshot; refused if they are staged anew meanwhile."""
+        read = self.snapshots.current()
         with scratch_deleted(self.spark):
-            self.publish(self.prepare(self.model(self.table)))
+            self.snapshots.publish(self.prepare(self.model(read.table)), read)
 
     def check(self) -> DataFrame:
-        return model_checks(self.table("state"), self.table("education"), self.table("covid"))
+        read = self.snapshots.current()
+        return model_checks(read.table("state"), read.table("education"), read.table("covid"))
 
     def everything(self) -> list:
         """Clean → stage → build → check → publish; raises ``QualityError`` before anything is published."""
-        folders: dict[str, str] = {}
-
-        def prepared(name: str) -> DataFrame:
-            return self.spark.read.schema(TABLES[name]).parquet(folders[name])
-
+        prepared: dict[str, dict] = {}
         try:
             with scratch_deleted(self.spark):
-                folders |= self.prepare(self.staging())
-                folders |= self.prepare(self.model(prepared))
-                report = quality.enforce(model_checks(*map(prepared, ("state", "education", "covid"))))
+                prepared |= self.prepare(self.staging())
+                prepared |= self.prepare(self.model(Snapshot(self.spark, 0, prepared).table))
+                made = Snapshot(self.spark, 0, prepared)
+                report = quality.enforce(model_checks(*map(made.table, ("state", "education", "covid"))))
         except BaseException:
-            for folder in folders.values():
-                delete(self.spark, folder)
+            self.snapshots.discard(prepared)
             raise
-        self.publish(folders)
+        self.snapshots.publish(prepared)
         return report
 
 
@@ -161,6 +159,7 @@ def run_all(spark: SparkSession, root: str, prefix: str = "", **options) -> list
     """Clean → stage → build → check → publish. Raises ``QualityError`` when a rule is broken.
 
     Each step ends in written folders, so a lost executor costs a retry of a task. The tables change
-    only after all checks of the new rows have passed: a failed run leaves those of the run before.
+    only after all checks of the new rows have passed, and all at once for whoever reads a snapshot: a
+    failed run leaves those of the run before.
     """
     return Run(spark, root, prefix, **options).everything()

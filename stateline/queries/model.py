@@ -34,7 +34,8 @@ from stateline.queries.registry import (
     table,
 )
 from stateline.session import scratch_path, written
-from stateline.sources.manifest import RAW, TABLES
+from stateline.sources.manifest import RAW
+from stateline.sources.snapshots import Snapshots
 from stateline.streaming import incremental
 
 RACE_NAMES = dict(zip(SEGMENTS, SHARES, strict=True))
@@ -575,6 +576,5 @@ def full_run(spark, folder):
         ]
         union_all(*[p.withColumn("total", F.round(F.col("total").cast("double"), 2)) for p in parts]).write.parquet(result)
     finally:
-        for name in TABLES:
-            spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+        Snapshots(spark, prefix).drop()
     return spark.read.parquet(result)

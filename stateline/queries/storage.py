@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stateline.functions.exact import total
 from stateline.queries.registry import query, table
 from stateline.session import scratch_path
 from stateline.sources import readers, sinks
+from stateline.sources.snapshots import Snapshots
 
 ROWS_PER_MATRIX = 500
 
@@ -140,3 +142,49 @@ def cut_text(spark, folder):
     path = scratch_path(spark, "cut")
     sinks.write_csv(table(spark, folder, "part"), path, schema)
     return readers.stage_csv(spark, path, schema, cut_text=8)
+
+
+@query(
+    """
+    with o as (select o_custkey, o_totalprice, cast(o_orderdate as date) as day from orders),
+    seen as (
+        select 1 as snapshot, * from o where day < date '1996-01-01'
+        union all select 2, * from o)
+    select snapshot, c_mktsegment, count(*) as orders, count(*) as counted,
+           case when snapshot = 2 then cast(sum(cast(o_totalprice as decimal(28, 2))) as double) end as spent
+    from seen join customer on c_custkey = o_custkey group by snapshot, c_mktsegment
+    """
+)
+def snapshot_refresh(spark, folder):
+    """Orders, and customers with the number of their orders, published together twice.
+
+    The first pair is opened before the second, with one more column, is published, and read after it; a
+    third is prepared and never published. Rows of a pair fit each other: ``orders`` are counted in one
+    table and ``counted`` in the other.
+    """
+    result = scratch_path(spark, "snapshots-read")
+    store = Snapshots(spark, f"stateline_{result.rsplit('-', 1)[1]}_")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+
+    def prepared(orders, *more):
+        counts = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"), *more)
+        return {"orders": store.prepare(orders, "orders"), "customers": store.prepare(customers.join(counts, "c_custkey"), "customers")}
+
+    def measured(number, orders, customers):
+        segments = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("orders"))
+        spent = total(F.col("spent"), 2) if "spent" in customers.columns else F.lit(None).cast("double")
+        counted = customers.groupBy("c_mktsegment").agg(F.sum("n_orders").alias("counted"), spent.alias("spent"))
+        return segments.join(counted, "c_mktsegment").select(F.lit(number).alias("snapshot"), "c_mktsegment", "orders", "counted", "spent")
+
+    try:
+        first = store.publish(prepared(orders.where("day < date'1996-01-01'")))
+        held = [first.table(name) for name in ("orders", "customers")]
+        store.publish(prepared(orders, total(F.col("o_totalprice"), 2).alias("spent")))
+        prepared(orders.limit(0))
+        store.sweep()
+        second = [store.current().table(name) for name in ("orders", "customers")]
+        measured(1, *held).unionByName(measured(2, *second)).write.parquet(result)
+    finally:
+        store.drop()
+    return spark.read.parquet(result)

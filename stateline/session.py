@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -82,6 +83,50 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(found)] if system.exists(found) else []
 
 
+def modified(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names of the files and folders in a folder, with the second of their last change."""
+    found, system = _folder(spark, path)
+    if not system.exists(found):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in system.listStatus(found)}
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    found, system = _folder(spark, path)
+    stream = system.open(found)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_once(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file, there as a whole or not at all; False, and nothing changed, if there is one of that name.
+
+    It is written under another name and renamed, which file systems do in one step.
+    """
+    jvm = spark.sparkContext._jvm
+    found, system = _folder(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(found.getParent(), f"_{uuid.uuid4().hex}")
+    system.mkdirs(found.getParent())
+    stream = system.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    no_overwrite = spark.sparkContext._gateway.new_array(kind, 1)
+    no_overwrite[0] = kind.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(found.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(system.makeQualified(draft), system.makeQualified(found), no_overwrite)
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True
+
+
 def delete(spark: SparkSession, path: str) -> None:
     found, system = _folder(spark, path)
     system.delete(found, True)

@@ -59,17 +59,23 @@ def _location(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"].rstrip("/")
 
 
-def prepare_table(df: DataFrame, table: str, schema: T.StructType | None = None) -> str:
+def same_columns(a: T.StructType, b: T.StructType) -> bool:
+    """Names and types in order, whatever may be null."""
+    return [(f.name, f.dataType) for f in a] == [(f.name, f.dataType) for f in b]
+
+
+def prepare_table(df: DataFrame, table: str, schema: T.StructType | None = None, new_columns: bool = False) -> str:
     """Writes the next version of a table beside the one in use, and returns its folder.
 
-    Until ``publish_tables`` the table is what it was.
+    Until ``publish_tables`` the table is what it was. Other columns than it has are refused, unless
+    ``new_columns``.
     """
     spark = df.sparkSession
     result = df if schema is None else conform(df, schema)
     if _table(spark, table) is None:
         # Without rows: the first version is published like any other.
         result.limit(0).write.format("parquet").saveAsTable(table)
-    elif [(f.name, f.dataType) for f in _table(spark, table)] != [(f.name, f.dataType) for f in result.schema]:
+    elif not new_columns and not same_columns(_table(spark, table), result.schema):
         raise ValueError(f"{table} has other columns; drop it first")
     base = _location(spark, table).partition(VERSION_MARK)[0]
     folder = f"{base}{VERSION_MARK}{uuid.uuid4().hex}"
@@ -77,18 +83,41 @@ def prepare_table(df: DataFrame, table: str, schema: T.StructType | None = None)
     return folder
 
 
+def switch_table(spark: SparkSession, table: str, folder: str, schema: T.StructType | None = None) -> str | None:
+    """Points a table to a folder by one change of its metadata; returns the folder it had, if another.
+
+    A table that has other columns than ``schema`` is made anew, and one that is not there is made;
+    rows in its old folder stay in either case.
+    """
+    had = _table(spark, table)
+    old = None if had is None else _location(spark, table)
+    if old == folder.rstrip("/"):
+        return None
+    if had is not None and (schema is None or same_columns(had, schema)):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    else:
+        if had is not None:
+            # Dropping a table may delete its folder: it gets one without rows first.
+            empty = f"{old.partition(VERSION_MARK)[0]}{VERSION_MARK}{uuid.uuid4().hex}"
+            spark.createDataFrame([], had).write.parquet(empty)
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{empty}'")
+            spark.sql(f"DROP TABLE {table}")
+            delete(spark, empty)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    return old
+
+
 def publish_tables(spark: SparkSession, folders: Mapping[str, str]) -> None:
     """Switches each table to its prepared folder by one change of its metadata, then deletes the old folders.
 
-    There is no moment without a table. A job that reads an old folder while it goes fails and is to be
-    run again.
+    There is no moment without a table, but one with some tables old and some new, and a job that reads
+    an old folder while it goes fails. ``stateline.sources.snapshots`` avoids both.
     """
-    old = {table: _location(spark, table) for table in folders}
-    for table, folder in folders.items():
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(table)
-    for table, folder in old.items():
-        if folder != folders[table].rstrip("/"):
+    old = [switch_table(spark, table, folder) for table, folder in folders.items()]
+    for folder in old:
+        if folder is not None:
             delete(spark, folder)
 
 

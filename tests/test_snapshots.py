@@ -1,0 +1,165 @@
+"""Tables published together: what readers see, whatever dies in between."""
+
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from stateline.session import read_text, write_text_once
+from stateline.sources import snapshots
+from stateline.sources.sinks import VERSION_MARK
+from stateline.sources.snapshots import Conflict, Snapshots
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    made = Snapshots(spark, f"snap_{tmp_path.name}_".replace("-", "_"), str(tmp_path / "snapshots"))
+    yield made
+    made.drop()
+
+
+def frames(spark, n: int) -> dict:
+    """Two tables that belong together: both say n."""
+    return {"dim": spark.createDataFrame([(n, "x")], "id long, name string"), "fact": spark.range(n).select((F.col("id") * 0 + n).alias("id"))}
+
+
+def prepared(store, n: int) -> dict:
+    return {name: store.prepare(df, name) for name, df in frames(store.spark, n).items()}
+
+
+def seen(tables) -> set:
+    """What the tables say, as one number each."""
+    return {tables("dim").first()["id"], *[r["id"] for r in tables("fact").distinct().collect()]}
+
+
+def in_catalog(store):
+    return lambda name: store.spark.table(store.prefix + name)
+
+
+def test_published_together(store):
+    assert store.current().number == 0 and store.current().tables == {}
+    first = store.publish(prepared(store, 3))
+    assert first.number == 1
+    assert seen(first.table) == seen(in_catalog(store)) == {3}
+    held = first.table("fact")
+    store.publish(prepared(store, 5))
+    assert seen(store.current().table) == seen(in_catalog(store)) == {5}
+    # Readers of the first snapshot go on, those that opened it and those that open it now.
+    assert held.count() == 3 and seen(store.at(1).table) == {3}
+    # One table alone: the other stays as it is.
+    store.publish({"dim": store.prepare(frames(store.spark, 5)["dim"].withColumn("name", F.lit("y")), "dim")})
+    assert seen(store.current().table) == {5} and store.current().table("dim").first()["name"] == "y"
+    with pytest.raises(KeyError, match="no table other"):
+        store.current().table("other")
+
+
+@pytest.mark.parametrize("dies_in", ["prepare", "write", "commit", "first switch", "second switch", "sweep"])
+def test_death_between_any_two_steps(spark, store, monkeypatch, dies_in):
+    """Snapshots are the old set or the new one; the next publication brings the catalog up to it."""
+    store.publish(prepared(store, 3))
+    before = store.current().table("fact")
+
+    class Dies(BaseException):
+        pass
+
+    def dies(*args, **kwargs):
+        raise Dies
+
+    calls = []
+
+    def switches(spark, table, folder, schema=None, really=snapshots.switch_table):
+        calls.append(table)
+        if len(calls) > ("first switch", "second switch").index(dies_in):
+            raise Dies
+        return really(spark, table, folder, schema)
+
+    with monkeypatch.context() as broken:
+        if dies_in == "prepare":
+            store.prepare(frames(spark, 5)["dim"], "dim")
+        elif dies_in == "write":  # the draft of the file was written, and not renamed
+            broken.setattr(snapshots, "write_text_once", lambda spark, path, text: Path(path).with_name("_draft").write_text(text) and dies())
+        elif dies_in == "commit":
+            broken.setattr(Snapshots, "follow", dies)
+        elif dies_in == "sweep":
+            broken.setattr(Snapshots, "sweep", dies)
+        else:
+            broken.setattr(snapshots, "switch_table", switches)
+        if dies_in != "prepare":
+            with pytest.raises(Dies):
+                store.publish(prepared(store, 5))
+
+    expected = {3} if dies_in in ("prepare", "write") else {5}
+    assert seen(store.current().table) == expected
+    assert before.count() == 3
+    store.follow()
+    assert seen(in_catalog(store)) == expected
+    store.publish(prepared(store, 7))
+    assert seen(store.current().table) == seen(in_catalog(store)) == {7}
+    assert before.count() == 3
+
+
+def test_changed_columns(spark, store):
+    store.publish(prepared(store, 3))
+    old = store.current()
+    wide = spark.createDataFrame([("a", 4, 1.5)], "name string, id long, more double")
+    store.publish({"dim": store.prepare(wide, "dim"), "fact": store.prepare(frames(spark, 4)["fact"], "fact")})
+    assert store.current().table("dim").columns == ["name", "id", "more"] == spark.table(f"{store.prefix}dim").columns
+    assert seen(in_catalog(store)) == {4}
+    assert old.table("dim").columns == ["id", "name"] and seen(old.table) == {3}
+
+
+def test_made_from_an_older_snapshot(store):
+    read = store.publish(prepared(store, 3))
+    made = prepared(store, 4)
+    store.publish(prepared(store, 5))
+    with pytest.raises(Conflict, match="made from snapshot 1"):
+        store.publish(made, read)
+    assert seen(store.current().table) == {5}
+    assert store.commit(made).number == 3
+
+
+def test_two_publish_at_once(store, monkeypatch):
+    """The number is taken when the file is written: the commit builds on what was published meanwhile."""
+    store.publish(prepared(store, 3))
+    made = {"dim": store.prepare(frames(store.spark, 9)["dim"], "dim")}
+    really, calls = snapshots.write_text_once, []
+
+    def late(spark, path, text):
+        if not calls:
+            calls.append(path)
+            assert really(spark, path, json.dumps({**store.current().tables, **prepared(store, 6)}))
+        return really(spark, path, text)
+
+    monkeypatch.setattr(snapshots, "write_text_once", late)
+    found = store.commit(made)
+    assert found.number == 3
+    assert found.table("dim").first()["id"] == 9 and found.table("fact").count() == 6
+
+
+def test_sweep(spark, store):
+    store.publish(prepared(store, 3))
+    store.publish(prepared(store, 5))
+    forgotten = store.prepare(frames(spark, 8)["dim"], "dim")["folder"]
+    assert store.sweep() == []
+    assert seen(store.at(1).table) == {3}
+    swept = store.sweep(grace=-5)
+    assert forgotten in swept and len(swept) == 3 and all(VERSION_MARK in path for path in swept)
+    assert store.numbers() == [2]
+    assert seen(store.current().table) == seen(in_catalog(store)) == {5}
+    assert store.sweep(grace=-5) == []
+
+
+def test_views(spark, store):
+    store.publish(prepared(store, 3))
+    store.current().register("at_one_")
+    store.publish(prepared(store, 5))
+    assert spark.sql("select count(*) from at_one_fact join at_one_dim using (id)").first()[0] == 3
+
+
+def test_files_written_once(spark, tmp_path):
+    path = str(tmp_path / "folder" / "1.json")
+    assert write_text_once(spark, path, "é")
+    assert not write_text_once(spark, path, "other")
+    assert read_text(spark, path) == "é"
+    assert [p.name for p in (tmp_path / "folder").glob("[!.]*")] == ["1.json"]
