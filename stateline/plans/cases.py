@@ -49,10 +49,13 @@ def tidy_daily_cases(
     )
 
 
+#: Rows follow day and state; the other columns order equal pairs.
+CASE_ORDER = ("day_date", "name_state", "positive", "hospitalized_curr", "hospitalized_acum", "death")
+
+
 def number_cases(rows: DataFrame) -> DataFrame:
-    """Ids in the order of day and state; the other columns order equal pairs."""
-    order = ["day_date", "name_state", "positive", "hospitalized_curr", "hospitalized_acum", "death"]
-    return dense_ids(rows, order, "id_covid_data").select(*STAGING_COVID.names)
+    """Ids in the order of day and state."""
+    return dense_ids(rows, CASE_ORDER, "id_covid_data").select(*STAGING_COVID.names)
 
 
 def clean_daily_cases(df: DataFrame, **options) -> DataFrame:

@@ -439,6 +439,56 @@ def test_untouched_months_stay_as_they_were(spark, tmp_path, rows):
     assert files("2020-03") == march and not files("2020-04").keys() & april.keys()
 
 
+def test_ids_grow_without_a_shuffle(spark, tmp_path, rows, monkeypatch):
+    """Months read alone, offsets from the index; rows put into an early month move the later ids, not their files."""
+    landing, log, progress = (str(tmp_path / n) for n in ("landing", "log", "progress"))
+    (tmp_path / "landing").mkdir()
+    header = ",".join(DAILY_CASES.names)
+    states = ["WA", "AL", "OH", "TX", "UT"]
+
+    def land(name, *days):
+        lines = [f"{day},{state},{i + day % 7},,," for day in days for i, state in enumerate(states)]
+        (tmp_path / "landing" / name).write_text("\n".join([header, *lines]) + "\n")
+        incremental.ingest_daily_cases(spark, landing, log, progress)
+
+    land("a.csv", *range(20200301, 20200321), *range(20200401, 20200421))
+    land("b.csv", *range(20200501, 20200511))
+    later = {m: sorted(p.name for p in (tmp_path / "log").glob(f"*/month={m}/*.parquet")) for m in ("2020-04", "2020-05")}
+    land("c.csv", *range(20200321, 20200331))
+    assert {m: sorted(p.name for p in (tmp_path / "log").glob(f"*/month={m}/*.parquet")) for m in later} == later
+    found = incremental.index(spark, log)
+    assert {m: e["rows"] for m, e in found.items()} == {"2020-03": 150, "2020-04": 100, "2020-05": 50}
+    assert incremental.offsets(found) == {"2020-03": 0, "2020-04": 150, "2020-05": 250}
+    current = incremental.current_cases(spark, log)
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan
+    for unwanted in ("hashpartitioning", "rangepartitioning", "SinglePartition", "Window", "Sort "):
+        assert unwanted not in plan
+    assert [r[0] for r in rows(current)] == list(range(300))
+    assert rows(current) == rows(incremental.batch_cases(spark, landing))
+    # A file for each month and range at most, not one for each month and shuffle partition.
+    assert len(list((tmp_path / "log" / "version=0").glob("month=*/*.parquet"))) <= 2 + 4
+
+
+def test_batch_that_dies_before_its_index(spark, tmp_path, rows, monkeypatch):
+    """Readers see the batch before; the batch runs again and is counted once."""
+    landing, log, progress = (str(tmp_path / n) for n in ("landing", "log", "progress"))
+    (tmp_path / "landing").mkdir()
+    header = ",".join(DAILY_CASES.names)
+    (tmp_path / "landing" / "a.csv").write_text(f"{header}\n20200301,WA,10,,,\n")
+    incremental.ingest_daily_cases(spark, landing, log, progress)
+    before = rows(incremental.current_cases(spark, log))
+    (tmp_path / "landing" / "b.csv").write_text(f"{header}\n20200301,WA,11,,,\n20200302,WA,12,,,\n")
+    with monkeypatch.context() as broken:
+        broken.setattr(incremental, "write_text_once", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="division by zero"):
+            incremental.ingest_daily_cases(spark, landing, log, progress)
+    assert rows(incremental.current_cases(spark, log)) == before
+    incremental.ingest_daily_cases(spark, landing, log, progress)
+    assert [(r[0], r[3]) for r in rows(incremental.current_cases(spark, log))] == [(0, 11.0), (1, 12.0)]
+    assert rows(incremental.current_cases(spark, log)) == rows(incremental.batch_cases(spark, landing))
+
+
 def test_landed_long_line_fails(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text(",".join(DAILY_CASES.names) + "\n20200301,WA,10,,,1,2\n")
