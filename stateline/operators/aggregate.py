@@ -2,6 +2,9 @@
 
 Rows with a null key belong to no group and are dropped. Pivot values are always declared, so the
 result schema does not depend on the data and a pivot costs one aggregate.
+
+``scale`` is the number of decimals of the amounts, which are then added exactly; ``ANY`` adds any doubles
+so that sums and means do not depend on how rows are spread; None adds them as they come.
 """
 
 from __future__ import annotations
@@ -14,8 +17,12 @@ from pyspark.sql import Window as W
 
 from stateline.functions.exact import exact_sum, mean, total
 from stateline.functions.scalars import ratio
+from stateline.operators import sums
 from stateline.session import shuffle_partitions
 
+#: For ``scale``: doubles without a fixed number of decimals.
+ANY = "any"
+
 
 def known(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
@@ -48,14 +55,19 @@ def group_measures(
 
 
 def group_sum(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = None
+    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | str | None = None
 ) -> DataFrame:
+    if scale == ANY:
+        rows = df.where(known(keys)).withColumn(value, or_zero(F.col(value)))
+        return sums.reproducible_sums(rows, keys, value, name)
     return group_measures(df, keys, {name: ("sum", value)}, scale)
 
 
 def group_mean(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = None
+    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | str | None = None
 ) -> DataFrame:
+    if scale == ANY:
+        return sums.reproducible_sums(df.where(known(keys)), keys, value, "_total", name).drop("_total")
     return group_measures(df, keys, {name: ("mean", value)}, scale)
 
 
@@ -111,13 +123,15 @@ def mean_pivot(
     value: str,
     names: Mapping[str, str],
     overall: str | None = None,
-    scale: int | None = None,
+    scale: int | str | None = None,
 ) -> DataFrame:
     """Mean per declared category as columns, with the mean over all rows beside them.
 
     The overall mean and the category means share one aggregate. Nulls are skipped, and the
     overall mean is over rows, not over category means.
     """
+    if scale == ANY:
+        return sums.reproducible_means(df.where(known(keys)), keys, category, value, names, overall)
     cells = [
         mean(F.when(F.col(category) == v, F.col(value)), scale).alias(name)
         for v, name in names.items()
@@ -139,9 +153,12 @@ def ratio_of_means(
     top: tuple[str, str],
     bottom: tuple[str, str],
     name: str,
-    scale: int | None = None,
+    scale: int | str | None = None,
 ) -> DataFrame:
     """Two means per group and their ratio; ``top`` and ``bottom`` are (column, result name)."""
+    if scale == ANY:
+        means = group_mean(df, keys, *top, ANY).join(group_mean(df, keys, *bottom, ANY), list(keys))
+        return means.withColumn(name, ratio(F.col(top[1]), F.col(bottom[1])))
     means = df.where(known(keys)).groupBy(*keys).agg(
         mean(F.col(top[0]), scale).alias(top[1]), mean(F.col(bottom[0]), scale).alias(bottom[1])
     )

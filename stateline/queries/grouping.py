@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stateline.functions.scalars import ratio, season
-from stateline.operators import aggregate, clean, sets
+from stateline.operators import aggregate, clean, sets, sums
 from stateline.plans.institutions import (
     availability_per_state,
     institutions_per_state,
@@ -137,6 +137,22 @@ def seasonal_means(spark, folder):
     )
 
 
+@query(
+    _seasonal_sql(
+        "l_returnflag", "l_extendedprice", "l_shipdate",
+        "lineitem where l_shipdate > timestamp '1995-12-31'", "mean_price",
+    )
+)
+def seasonal_means_of_any(spark, folder):
+    """The same without saying that prices have two decimals: exact, like the decimals of the SQL."""
+    lines = clean.after(table(spark, folder, "lineitem"), "l_shipdate", dt.date(1995, 12, 31))
+    lines = lines.withColumn("season", season(F.col("l_shipdate")))
+    names = {s: s for s in ("autumn", "spring", "summer", "winter")}
+    return aggregate.mean_pivot(
+        lines, ["l_returnflag"], "season", "l_extendedprice", names, "mean_price", scale=aggregate.ANY
+    )
+
+
 def nation_temperatures(spark, folder):
     """Orders in the shape of the monthly temperature file: one reading per order."""
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
@@ -194,6 +210,20 @@ def ratio_of_means(spark, folder):
     )
 
 
+@query(
+    """
+    with parts as (
+        select user_id % 50 as k, event_type, cast(value as double) / 3 as x from events)
+    select k, round(fsum(x), 6) as total, round(favg(x), 6) as mean from parts group by k
+    """
+)
+def sums_of_thirds(spark, folder):
+    """Numbers without an end to their decimals, added in no order."""
+    rows = table(spark, folder, "events").select((F.col("user_id") % 50).alias("k"), (F.col("value") / 3).alias("x"))
+    found = sums.reproducible_sums(rows, ["k"], "x", "total", "mean")
+    return found.withColumns({n: F.round(n, 6) for n in ("total", "mean")})
+
+
 @query(
     f"""
     select o_orderpriority, {sql_total('o_totalprice')} as spend, {sql_mean('o_totalprice')} as mean_price,
