@@ -23,8 +23,6 @@ SURPLUS = "_surplus"
 CSV_OPTIONS = {"header": True, "escape": '"', "columnNameOfCorruptRecord": "_line", "columnPruning": False}
 #: The text of a line whose number of cells is not that of the columns.
 LINE = T.StructField("_line", T.StringType())
-#: A line is looked through for so many cells beyond the last column.
-SURPLUS_CELLS = 64
 
 
 def csv_header(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
@@ -42,15 +40,16 @@ def cell(name: str) -> Column:
 
 
 def too_long(columns: int, sep: str = ",") -> Column:
-    """Whether a line has more cells than columns, and any of the first few of them holds something.
+    """Whether a line has more cells than columns, and any of those beyond holds something, however many there are.
 
-    Only lines with a wrong number of cells are looked at again: shorter ones are padded with null.
+    Only lines with a wrong number of cells are looked at again: shorter ones are padded with null. A
+    quoted cell becomes one letter (an empty one nothing), so that separators and breaks within it do not count.
     """
-    names = [f"c{i}" for i in range(columns + SURPLUS_CELLS)]
-    kinds = ", ".join(f"{name} string" for name in names)
-    cells = F.from_csv(F.col(LINE.name), kinds, {"sep": sep, "escape": '"', "multiLine": "true"})
-    found = F.coalesce(*[cells[name] for name in names[columns:]])
-    return F.when(F.col(LINE.name).isNotNull(), F.coalesce(found, F.lit("")) != "").otherwise(F.lit(False))
+    mark = rf"\Q{sep}\E"
+    empty = F.regexp_replace(F.col(LINE.name), rf'(?<=^|{mark})""(?={mark}|$)', "")
+    plain = F.regexp_replace(empty, rf'(?<=^|{mark})"(?:[^"]++|"")*+(?:"|$)', "q")
+    surplus = F.slice(F.split(plain, mark), columns + 1, F.greatest(F.size(F.split(plain, mark)) - columns, F.lit(0)))
+    return F.when(F.col(LINE.name).isNotNull(), F.exists(surplus, lambda c: c != "")).otherwise(F.lit(False))
 
 
 def refusing_long(lines: DataFrame, schema: T.StructType, sep: str = ",") -> DataFrame:
