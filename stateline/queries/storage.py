@@ -135,6 +135,40 @@ def append_and_refresh(spark, folder):
     return spark.read.parquet(path).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(
+    """
+    select o_orderpriority, count(*) as rows, cast(sum(cast(o_totalprice as decimal(28, 2))) as double) as spend
+    from (select * from orders union all select * from orders where o_orderpriority = (select min(o_orderpriority) from orders))
+    group by 1
+    """
+)
+def batches_loaded_once(spark, folder):
+    """Orders loaded a month at a time, some months twice, one batch after it died half-way with other rows.
+
+    The orders of one priority are loaded again under another name: equal rows of another batch count.
+    """
+    schema = T.StructType(
+        [T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderpriority", T.StringType()), T.StructField("o_totalprice", T.DoubleType())]
+    )
+    path = scratch_path(spark, "batches")
+    name = f"stateline_batches_{path.rsplit('-', 1)[1]}"
+    orders = table(spark, folder, "orders")
+    halves = {half: orders.where((F.month("o_orderdate") <= 6) == (half == "first")) for half in ("first", "second")}
+    least = orders.agg(F.min("o_orderpriority")).scalar()
+    try:
+        sinks.create_batch_table(spark, name, schema)
+        sinks.load_batch(halves["second"].limit(10), name, "second")
+        for half in ("first", "second", "first"):
+            sinks.load_batch(halves[half], name, half)
+        sinks.load_batch(orders.where(F.col("o_orderpriority") == least), name, "again/é")
+        assert sinks.loaded_batches(spark, name) == ["again/é", "first", "second"]
+        sinks.write_parquet(sinks.batch_rows(spark, name), path)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    grouped = spark.read.parquet(path).groupBy("o_orderpriority")
+    return grouped.agg(F.count(F.lit(1)).alias("rows"), total(F.col("o_totalprice"), 2).alias("spend"))
+
+
 @query("select p_partkey, substr(p_type, 1, 8) as p_type from part")
 def cut_text(spark, folder):
     """Text cells cut to a length when a file is loaded."""

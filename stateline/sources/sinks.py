@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +47,54 @@ def reset_tables(
 
 
 def load_table(df: DataFrame, table: str) -> None:
-    """Append by position, as INSERT … SELECT does. A second run adds the rows again."""
+    """Append by position, as INSERT … SELECT does. A second run adds the rows again: see ``load_batch``."""
     df.write.insertInto(table)
 
 
+#: The partition column of tables that remember which batches they hold.
+BATCH = "batch"
+#: ``dynamic`` replaces only the partitions that are written, and only when all of them are.
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def create_batch_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """An empty table for ``load_batch``, if it is not there."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {BATCH} string) USING parquet PARTITIONED BY ({BATCH})")
+
+
+def load_batch(df: DataFrame, table: str, batch: str) -> None:
+    """Append by name, once for each batch name, however often the load runs.
+
+    The rows of a batch are a partition of their own, written whole and put in place of what the partition
+    had: a rerun, also after a crash, replaces its own rows and no others. A batch without rows leaves
+    what it had. The partitions are the ledger of what was loaded.
+    """
+    if not batch:
+        raise ValueError("a batch needs a name")
+    spark = df.sparkSession
+    names = [n for n in spark.table(table).columns if n != BATCH]
+    require(df, names)
+    named = df.select(*names).withColumn(BATCH, F.lit(batch))
+    mode = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        named.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, mode)
+
+
+def loaded_batches(spark: SparkSession, table: str) -> list[str]:
+    """The names of the batches a table holds, from its partitions alone."""
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return sorted(unquote(r[0].partition("=")[2]) for r in rows)
+
+
+def batch_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of all batches, without their names."""
+    return spark.table(table).drop(BATCH)
+
+
 def _table(spark: SparkSession, table: str) -> T.StructType | None:
     return spark.table(table).schema if spark.catalog.tableExists(table) else None
 

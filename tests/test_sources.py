@@ -3,6 +3,7 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from stateline.session import scratch_path
 from stateline.sources import readers, sinks
@@ -64,6 +65,20 @@ def test_csv_long_lines(spark, tmp_path, rows):
     assert rows(readers.read_csv(spark, short, LINES)) == [(3, "z", None, None)]
 
 
+@pytest.mark.parametrize("blanks", [0, 3, 70, 1000])
+@pytest.mark.parametrize("surplus, lost", [("LOST", True), ('"LOST, too"', True), ('" "', True), ("", False), ('""', False)])
+def test_surplus_cells_are_all_looked_at(spark, tmp_path, rows, blanks, surplus, lost):
+    path = put(tmp_path / "x.csv", f'a,b,c,d\n1,"x,y",1,2020-01-01\n2,"y ""q"", z",,{"," * blanks},{surplus}\n')
+    found = readers.read_csv(spark, path, LINES, lenient=True)
+    assert rows(found, "a", "b", readers.BAD_COLUMNS) == [(1, "x,y", []), (2, 'y "q", z', ["_surplus"] if lost else [])]
+    for read in (readers.read_csv, readers.stage_csv):
+        if lost:
+            with pytest.raises(PySparkException, match="more than 4 cells"):
+                read(spark, path, LINES).collect()
+        else:
+            assert rows(read(spark, path, LINES), "a") == [(1,), (2,)]
+
+
 def test_staged_long_lines(spark, tmp_path, rows):
     with pytest.raises(PySparkException, match="more than 4 cells"):
         readers.stage_csv(spark, put(tmp_path / "x.csv", RAGGED), LINES).select("a").collect()
@@ -177,6 +192,28 @@ def test_append_and_refresh(spark, rows):
     assert rows(sinks.table_counts(spark, ["t1"])) == [("t1", 2)]
 
 
+def test_batches_load_once(spark, rows):
+    kinds = schema(x="long", y="text")
+    df = spark.createDataFrame([("a", 1, True), ("b", 2, True)], "y string, x long, extra boolean")
+    sinks.create_batch_table(spark, "t3", kinds)
+    sinks.create_batch_table(spark, "t3", kinds)
+    for batch in ("one", "two", "one"):
+        sinks.load_batch(df, "t3", batch)
+    assert rows(sinks.batch_rows(spark, "t3")) == [(1, "a"), (1, "a"), (2, "b"), (2, "b")]
+    # A rerun with other rows replaces those of its batch; one without rows leaves them.
+    sinks.load_batch(df.where("x = 2"), "t3", "one")
+    sinks.load_batch(df.limit(0), "t3", "two")
+    assert rows(sinks.batch_rows(spark, "t3")) == [(1, "a"), (2, "b"), (2, "b")]
+    assert sinks.loaded_batches(spark, "t3") == ["one", "two"]
+    with pytest.raises(ValueError, match="needs a name"):
+        sinks.load_batch(df, "t3", "")
+    # A load that fails leaves what its batch had.
+    broken = df.withColumn("x", F.raise_error(F.lit("broken")).cast("bigint"))
+    with pytest.raises(PySparkException, match="broken"):
+        sinks.load_batch(broken, "t3", "two")
+    assert rows(sinks.batch_rows(spark, "t3")) == [(1, "a"), (2, "b"), (2, "b")]
+
+
 def test_failed_refresh_keeps_the_old_table(spark, rows):
     kinds = schema(x="long")
     sinks.replace_table(spark.createDataFrame([(1,)], "x long"), "t2", kinds)
