@@ -1,5 +1,5 @@
 """``spark-submit``-able steps: ``python -m stateline run|stage|build|check ROOT [PREFIX]``,
-``report NAME [PREFIX]``, ``county ROOT`` and ``ingest LANDING LOG PROGRESS``."""
+``report NAME [PREFIX] [--gap …]``, ``county ROOT`` and ``ingest LANDING LOG PROGRESS``."""
 
 from __future__ import annotations
 
@@ -18,13 +18,15 @@ from stateline.streaming.incremental import ingest_daily_cases
 
 #: Steps of the staff and of the temperature report.
 STAFF_STEP, DEGREES = 50, 5
+#: Groups of equally many states in the report by rank of temperature.
+GROUPS = 4
 KINDS = {PUBLIC: "public", PRIVATE: "private", COLLEGE: "no_data"}
 
 
-def report(run: Run, name: str) -> DataFrame:
+def report(run: Run, name: str, gap: str = reports.LAST) -> DataFrame:
     """One of the six questions, over the tables of one snapshot."""
     covid, state, education = map(run.snapshots.current().table, ("covid", "state", "education"))
-    growth = reports.daily_growth(covid, zero_is_unknown=True)
+    growth = reports.growth_over_gaps(covid, gap, zero_is_unknown=True)
     per_state = reports.state_growth(growth)
     questions = {
         "availability": lambda: reports.growth_by_availability(education, per_state),
@@ -32,13 +34,14 @@ def report(run: Run, name: str) -> DataFrame:
         "staff": lambda: reports.growth_by_staff(education, per_state, STAFF_STEP),
         "season": lambda: reports.growth_by_season(growth, state),
         "temperature": lambda: reports.growth_by_temperature(per_state, state, DEGREES),
+        "temperature_rank": lambda: reports.growth_by_temperature_rank(per_state, state, GROUPS),
         "race": lambda: reports.rate_by_share(reports.state_rates(covid, state)),
         "population": lambda: reports.rate_by_population(covid, state),
     }
     return questions[name]()
 
 
-REPORTS = ("availability", "mix", "staff", "season", "temperature", "race", "population")
+REPORTS = ("availability", "mix", "staff", "season", "temperature", "temperature_rank", "race", "population")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -51,6 +54,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     answer = steps.add_parser("report")
     answer.add_argument("name", choices=REPORTS)
     answer.add_argument("prefix", nargs="?", default="")
+    answer.add_argument("--gap", choices=(reports.LAST, reports.PER_DAY, reports.UNKNOWN), default=reports.LAST, help="growth after missing days")
     steps.add_parser("county").add_argument("root", help="folder of the raw files")
     ingest = steps.add_parser("ingest")
     for name in ("landing", "log", "progress"):
@@ -68,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         county_profile(read_raw(spark, given.root, "county_cases")).show(truncate=False)
         return
     if given.step == "report":
-        report(Run(spark, "", given.prefix), given.name).show(1000, truncate=False)
+        report(Run(spark, "", given.prefix), given.name, given.gap).show(1000, truncate=False)
         return
     run = Run(spark, given.root, given.prefix)
     if given.step == "stage":

@@ -101,3 +101,20 @@ def numbered_union(
     ranked = {rank: df.withColumn(label, F.lit(tag)) for rank, (tag, df) in enumerate(frames.items())}
     united = tagged_union(ranked, "_rank")
     return dense_ids(united, ["_rank", *order], name).drop("_rank")
+
+
+def tiles(df: DataFrame, order: Sequence[str], n: int, name: str) -> DataFrame:
+    """Adds ``name``: 1 … ``n``, groups of consecutive rows of as equal sizes as there can be, larger ones first.
+
+    What ``ntile`` gives over the whole order, without moving all rows to one task. Ties of ``order`` follow
+    the other columns. With fewer rows than ``n`` each row is a group.
+    """
+    if n < 1:
+        raise ValueError("there must be one group or more")
+    rows = dense_ids(df, order, "_at")
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    size, larger = F.floor(total / F.lit(n)), total % F.lit(n)
+    in_larger = larger * (size + 1)
+    at = F.col("_at")
+    tile = F.when(at < in_larger, F.floor(at / (size + 1))).otherwise(larger + F.floor(F.try_divide(at - in_larger, size)))
+    return rows.select(*df.columns, (tile + 1).cast("int").alias(name))

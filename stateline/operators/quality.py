@@ -6,7 +6,7 @@ an error; foreign keys are reported and, unless asked for, not enforced.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -83,6 +83,38 @@ def check_unique(df: DataFrame, table: str, *keys: str) -> DataFrame:
     return _report(table, counts, {"n": ("primary_key", ",".join(keys))})
 
 
+def check_unique_ids(df: DataFrame, table: str, key: str) -> DataFrame:
+    """``check_unique`` for whole numbers that lie close together, as ids do.
+
+    Each number is a bit in the bitmap of its bucket of 32,768; maps are made where the rows are, and one
+    row for each bucket is shuffled instead of each key. Rows without a key count as one key.
+    """
+    id = F.col(key).cast("bigint")
+    rows = df.select(F.bitmap_bucket_number(id).alias("bucket"), F.bitmap_bit_position(id).alias("bit"))
+    maps = rows.groupBy("bucket").agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.coalesce("bit", F.lit(0)))).alias("keys"), F.count(F.lit(1)).alias("rows")
+    )
+    counts = maps.agg(F.sum(F.col("rows") - F.col("keys")).alias("n"))
+    return _report(table, counts, {"n": ("primary_key", key)})
+
+
+def check_dense(df: DataFrame, table: str, key: str, start: int = 0) -> DataFrame:
+    """The rule that the ids are ``start``, ``start`` + 1, … once each: how many of these numbers are missing."""
+    id = F.col(key).cast("bigint")
+    rows = df.select(F.bitmap_bucket_number(id).alias("bucket"), F.bitmap_bit_position(id).alias("bit"), id.alias("id"))
+    maps = rows.groupBy("bucket").agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.coalesce("bit", F.lit(0)))).alias("keys"),
+        F.count(F.lit(1)).alias("rows"), F.min("id").alias("least"), F.max("id").alias("most"), F.count("id").alias("ids"),
+    )
+    facts = maps.agg(*[F.sum(c).alias(c) for c in ("rows", "ids")], F.min("least").alias("least"), F.max("most").alias("most"),
+                     F.sum(F.when(F.col("ids") > 0, F.col("keys"))).alias("keys"))
+    # Numbers from `start` on that no row has, up to the number of rows or the greatest id.
+    end = F.greatest(F.col("rows") - 1 + start, F.coalesce("most", F.lit(start - 1)))
+    begin = F.least(F.lit(start).cast("bigint"), F.coalesce("least", F.lit(start)))
+    missing = F.when(F.col("rows") > 0, end - begin + 1 - F.coalesce("keys", F.lit(0)))
+    return _report(table, facts.select(missing.alias("n")), {"n": ("dense_ids", key)})
+
+
 def check_references(fact: DataFrame, table: str, dim: DataFrame, *keys: str) -> DataFrame:
     counts = orphans(fact, dim, keys).agg(F.sum("rows").alias("n"))
     return _report(table, counts, {"n": ("foreign_key", ",".join(keys))})
@@ -102,6 +134,17 @@ def mean_outside(mean: str, parts: Sequence[str], tolerance: float = 1e-9) -> di
     return {f"{mean}_between_parts": off}
 
 
+def weighted_mean_off(mean: str, weights: Mapping[str, float], tolerance: float = 1e-9) -> dict[str, Column]:
+    """The rule that an overall mean is the mean of its parts, each weighed by how many values it holds.
+
+    For means by season: the number of months of each season in the period. Rows that lack a part or the
+    mean say nothing.
+    """
+    whole = reduce(lambda a, b: a + b, [F.col(part) * F.lit(float(w)) for part, w in weights.items()])
+    off = F.abs(whole / F.lit(float(sum(weights.values()))) - F.col(mean)) > tolerance
+    return {f"{mean}_weighs_parts": off}
+
+
 def check_shares(df: DataFrame, table: str, shares: Sequence[str], tolerance: float = 1e-9) -> DataFrame:
     return check_rows(df, table, extra=shares_off(shares, tolerance))
 

@@ -52,9 +52,9 @@ def model_checks(state: DataFrame, education: DataFrame, covid: DataFrame) -> Da
             extra=quality.shares_off(SHARES) | quality.mean_outside("avg_temp", SEASON_MEANS),
         ),
         quality.check_rows(covid, "covid", ["id_covid_data"]),
-        quality.check_unique(education, "education", "id_institution"),
-        quality.check_unique(state, "state", "id_state"),
-        quality.check_unique(covid, "covid", "id_covid_data"),
+        quality.check_unique_ids(education, "education", "id_institution"),
+        quality.check_unique_ids(state, "state", "id_state"),
+        quality.check_unique_ids(covid, "covid", "id_covid_data"),
         quality.check_references(education, "education", state, "id_state"),
         quality.check_references(covid, "covid", state, "id_state"),
     )

@@ -14,7 +14,9 @@ from pyspark.sql import Window as W
 
 from stateline.functions.exact import correlation, total
 from stateline.functions.scalars import SEASONS, ratio, season
+from stateline.operators.calendar import with_day_before
 from stateline.operators.columns import unpivot
+from stateline.operators.ids import tiles
 from stateline.plans.model import SHARES
 
 COUNTS = ("positive", "death")
@@ -37,7 +39,8 @@ def daily_growth(
 
     ``cumulative`` counts are differenced and a fall counts as 0; otherwise the counts are new
     ones already. ``zero_is_unknown`` leaves out days whose count was filled with 0. The window
-    runs over grouped rows, at most one per day for a state.
+    runs over grouped rows, at most one per day for a state. A day is compared with the last one known,
+    however long ago: ``growth_over_gaps`` tells days that follow each other from others.
     """
     days = daily_counts(covid, scale)
     if zero_is_unknown:
@@ -57,6 +60,49 @@ def daily_growth(
     )
 
 
+#: What a day after a gap is compared with: the last known day as it is, that day by the number of days
+#: since, or nothing.
+LAST, PER_DAY, UNKNOWN = "last", "per_day", "unknown"
+
+
+def growth_over_gaps(
+    covid: DataFrame,
+    gap: str = PER_DAY,
+    cumulative: bool = True,
+    zero_is_unknown: bool = False,
+    scale: int | None = None,
+) -> DataFrame:
+    """``daily_growth`` where days are missing, with ``days_between`` a day and the last known one.
+
+    ``gap`` says what holds after a gap. ``per_day`` (the default): new positives and growth are those of an
+    average day since the last known one. ``unknown``: both are null. ``last``: as in ``daily_growth``. New
+    positives that are counted as such, not differenced, are never divided.
+    """
+    if gap not in (LAST, PER_DAY, UNKNOWN):
+        raise ValueError(f"no rule {gap} for gaps")
+    days = daily_counts(covid, scale)
+    if zero_is_unknown:
+        days = days.where(F.col("positive") != 0)
+    days = with_day_before(days, ["id_state"], "day_date", "positive")
+    rise = F.col("positive") - F.col("positive_before")
+    change = F.when(rise < 0, 0.0).otherwise(rise) if cumulative else rise
+    between = F.col("days_between")
+    if gap == PER_DAY:
+        change = change / between
+    elif gap == UNKNOWN:
+        change = F.when(between == 1, change)
+    fresh = change if cumulative else F.col("positive")
+    return days.select(
+        "id_state",
+        "day_date",
+        "positive",
+        "positive_before",
+        "days_between",
+        fresh.cast("double").alias("new_positive"),
+        ratio(change, F.col("positive_before")).alias("growth"),
+    )
+
+
 def state_growth(growth: DataFrame) -> DataFrame:
     """Mean growth per state."""
     return growth.groupBy("id_state").agg(F.avg("growth").alias("mean_growth"))
@@ -136,6 +182,21 @@ def growth_by_temperature(per_state: DataFrame, state: DataFrame, width: float)
     )
 
 
+def growth_by_temperature_rank(per_state: DataFrame, state: DataFrame, groups: int) -> DataFrame:
+    """BQ-4: growth of equally many states each, from the coldest to the warmest.
+
+    States of unknown temperature are group null. Equal temperatures follow the id.
+    """
+    known = state.where(F.col("avg_temp").isNotNull()).select("avg_temp", "id_state")
+    ranked = tiles(known, ["avg_temp", "id_state"], groups, "temp_group")
+    return per_state.join(ranked, "id_state", "left").groupBy("temp_group").agg(
+        F.min("avg_temp").alias("temp_from"),
+        F.max("avg_temp").alias("temp_to"),
+        F.count("mean_growth").alias("n_states"),
+        F.avg("mean_growth").alias("mean_growth"),
+    )
+
+
 def state_rates(
     covid: DataFrame, state: DataFrame, cumulative: bool = True, scale: int | None = None
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stateline.functions.codes import STATES
 from stateline.functions.exact import total
+from stateline.operators.calendar import on_calendar
 from stateline.operators.sets import union_all
 from stateline.plans import reports
 from stateline.plans.cases import build_covid, clean_daily_cases, county_profile
@@ -327,28 +328,68 @@ def daily_growth_of_new_counts(spark, folder):
     return reports.daily_growth(case_table(spark, folder), cumulative=False, scale=2)
 
 
-WEIGHTED = "round(sum(mean_growth * n) / sum(n) filter (where mean_growth is not null), 8) as mean_growth"
+GAPS_SQL = f"""
+    select *, case when positive - positive_before < 0 then 0 else positive - positive_before end as rise
+    from (select id_state, day_date, positive,
+                 lag(positive) over (partition by id_state order by day_date) as positive_before,
+                 cast(day_date - lag(day_date) over (partition by id_state order by day_date) as integer) as days_between
+          from ({DAYS_SQL}))
+"""
+
+
+@query(
+    f"""
+    select * exclude rise, cast(rise as double) / days_between as new_positive,
+           cast(rise as double) / days_between / nullif(positive_before, 0) as growth
+    from ({GAPS_SQL})
+    """
+)
+def growth_over_gaps(spark, folder):
+    """Growth a day since the last known day; states lack many days."""
+    return reports.growth_over_gaps(case_table(spark, folder), scale=2)
+
+
+@query(
+    f"""
+    select * exclude rise, case when days_between = 1 then cast(rise as double) end as new_positive,
+           case when days_between = 1 then cast(rise as double) end / nullif(positive_before, 0) as growth
+    from ({GAPS_SQL})
+    """
+)
+def growth_of_following_days(spark, folder):
+    """Growth where the day before is known."""
+    return reports.growth_over_gaps(case_table(spark, folder), reports.UNKNOWN, scale=2)
 
-#: On purpose one side of each report lacks some nations: what is counted must stay.
-MISSING = 5
-FEWER_GROWTH_SQL = f"select * from ({STATE_GROWTH_SQL}) where id_state >= {MISSING}"
-FEWER_STATES_SQL = f"select * from ({STATE_SQL}) where id_state >= {MISSING}"
 
+@query(
+    f"""
+    with known as ({DAYS_SQL}),
+    days as (
+        select id_state, cast(unnest(generate_series(least, most, interval 1 day)) as date) as day_date
+        from (select id_state, min(day_date) as least, max(day_date) as most from known group by id_state))
+    select d.id_state, d.day_date, k.day_date as known_day, cast(d.day_date - k.day_date as integer) as days_since,
+           case when d.day_date - k.day_date <= 3 then k.positive end as positive,
+           case when d.day_date - k.day_date <= 3 then k.death end as death
+    from days d asof join known k on d.id_state = k.id_state and d.day_date >= k.day_date
+    """
+)
+def cases_on_calendar(spark, folder):
+    """Every day of every state, with what was known at most three days ago."""
+    days = reports.daily_counts(case_table(spark, folder), scale=2)
+    return on_calendar(days, ["id_state"], "day_date", ["positive", "death"], most=3)
 
-def fewer(df):
-    """The side of a report that knows less."""
-    return df.where(F.col("id_state") >= MISSING)
 
+WEIGHTED = "round(sum(mean_growth * n) / sum(n) filter (where mean_growth is not null), 8) as mean_growth"
 
 @query(
     f"""
     select availability, cast(sum(n) as bigint) as n_institutions, {WEIGHTED}
     from (select id_state, availability, count(*) as n from ({INSTITUTIONS_SQL}) group by all)
-    left join ({FEWER_GROWTH_SQL}) using (id_state) group by availability
+    left join ({STATE_GROWTH_SQL}) using (id_state) group by availability
     """
 )
-def growth_by_type(spark, folder, side=fewer):
-    result = reports.growth_by_availability(institutions(spark, folder), side(state_growth(spark, folder)))
+def growth_by_type(spark, folder):
+    result = reports.growth_by_availability(institutions(spark, folder), state_growth(spark, folder))
     return _round(result, 8, "mean_growth")
 
 
@@ -361,11 +402,11 @@ KINDS = {s: s.lower() for s in SEGMENTS}
            {", ".join(f"cast(count(*) filter (where availability = '{k}') as double) / count(*) as {n}"
                       for k, n in KINDS.items())},
            round(any_value(mean_growth), 8) as mean_growth
-    from ({INSTITUTIONS_SQL}) left join ({FEWER_GROWTH_SQL}) using (id_state) group by id_state
+    from ({INSTITUTIONS_SQL}) left join ({STATE_GROWTH_SQL}) using (id_state) group by id_state
     """
 )
-def type_mix_and_growth(spark, folder, side=fewer):
-    mix = reports.availability_mix(institutions(spark, folder), side(state_growth(spark, folder)), KINDS)
+def type_mix_and_growth(spark, folder):
+    mix = reports.availability_mix(institutions(spark, folder), state_growth(spark, folder), KINDS)
     return _round(mix, 8, "mean_growth")
 
 
@@ -374,11 +415,11 @@ def type_mix_and_growth(spark, folder, side=fewer):
     select availability, employees_from, cast(sum(n) as bigint) as n_institutions, {WEIGHTED}
     from (select id_state, availability, floor(n_employees / 20) * 20 as employees_from, count(*) as n
           from ({INSTITUTIONS_SQL}) group by all)
-    left join ({FEWER_GROWTH_SQL}) using (id_state) group by availability, employees_from
+    left join ({STATE_GROWTH_SQL}) using (id_state) group by availability, employees_from
     """
 )
-def by_staff_and_type(spark, folder, side=fewer):
-    result = reports.growth_by_staff(institutions(spark, folder), side(state_growth(spark, folder)), 20)
+def by_staff_and_type(spark, folder):
+    result = reports.growth_by_staff(institutions(spark, folder), state_growth(spark, folder), 20)
     return _round(result, 8, "mean_growth")
 
 
@@ -395,13 +436,13 @@ def by_staff_and_type(spark, folder, side=fewer):
         from (select *, case when month(day_date) <= 3 then 'winter' when month(day_date) <= 6 then 'spring'
                              when month(day_date) <= 9 then 'summer' else 'autumn' end as season
               from ({GROWTH_SQL}))
-        left join ({FEWER_STATES_SQL}) using (id_state)
+        left join ({STATE_SQL}) using (id_state)
     )
     group by season
     """
 )
-def by_season(spark, folder, side=fewer):
-    result = reports.growth_by_season(growth_rows(spark, folder), side(state_table(spark, folder)))
+def by_season(spark, folder):
+    result = reports.growth_by_season(growth_rows(spark, folder), state_table(spark, folder))
     result = _round(result, 4, "mean_new_positive", "mean_temp")
     return _round(result, 8, "correlation")
 
@@ -410,27 +451,43 @@ def by_season(spark, folder, side=fewer):
     f"""
     select temp_from, count(mean_growth) as n_states, round(avg(mean_growth), 8) as mean_growth
     from ({STATE_GROWTH_SQL})
-    left join (select id_state, floor(avg_temp / 1000) * 1000 as temp_from from ({FEWER_STATES_SQL}))
+    left join (select id_state, floor(avg_temp / 1000) * 1000 as temp_from from ({STATE_SQL}))
     using (id_state) group by temp_from
     """
 )
-def mean_by_bucket(spark, folder, side=fewer):
-    result = reports.growth_by_temperature(state_growth(spark, folder), side(state_table(spark, folder)), 1000)
+def mean_by_bucket(spark, folder):
+    result = reports.growth_by_temperature(state_growth(spark, folder), state_table(spark, folder), 1000)
+    return _round(result, 8, "mean_growth")
+
+
+@query(
+    f"""
+    with ranked as (
+        select id_state, avg_temp, ntile(4) over (order by avg_temp, id_state) as temp_group
+        from ({STATE_SQL}) where avg_temp is not null)
+    select temp_group, min(avg_temp) as temp_from, max(avg_temp) as temp_to,
+           count(mean_growth) as n_states, round(avg(mean_growth), 8) as mean_growth
+    from ({STATE_GROWTH_SQL}) left join ranked using (id_state) group by temp_group
+    """.replace("ntile(4)", "cast(ntile(4)").replace("id_state) as temp_group", "id_state) as integer) as temp_group")
+)
+def mean_by_rank(spark, folder):
+    """Growth of equally many nations each, from the least to the greatest mean temperature."""
+    result = reports.growth_by_temperature_rank(state_growth(spark, folder), state_table(spark, folder), 4)
     return _round(result, 8, "mean_growth")
 
 
 @query(
     "with counts as (select id_state, max(positive) as positive, max(death) as death"
     f" from ({DAYS_SQL}) group by id_state), rates as (select *, positive / total_population as p,"
-    f" death / total_population as d from counts left join ({FEWER_STATES_SQL}) using (id_state)) "
+    f" death / total_population as d from counts left join ({STATE_SQL}) using (id_state)) "
     + " union all ".join(
         f"select '{s}' as race, count(*) as n_reported, count({s}) as n_states, round(corr({s}, p), 8) as positive_correlation,"
         f" round(corr({s}, d), 8) as death_correlation from rates"
         for s in SHARES
     )
 )
-def rate_by_share(spark, folder, side=fewer):
-    rates = reports.state_rates(case_table(spark, folder), side(state_table(spark, folder)), scale=2)
+def rate_by_share(spark, folder):
+    rates = reports.state_rates(case_table(spark, folder), state_table(spark, folder), scale=2)
     return _round(reports.rate_by_share(rates), 8, "positive_correlation", "death_correlation")
 
 
@@ -438,18 +495,18 @@ def rate_by_share(spark, folder, side=fewer):
     f"""
     select id_state, name_state, day_date, positive, total_population,
            positive / cast(total_population as double) as positive_rate
-    from ({DAYS_SQL}) left join ({FEWER_STATES_SQL}) using (id_state)
+    from ({DAYS_SQL}) left join ({STATE_SQL}) using (id_state)
     """
 )
-def rate_by_population(spark, folder, side=fewer):
-    return reports.rate_by_population(case_table(spark, folder), side(state_table(spark, folder)), scale=2)
+def rate_by_population(spark, folder):
+    return reports.rate_by_population(case_table(spark, folder), state_table(spark, folder), scale=2)
 
 
-#: The same reports with both sides whole: ``<name>_whole``.
+#: The reports by the names they had beside others with one side cut.
 for _report in (growth_by_type, type_mix_and_growth, by_staff_and_type, by_season, mean_by_bucket, rate_by_share, rate_by_population):
-    _whole = partial(_report, side=lambda df: df)
-    _whole.__name__ = f"{_report.__name__}_whole"
-    query(SQL[_report.__name__].replace(FEWER_GROWTH_SQL, STATE_GROWTH_SQL).replace(FEWER_STATES_SQL, STATE_SQL))(_whole)
+    _named = partial(_report)
+    _named.__name__ = f"{_report.__name__}_whole"
+    query(SQL[_report.__name__])(_named)
 
 
 @query(

@@ -77,3 +77,16 @@ def running_position_of_unknown(spark, folder):
     least = events.agg(F.min("event_type")).scalar()
     rows = events.select(F.nullif("event_type", least).alias("kind"), "user_id", "event_id")
     return ids.running_weight(rows, ["kind", "user_id", "event_id"], "before", within=["kind"]).drop("user_id")
+
+
+@query(
+    """
+    select l_orderkey, l_linenumber, l_extendedprice, l_shipdate,
+           cast(ntile(7) over (order by l_extendedprice, l_orderkey, l_linenumber, l_shipdate) as integer) as tile
+    from lineitem
+    """
+)
+def price_tiles(spark, folder):
+    """All lines in seven groups of equal size, by price; ties are plenty."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+    return ids.tiles(lines, ["l_extendedprice"], 7, "tile")

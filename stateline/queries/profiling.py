@@ -161,6 +161,35 @@ def dq_unique(spark, folder):
     )
 
 
+@query(
+    """
+    select 'customer' as table_name, 'dense_ids' as rule, 'c_custkey' as column_name,
+           greatest(count(*) - 1, max(c_custkey)) - least(0, min(c_custkey)) + 1 - count(distinct c_custkey) as failures from customer
+    union all
+    select 'lineitem', 'dense_ids', 'l_orderkey',
+           greatest(count(*) - 1, max(l_orderkey)) - least(0, min(l_orderkey)) + 1 - count(distinct l_orderkey) from lineitem
+    union all
+    select 'lineitem', 'primary_key', 'l_orderkey', count(*) - count(distinct l_orderkey) from lineitem
+    union all
+    select 'customer', 'mean_weighs_parts', '', 0
+    """
+)
+def dq_dense_ids(spark, folder):
+    """Ids as bits in maps; and a mean of three parts, weighed by how many values each has."""
+    customer, lines = table(spark, folder, "customer"), table(spark, folder, "lineitem")
+    third = F.col("c_custkey") % 3
+    counts = customer.groupBy(third.alias("part")).count()
+    weights = {f"part_{r['part']}": r["count"] for r in counts.collect()}
+    parts = [F.avg(F.when(third == i, F.col("c_acctbal"))).alias(f"part_{i}") for i in range(3)]
+    means = customer.agg(F.avg("c_acctbal").alias("mean"), *parts)
+    return quality.all_checks(
+        quality.check_dense(customer, "customer", "c_custkey"),
+        quality.check_dense(lines, "lineitem", "l_orderkey"),
+        quality.check_unique_ids(lines, "lineitem", "l_orderkey"),
+        quality.check_rows(means, "customer", extra=quality.weighted_mean_off("mean", weights)),
+    )
+
+
 @query(
     """
     select 'orders' as table_name, 'foreign_key' as rule, 'custkey' as column_name,
