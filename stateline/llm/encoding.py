@@ -12,7 +12,7 @@ import base64
 import functools
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
@@ -70,24 +70,46 @@ def parts(text: str, most: int = PART_BYTES) -> list[str]:
     return found
 
 
-def _ids_by_library(texts: list[str], name: str) -> Iterator[list[int]]:
-    tokens = tokenizer(name)
-    batch, size = [], 0
-    for i, text in enumerate(texts):
-        batch.append(text)
-        size += len(text)
-        if size >= BATCH_BYTES or i == len(texts) - 1:
-            yield from (e.ids for e in tokens.encode_batch_fast(batch, add_special_tokens=False))
-            batch, size = [], 0
+def _together(pieces: list[str], plain: list[bool], name: str, ranks: str | None) -> list[np.ndarray]:
+    """The ids of a batch of pieces: one call of each library, for those it takes."""
+    found: list[np.ndarray] = [np.empty(0, np.uint32)] * len(pieces)
+
+    def encode(mine: bool, batch_ids: Callable[[list[str]], Iterable[list[int]]]) -> None:
+        at = [i for i, is_plain in enumerate(plain) if is_plain == mine]
+        if at:
+            for i, ids in zip(at, batch_ids([pieces[i] for i in at]), strict=True):
+                found[i] = np.array(ids, np.uint32)
+
+    encode(True, lambda texts: _ranked(ranks).encode_ordinary_batch(texts, num_threads=1))
+    encode(False, lambda texts: (e.ids for e in tokenizer(name).encode_batch_fast(texts, add_special_tokens=False)))
+    return found
 
 
 def ids_of(texts: list[str], name: str = TOKENIZER, ranks: str | None = RANKS) -> Iterator[np.ndarray]:
-    """For each text its token ids, in batches of bounded size; long texts are encoded in parts."""
+    """For each text its token ids. Texts are encoded together, in batches of about ``BATCH_BYTES``
+    characters; long ones are cut into parts at safe boundaries, which batches take like other texts."""
     special = _special(name)
-    for text in texts:
-        pieces = parts(text) if len(text) > PART_BYTES else [text]
-        if ranks and _PLAIN.fullmatch(text) and not special.search(text):
-            ids = [_ranked(ranks).encode_ordinary(p) for p in pieces]
-        else:
-            ids = list(_ids_by_library(pieces, name))
-        yield np.array(ids[0] if len(ids) == 1 else [i for p in ids for i in p], np.uint32)
+
+    def batches() -> Iterator[list[tuple[int, str, bool]]]:
+        batch, size = [], 0
+        for i, text in enumerate(texts):
+            plain = bool(ranks and _PLAIN.fullmatch(text) and not special.search(text))
+            for piece in parts(text) if len(text) > PART_BYTES else [text]:
+                batch.append((i, piece, plain))
+                size += len(piece)
+                if size >= BATCH_BYTES:
+                    yield batch
+                    batch, size = [], 0
+        if batch:
+            yield batch
+
+    current, held = 0, []
+    for batch in batches():
+        owners, pieces, plain = map(list, zip(*batch, strict=True))
+        for owner, ids in zip(owners, _together(pieces, plain, name, ranks), strict=True):
+            if owner != current:
+                yield held[0] if len(held) == 1 else np.concatenate(held)
+                current, held = owner, []
+            held.append(ids)
+    if held:
+        yield held[0] if len(held) == 1 else np.concatenate(held)
