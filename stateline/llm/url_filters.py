@@ -17,8 +17,6 @@ FORMS_PER_BLOCK = 5
 #: At most 8 MiB of filter are broadcast. A longer list fills it more; the join still removes every
 #: false hit, there are only more of them.
 MOST_BLOCKS = 1 << 20
-#: Paths of rules have few lengths; this bounds the forms of a url, longer lists of lengths are refused.
-MOST_LENGTHS = 4096
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -74,11 +72,12 @@ def _mask(form: Column) -> Column:
 
 
 def bloom_filter(forms_of_rules: DataFrame, blocks: int) -> DataFrame:
-    """One row with ``words``: a map from block to its 64 bits, of the blocks that are not empty."""
+    """One row with ``words``: the 64 bits of each block, in order."""
     words = forms_of_rules.groupBy(_block(F.xxhash64("form"), blocks).alias("block")).agg(F.bit_or(_mask(F.col("form"))).alias("word"))
-    # At most ``blocks`` entries, so the group of all of them is bounded.
-    dense = words.agg(F.map_from_entries(F.collect_list(F.struct("block", "word"))).alias("words"))
-    return dense.select(F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda i: F.coalesce(F.element_at("words", i), F.lit(0).cast("bigint"))).alias("words"))
+    every = forms_of_rules.sparkSession.range(blocks).select(F.col("id").cast("int").alias("block"))
+    # ``blocks`` entries, so the group of all of them is bounded.
+    filled = every.join(words, "block", "left").select("block", F.coalesce("word", F.lit(0).cast("bigint")).alias("word"))
+    return filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("block", "word"))), lambda b: b["word"]).alias("words"))
 
 
 def url_filters(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "url", otherwise: str = "allow") -> DataFrame:
@@ -94,12 +93,10 @@ def url_filters(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: st
     frequent url spreads evenly. The exact join drops the false hits.
     """
     listed = split_rules(rules)
-    lengths = listed.select(F.length("rule_path").alias("n")).distinct()
-    facts = listed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.length("rule_path")).alias("lengths")).first()
-    if facts["lengths"] > MOST_LENGTHS:
-        raise ValueError(f"the rules' paths have more than {MOST_LENGTHS} lengths")
-    blocks = min(MOST_BLOCKS, 1 << max(0, (facts["n"] // FORMS_PER_BLOCK).bit_length()))
-    some = F.lit(sorted(r["n"] for r in lengths.collect())) if facts["n"] else F.array().cast("array<int>")
+    n = listed.count()
+    blocks = min(MOST_BLOCKS, 1 << max(0, (n // FORMS_PER_BLOCK).bit_length()))
+    # As many lengths as the longest rule has characters at most.
+    lengths = listed.agg(F.array_sort(F.collect_set(F.length("rule_path"))).alias("lengths")).scalar()
 
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(id).alias("id"), host.alias("host"), path.alias("path"))
@@ -109,7 +106,8 @@ def url_filters(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: st
         mask = _mask(form)
         return F.get("words", _block(F.xxhash64(form), blocks)).bitwiseAND(mask) == mask
 
-    rows = rows.withColumn("words", words).withColumn("hits", F.filter(forms(F.col("host"), F.col("path"), some), possible)).drop("words")
+    rows = rows.withColumn("words", words).withColumn("lengths", lengths)
+    rows = rows.withColumn("hits", F.filter(forms(F.col("host"), F.col("path"), F.col("lengths")), possible)).drop("words", "lengths")
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     none = rows.where(F.size("hits") == 0).select("id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(otherwise).alias("verdict"))
     hits = rows.where(F.size("hits") > 0).select("id", "host", "path", "row", F.explode("hits").alias("form"))
