@@ -15,18 +15,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stateline.llm.words import ALNUM_LOWER, Words, blocks, grams
+from stateline.llm.words import ALNUM_LOWER, Words, blocks, grams, mix
 
 WINDOW = 13
 #: Suffixes are put into the array if they begin with this many words of a test suffix.
 GATE = 3
+#: Pairs of a place and an item that are looked at together; one item's places at least.
+PAIRS = 1 << 20
 #: Test items go to the tasks in blocks of about this many bytes of text; each block is one more pass
 #: over the texts inside the same task.
 TEST_BYTES = 8 << 20
 
 
 class TestSuffixes:
-    """A block of test items: word hashes, and the suffixes long enough to count."""
+    """A block of test items: word hashes, the suffixes long enough to count, and their distinct windows."""
 
     def __init__(self, items: pa.Array, texts: pa.Array, window: int):
         words = Words(texts, ALNUM_LOWER)
@@ -38,8 +40,19 @@ class TestSuffixes:
         good = place <= sizes[item] - needs[item]
         self.at = np.flatnonzero(good)  # where a suffix begins in ``hashes``
         self.item, self.place, self.need = item[good], place[good], needs[item][good]
+        # Equal windows are searched for once; an item's first place stands for all it has of one.
+        whole = np.zeros(len(self.at), np.uint64)
+        for n in np.unique(self.need).tolist():
+            mine = self.need == n
+            whole[mine] = mix(grams(self.hashes, n)[self.at[mine]] + np.uint64(n))
+        _, self.distinct, of = np.unique(whole, return_index=True, return_inverse=True)
+        order = np.lexsort((self.place, self.item, of))
+        first = np.ones(len(order), bool)
+        first[1:] = (np.diff(of[order]) != 0) | (np.diff(self.item[order]) != 0)
+        self.occurrence = order[first]
+        self.occurs = np.searchsorted(of[self.occurrence], np.arange(len(self.distinct) + 1))
         self.gate = int(min(GATE, needs[needs > 0].min())) if len(self.at) else 0
-        self.heads = grams(self.hashes, self.gate)[self.at] if self.gate else np.empty(0, np.uint64)
+        self.heads = (grams(self.hashes, self.gate)[self.at] if self.gate else np.empty(0, np.uint64))[self.distinct]
         self.known = np.unique(self.heads)
         # A bit for each value of a head's low bits: most places of a text are passed over by one look.
         self.bits = np.zeros(1 << 20, bool)
@@ -61,7 +74,10 @@ def _bound(column, low, high, keys, right: bool):
 
 
 def shard_matches(words: Words, tests: TestSuffixes, window: int):
-    """The maximal matches in a shard: arrays of text, item, item_start, start and length."""
+    """The matches in a shard: arrays of text (ascending), item, item_start, start and length.
+
+    Each place of a text is matched with an item once, at the first of the item's places that have its window.
+    """
     empty = [np.empty(0, np.int64)] * 5
     heads = grams(words.hashes, tests.gate) if tests.gate else np.empty(0, np.uint64)
     maybe = np.flatnonzero(tests.bits[(heads & np.uint64((1 << 20) - 1)).astype(np.int64)])
@@ -78,29 +94,50 @@ def shard_matches(words: Words, tests: TestSuffixes, window: int):
     columns = [np.where(at + j < end, words.hashes[np.minimum(at + j, len(words) - 1)], 0).astype(np.uint64) for j in range(window)]
     order = np.lexsort(columns[::-1])
 
-    # Test suffixes whose head the shard has; bisection narrows their ranges word by word.
+    # Windows of test suffixes whose head the shard has; bisection narrows their ranges word by word.
     chosen = np.flatnonzero(np.isin(tests.heads, heads[at]))
+    suffix = tests.distinct[chosen]
     low, high = np.zeros(len(chosen), np.int64), np.full(len(chosen), len(order))
     for j in range(window):
-        deeper = np.flatnonzero((tests.need[chosen] > j) & (low < high))
+        deeper = np.flatnonzero((tests.need[suffix] > j) & (low < high))
         if not len(deeper):
             break
-        column, keys = columns[j][order], tests.hashes[tests.at[chosen[deeper]] + j]
+        column, keys = columns[j][order], tests.hashes[tests.at[suffix[deeper]] + j]
         first = _bound(column, low[deeper], high[deeper], keys, right=False)
         high[deeper] = _bound(column, first, high[deeper], keys, right=True)
         low[deeper] = first
 
+    # Places of texts for each item that has a found window, so many at once: an item has one place for each.
     sizes = np.maximum(high - low, 0)
-    test = np.repeat(chosen, sizes)
+    chosen, low, sizes = chosen[sizes > 0], low[sizes > 0], sizes[sizes > 0]
+    times = tests.occurs[chosen + 1] - tests.occurs[chosen]
+    of = np.repeat(np.arange(len(chosen)), times)
+    occurrence = tests.occurrence[np.repeat(tests.occurs[chosen] - np.cumsum(times) + times, times) + np.arange(times.sum())]
+    by_item = np.argsort(tests.item[occurrence], kind="stable")
+    of, occurrence = of[by_item], occurrence[by_item]
+    starts = at - words.first[text]
+    ends = np.flatnonzero(np.append(np.diff(tests.item[occurrence]) != 0, len(of) > 0)) + 1
+    total, parts, begin = np.cumsum(sizes[of]), [empty], 0
+    while begin < len(of):
+        fits = ends[(ends > begin) & (total[ends - 1] - (total[begin - 1] if begin else 0) <= PAIRS)]
+        end = int(fits[-1]) if len(fits) else int(ends[ends > begin][0])
+        here = slice(begin, end)
+        parts.append(_merged(occurrence[here], low[of[here]], sizes[of[here]], order, text, starts, tests))
+        begin = end
+    found = [np.concatenate(p) for p in zip(*parts, strict=True)]
+    by_text = np.argsort(found[0], kind="stable")
+    return [p[by_text] for p in found]
+
+
+def _merged(occurrence, low, sizes, order, text, starts, tests: TestSuffixes):
+    """Matches from windows of items and their ranges of the suffix array: neighbours on a diagonal are one."""
+    test = np.repeat(occurrence, sizes)
     within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     found = order[np.repeat(low, sizes) + within]
-    # Neighbours on a diagonal of a text and an item belong to one match.
-    start, text = at[found] - words.first[text[found]], text[found]
+    start, text = starts[found], text[found]
     item, place, need = tests.item[test], tests.place[test], tests.need[test]
     sort = np.lexsort((start, start - place, item, text))
     text, item, place, start, need = text[sort], item[sort], place[sort], start[sort], need[sort]
-    if not len(text):
-        return empty
     new = np.ones(len(text), bool)
     new[1:] = (np.diff(text) != 0) | (np.diff(item) != 0) | (np.diff(start - place) != 0) | (np.diff(start) != 1)
     begins = np.flatnonzero(new)
@@ -132,8 +169,10 @@ def with_matches(
     """All rows and columns of ``docs`` with ``n_words`` and ``matches`` added (replacing such columns).
 
     Words are runs of ASCII letters, digits and characters beyond ASCII, A-Z lower-cased. ``matches``
-    has the maximal verbatim matches of ``window`` words or more with an item, and of whole items of
-    fewer words: structs of item, item_start, start and length, in words. A null or empty text has no
+    has the verbatim matches of ``window`` words or more with an item, and of whole items of fewer words:
+    structs of item, item_start, start and length, in words. They are as long as they can be; where a
+    window stands more than once in an item, its first place counts, and a match may end there and go on as
+    another. Every word inside a window of an item is in a match with it. A null or empty text has no
     words and no matches; items with null or empty text have none either; repeated items count once;
     an empty benchmark matches nothing. Rows are never moved: no shuffle, repeated rows stay.
     """
