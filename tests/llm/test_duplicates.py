@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,3 +221,28 @@ def test_nothing_to_decontaminate(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert [tuple(r) for r in decontaminate(docs, items).collect()] == [(1, "a")]
     assert decontaminate(docs.limit(0), items).collect() == []
+
+
+def test_a_text_of_equal_words_fits_a_task():
+    """100,000 equal words against items that repeat themselves: one match for each place and item, not for each pair of places."""
+    import tracemalloc
+
+    from stateline.llm.decontamination import TestSuffixes, shard_matches
+    from stateline.llm.words import ALNUM_LOWER, Words
+
+    texts = pa.array(["same " * 100_000, "other " * 13, "x same same"])
+    items = pa.array(["same " * 1000] * 30 + ["other " * 20, "same"])
+    tests = TestSuffixes(pa.array(range(len(items))), items, 13)
+    words = Words(texts, ALNUM_LOWER)
+    tracemalloc.start()
+    text, item, _, start, length = shard_matches(words, tests, 13)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+    assert sorted(set(item[text == 0].tolist())) == [*range(30), 31]
+    assert set(item[text == 1].tolist()) == {30} and set(item[text == 2].tolist()) == {31}
+    covered = np.zeros(100_000, bool)
+    for s, n in zip(start[(text == 0) & (item == 7)], length[(text == 0) & (item == 7)], strict=True):
+        covered[s : s + n] = True
+    assert covered.all()
+    assert (np.diff(text) >= 0).all()
