@@ -1,5 +1,5 @@
 """``spark-submit``-able steps: ``python -m stateline run|stage|build|check ROOT [PREFIX]``,
-``report NAME [PREFIX] [--gap …]``, ``county ROOT`` and ``ingest LANDING LOG PROGRESS``."""
+``report NAME [PREFIX] [--gap …]``, ``county ROOT`` ``ingest LANDING LOG PROGRESS`` and ``profile LOG SKETCHES``."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from stateline.plans.institutions import COLLEGE, PRIVATE, PUBLIC
 from stateline.plans.model import Run, run_all
 from stateline.sources.readers import read_raw
 from stateline.streaming.incremental import ingest_daily_cases
+from stateline.streaming.profiles import profile_cases
 
 
 #: Steps of the staff and of the temperature report.
@@ -59,6 +60,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     ingest = steps.add_parser("ingest")
     for name in ("landing", "log", "progress"):
         ingest.add_argument(name)
+    profile = steps.add_parser("profile")
+    for name in ("log", "sketches"):
+        profile.add_argument(name)
     return parser.parse_args(argv)
 
 
@@ -68,6 +72,9 @@ def main(argv: list[str] | None = None) -> None:
     if given.step == "ingest":
         ingest_daily_cases(spark, given.landing, given.log, given.progress)
         return
+    if given.step == "profile":
+        profile_cases(spark, given.log, given.sketches).show(truncate=False)
+        return
     if given.step == "county":
         county_profile(read_raw(spark, given.root, "county_cases")).show(truncate=False)
         return

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stateline.operators import profile, quality
+from stateline.operators import period_profile, profile, quality
 from stateline.queries.registry import query, sql_mean, table
+from stateline.session import scratch_path
 
 
 def _profile_sql(table_name: str, names: list[str]) -> str:
@@ -31,6 +32,17 @@ def numeric_profile(spark, folder):
     return _rounded(profile.numeric_profile(lines, ["l_quantity", "l_extendedprice", "l_discount"], scale=2))
 
 
+@query(_profile_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount"]))
+def profile_of_months(spark, folder):
+    """The same from sketches of months, in two loads: the second sketches only the months that are new."""
+    names = ["l_quantity", "l_extendedprice", "l_discount"]
+    lines = table(spark, folder, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    path = scratch_path(spark, "sketches")
+    for months in (F.col("month") < "1996-01", F.col("month") >= "1996-01"):
+        period_profile.sketched(lines.where(months), ["month"], names, scale=2).write.mode("append").parquet(path)
+    return _rounded(period_profile.profile_of_periods(spark.read.parquet(path), lines, names).drop("distinct"))
+
+
 @query(
     """
     select cast(ts as date) as day, count(*) as n, count(value) as n_values, min(value) as low,

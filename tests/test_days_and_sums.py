@@ -7,7 +7,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from stateline.operators import aggregate, ids, quality, sums
+from stateline.operators import aggregate, ids, period_profile, profile, quality, sums
 from stateline.operators.calendar import on_calendar
 from stateline.plans import reports
 
@@ -138,3 +138,20 @@ def test_mean_weighs_parts(spark):
     df = spark.createDataFrame([(whole, *parts), (whole + 0.01, *parts), (None, *parts), (whole, None, *parts[1:])], "m double, a double, b double, c double, d double")
     report = quality.check_rows(df, "t", extra=rule).first()
     assert (report["rule"], report["failures"]) == ("m_weighs_parts", 1)
+
+
+def test_profile_of_odd_columns(spark, rows):
+    """Nulls alone, copies of one value, infinities and NaN; periods without values; distinct values nearly counted."""
+    inf = float("inf")
+    data = [("m1", None, 5.0, 1.0 * i, i % 7) for i in range(40)] + [("m2", None, 5.0, -inf, 3), ("m3", None, None, inf, None)]
+    df = spark.createDataFrame(data, "month string, none double, same double, x double, n int").repartition(3)
+    names = ["none", "same", "x", "n"]
+    found = period_profile.profile_of_periods(period_profile.sketched(df, ["month"], names), df, names)
+    expected = {r["column_name"]: r for r in profile.numeric_profile(df, names).collect()}
+    for r in found.collect():
+        theirs = expected[r["column_name"]]
+        for c in ("count", "min", "q25", "q50", "q75", "max"):
+            assert r[c] == theirs[c], (r["column_name"], c)
+    counted = {r["column_name"]: r["distinct"] for r in found.collect()}
+    assert counted == {"none": 0, "same": 1, "x": 42, "n": 7}
+    assert rows(period_profile.profile_of_periods(period_profile.sketched(df.limit(0), ["month"], ["x"]), df.limit(0), ["x"])) == []

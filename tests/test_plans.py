@@ -13,7 +13,9 @@ from stateline.__main__ import main as command
 from stateline.operators.quality import QualityError
 from stateline.plans import cases, demographics, institutions, model, reports, temperatures
 from stateline.sources.manifest import CITIES, COLLEGES, DAILY_CASES, POPULATION, RAW, SCHOOLS, STATE_TEMPERATURES, TABLES
-from stateline.streaming import incremental
+from stateline.operators import period_profile
+from stateline.operators.profile import numeric_profile
+from stateline.streaming import incremental, profiles
 
 SCHOOL_COLUMNS = "NAME string, CITY string, STATE string, COUNTY string, COUNTRY string, ENROLLMENT double, FT_TEACHER double"
 RACE = {v: k for k, v in demographics.RACES.items()}
@@ -470,6 +472,45 @@ def test_ids_grow_without_a_shuffle(spark, tmp_path, rows, monkeypatch):
     assert len(list((tmp_path / "log" / "version=0").glob("month=*/*.parquet"))) <= 2 + 4
 
 
+def test_profile_of_months(spark, tmp_path, rows, monkeypatch):
+    """Only changed months are sketched again, and the profile is that of all rows."""
+    landing, log, progress, store = (str(tmp_path / n) for n in ("landing", "log", "progress", "sketches"))
+    (tmp_path / "landing").mkdir()
+    header = ",".join(DAILY_CASES.names)
+
+    def land(name, *days):
+        lines = [f"{d},{s},{(d * 7919 + i) % 997},{i},,{d % 5}" for d in days for i, s in enumerate(("WA", "AL", "OH", "TX"))]
+        (tmp_path / "landing" / name).write_text("\n".join([header, *lines]) + "\n")
+        incremental.ingest_daily_cases(spark, landing, log, progress)
+
+    def expected():
+        current = incremental.current_cases(spark, log)
+        found = numeric_profile(current, profiles.MEASURES).collect()
+        return sorted([tuple(r) for r in found])
+
+    def close(found):
+        got = sorted(tuple(r)[:-1] for r in found.collect())
+        assert [r[:2] for r in got] == [r[:2] for r in expected()]
+        for mine, theirs in zip(got, expected(), strict=True):
+            assert mine[2:] == pytest.approx(theirs[2:], rel=1e-12)
+
+    land("a.csv", *range(20200301, 20200331), *range(20200401, 20200425))
+    assert profiles.refresh_sketches(spark, log, store) == ["2020-03", "2020-04"]
+    close(profiles.profile_cases(spark, log, store))
+    land("b.csv", *range(20200420, 20200430), *range(20200501, 20200505))
+    assert profiles.refresh_sketches(spark, log, store) == ["2020-04", "2020-05"]
+    assert profiles.refresh_sketches(spark, log, store) == []
+    assert profiles.kept_sketches(spark, store).keys() == {"2020-03", "2020-04", "2020-05"}
+    close(profiles.profile_cases(spark, log, store))
+    # The sketches only enclose: if they are wrong, or too wide to rank at once, the result is the same.
+    monkeypatch.setattr(period_profile, "SLACK", 0.0)
+    close(profiles.profile_cases(spark, log, store))
+    monkeypatch.setattr(period_profile, "KEPT_VALUES", -1)
+    close(profiles.profile_cases(spark, log, store))
+    with pytest.raises(ValueError, match="nothing was ingested"):
+        profiles.profile_cases(spark, str(tmp_path / "nowhere"), store)
+
+
 def test_batch_that_dies_before_its_index(spark, tmp_path, rows, monkeypatch):
     """Readers see the batch before; the batch runs again and is counted once."""
     landing, log, progress = (str(tmp_path / n) for n in ("landing", "log", "progress"))
