@@ -41,7 +41,7 @@ def sketched(df: DataFrame, period: Sequence[str], names: Sequence[str], scale:
             F.min(number).alias(f"min_{n}"),
             F.max(number).alias(f"max_{n}"),
             F.kll_sketch_agg_double(known, ACCURACY).alias(f"ranks_{n}"),
-            F.hll_sketch_agg(number).alias(f"distinct_{n}"),
+            F.hll_sketch_agg(F.when(number.isNotNull(), F.xxhash64(number))).alias(f"distinct_{n}"),
         ]
     grouped = df.groupBy(*period).agg(*cells)
     parts = ("count", "total", "mean", "off", "min", "max", "ranks", "distinct")
