@@ -107,6 +107,17 @@ def csv_by_name(spark, folder):
     return readers.read_csv(spark, path, LINE_SCHEMA)
 
 
+@query("select doc_id, text, lang, n_chars from documents")
+def csv_with_breaks(spark, folder):
+    """Texts with line breaks, quotes and separators, written as CSV and read by as many tasks as the file has parts."""
+    path = scratch_path(spark, "breaks")
+    schema = T.StructType(
+        [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("n_chars", T.LongType())]
+    )
+    sinks.write_csv(table(spark, folder, "documents"), path, schema)
+    return readers.read_csv(spark, path, schema, quoted_breaks=True)
+
+
 @query(LINES_SQL)
 def staged_json(spark, folder):
     path = scratch_path(spark, "json")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from stateline.functions.scalars import blank_to_null, body_of, cell_named, cut, header_of
 from stateline.sources.manifest import RAW
+from stateline.sources.splitting import parsed, records
 
 # Cells that mean "no value" in the raw files.
 NULL_TEXTS = (
@@ -72,6 +73,7 @@ def read_csv(
     schema: T.StructType,
     lenient: bool = False,
     multi_line: bool = False,
+    quoted_breaks: bool = False,
 ) -> DataFrame:
     """CSV with a header, columns found by name.
 
@@ -79,20 +81,24 @@ def read_csv(
     ``lenient`` such values are null and ``_bad_columns`` names their columns, ``_surplus`` standing
     for the cells beyond the header, so that they can be counted. Shorter lines are padded with null.
     Files whose headers differ are refused. Quoted line breaks need ``multi_line``, which gives up
-    splitting the file.
+    splitting the file, or ``quoted_breaks``, which reads the lines twice and keeps splitting it; then the
+    files must have one header, which is not checked.
     """
     header = csv_header(spark, path, schema)
     reader = spark.read.schema(T.StructType([*header.fields, LINE])).options(
         enforceSchema=False, multiLine=multi_line, **CSV_OPTIONS
     )
-    lines = reader.csv(path)
+    if quoted_breaks:
+        lines = parsed(records(spark, path), T.StructType([*header.fields, LINE]), CSV_OPTIONS)
+    else:
+        lines = reader.csv(path)
     if not lenient:
         return typed(refusing_long(lines, header), schema)
-    parsed = {f.name: cell(f.name).try_cast(f.dataType) for f in schema.fields}
-    bad = [F.when(cell(n).isNotNull() & parsed[n].isNull(), F.lit(n)) for n in schema.names]
+    values = {f.name: cell(f.name).try_cast(f.dataType) for f in schema.fields}
+    bad = [F.when(cell(n).isNotNull() & values[n].isNull(), F.lit(n)) for n in schema.names]
     bad.append(F.when(too_long(len(header)), F.lit(SURPLUS)))
     return lines.select(
-        *[value.alias(name) for name, value in parsed.items()],
+        *[value.alias(name) for name, value in values.items()],
         F.array_compact(F.array(*bad)).alias(BAD_COLUMNS),
     )
 
