@@ -599,15 +599,8 @@ def write_raw_files(spark, folder, root):
     put(daily_cases(spark, folder), "daily_cases", "csv", header=True)
 
 
-@query(
-    f"""
-    select 'covid' as table_name, count(*) as rows, {sql_total('positive')} as total from ({TIDY_CASES_SQL})
-    union all select 'education', count(*), round(sum(n_students), 2) from ({EDUCATION_SQL})
-    union all select 'state', count(*), {sql_total('total_population')} from ({_state_sql("supplier", "s_nationkey")})
-    """
-)
-def full_run(spark, folder):
-    """Raw files → staging → model → checks → published tables, as a nightly run does it."""
+def _after_full_run(spark, folder, read):
+    """What ``read`` makes of the published tables, written before they are dropped."""
     root, result = scratch_path(spark, "raw"), scratch_path(spark, "published")
     prefix = f"stateline_{root.rsplit('-', 1)[1]}_"
     write_raw_files(spark, folder, root)
@@ -624,14 +617,56 @@ def full_run(spark, folder):
                 "staging_temperature": nations | {"since": SINCE},
             },
         )
-        measured = {"covid": "positive", "education": "n_students", "state": "total_population"}
-        parts = [
-            spark.table(prefix + name).agg(
-                F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), total(F.col(column), None).alias("total")
-            )
-            for name, column in measured.items()
-        ]
-        union_all(*[p.withColumn("total", F.round(F.col("total").cast("double"), 2)) for p in parts]).write.parquet(result)
+        read(lambda name: spark.table(prefix + name)).write.parquet(result)
     finally:
         Snapshots(spark, prefix).drop()
     return spark.read.parquet(result)
+
+
+@query(
+    f"""
+    select 'covid' as table_name, count(*) as rows, {sql_total('positive')} as total from ({TIDY_CASES_SQL})
+    union all select 'education', count(*), round(sum(n_students), 2) from ({EDUCATION_SQL})
+    union all select 'state', count(*), {sql_total('total_population')} from ({_state_sql("supplier", "s_nationkey")})
+    """
+)
+def full_run(spark, folder):
+    """Raw files → staging → model → checks → published tables, as a nightly run does it."""
+    measured = {"covid": "positive", "education": "n_students", "state": "total_population"}
+
+    def totals(published):
+        parts = [
+            published(name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), total(F.col(column), None).alias("total"))
+            for name, column in measured.items()
+        ]
+        return union_all(*[p.withColumn("total", F.round(F.col("total").cast("double"), 2)) for p in parts])
+
+    return _after_full_run(spark, folder, totals)
+
+
+@query(
+    f"""
+    select 'covid' as table_name, id_covid_data as id, id_state, cast(day_date as varchar) as name, positive as amount
+    from (select {NUMBERED}, * from ({TIDY_CASES_SQL}))
+    union all
+    select 'education', id_institution, id_state, institution_name, round(n_students, 6) from ({EDUCATION_SQL})
+    union all
+    select 'state', id_state, id_state, name_state, cast(total_population as double) from ({_state_sql("supplier", "s_nationkey")})
+    """
+)
+def full_run_rows(spark, folder):
+    """The same run by its rows: every published row with its id, its state and an amount."""
+    rows = {
+        "covid": ("id_covid_data", F.col("day_date").cast("string"), F.col("positive")),
+        "education": ("id_institution", F.col("institution_name"), F.round("n_students", 6)),
+        "state": ("id_state", F.col("name_state"), F.col("total_population").cast("double")),
+    }
+
+    def listed(published):
+        parts = [
+            published(name).select(F.lit(name).alias("table_name"), F.col(id).alias("id"), "id_state", text.alias("name"), amount.alias("amount"))
+            for name, (id, text, amount) in rows.items()
+        ]
+        return union_all(*parts)
+
+    return _after_full_run(spark, folder, listed)
