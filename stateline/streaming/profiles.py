@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stateline.operators.period_profile import profile_of_periods, sketched
 from stateline.session import delete, names_in
