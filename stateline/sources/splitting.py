@@ -9,7 +9,7 @@ only the lines of records that go over several are put together. Spark parses th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -30,6 +30,12 @@ def _text_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _joined(order: str) -> Column:
+    """The texts of a group, one below the other."""
+    texts = F.array_sort(F.collect_list(F.struct(order, TEXT)))
+    return F.array_join(F.transform(texts, lambda x: x[TEXT]), "\n").alias(TEXT)
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
     """The records of CSV files without their headers: one row with ``_text`` for each, quoted line ends inside.
 
@@ -43,7 +49,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     open_ = F.raise_error(F.concat(F.lit("a quote is not closed in "), F.col(FILE))).cast("boolean")
     parts = parts.where(F.when(F.col("_all") % 2 == 1, open_).otherwise(F.lit(True))).drop("_all")
 
-    rows = lines.join(parts, [FILE, PART])
+    # One row for each part: sent to all tasks, so that the lines stay where they are.
+    rows = lines.join(F.broadcast(parts), [FILE, PART])
     # The first part holds the header, so its lines are put in order, too.
     plain = (F.col("_n") == 0) & (F.col("_before") % 2 == 0) & (F.col(PART) > 0)
     alone = rows.where(plain).select(TEXT)
@@ -55,10 +62,14 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     # A record begins where the quotes so far are even; with an odd line it goes on to the next odd one.
     inside = F.col("_odd") | (F.col("_toggles") % 2 == 1)
     single = others.where(~inside).select(TEXT)
-    pieces = others.where(inside).groupBy(FILE, F.floor(F.col("_toggles") / 2).alias("_record"))
-    joined = pieces.agg(F.array_sort(F.collect_list(F.struct(PART, "_at", TEXT))).alias("_lines"))
-    whole = joined.select(F.array_join(F.transform("_lines", lambda x: x[TEXT]), "\n").alias(TEXT))
-    found = alone.unionByName(single).unionByName(whole).select(F.regexp_replace(TEXT, r"\r\z", "").alias(TEXT))
+    # Lines are put together where they have been put in order; only records over several parts move once more.
+    pieces = others.where(inside).groupBy(FILE, PART, F.floor(F.col("_toggles") / 2).alias("_record"))
+    pieces = pieces.agg(_joined("_at"), F.count_if("_odd").alias("_ends"))
+    within = pieces.where(F.col("_ends") == 2).select(TEXT)
+    across = pieces.where(F.col("_ends") < 2).groupBy(FILE, "_record").agg(_joined(PART)).select(TEXT)
+    found = alone.unionByName(single).unionByName(within).unionByName(across)
+    # Generated rows: else Spark moves filters on the cells, and their errors, before the join, to lines inside cells.
+    found = found.select(F.explode(F.array(F.regexp_replace(TEXT, r"\r\z", ""))).alias(TEXT))
     return found.where(F.trim(TEXT) != "")
 
 

@@ -143,6 +143,19 @@ def test_quoted_breaks_in_a_file_that_is_split(spark, tmp_path, rows, small_part
     assert rows(readers.read_csv(spark, path, LINES, quoted_breaks=True, lenient=True), "a", readers.BAD_COLUMNS) == [(r[0], []) for r in got]
 
 
+def test_lines_inside_cells_are_not_looked_at_as_records(spark, tmp_path, rows, small_parts):
+    """Lines of a text with more separators than columns, in parts without a quote; a filter on a cell that they cannot be."""
+    text = "\n".join(f"p, q, r, s, t, line {i}" for i in range(60))
+    plain = "".join(f"{i},plain,1.5,2020-01-01\n" for i in range(10, 40))
+    path = put(tmp_path / "x.csv", f'a,b,c,d\n1,"{text}",1.5,2020-01-01\n{plain}2,"{text}\n",,\n')
+    found = readers.read_csv(spark, path, LINES, quoted_breaks=True)
+    expected = [(1, text), *[(i, "plain") for i in range(10, 40)], (2, f"{text}\n")]
+    assert rows(found, "a", "b") == sorted(expected)
+    assert rows(found.where("a between 2 and 10"), "a", "b") == [(2, f"{text}\n"), (10, "plain")]
+    lenient = readers.read_csv(spark, path, LINES, quoted_breaks=True, lenient=True)
+    assert rows(lenient.where(F.size(readers.BAD_COLUMNS) > 0)) == []
+
+
 def test_quoted_breaks_of_odd_files(spark, tmp_path, rows):
     put(tmp_path / "long" / "x.csv", 'a,b,c,d\n1,"x\ny",1,2020-01-01,"more\nlost"\n')
     with pytest.raises(PySparkException, match="more than 4 cells"):
