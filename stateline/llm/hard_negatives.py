@@ -104,7 +104,7 @@ class Rows:
         bound = partial + rest[:, indexed] * left[np.arange(len(order)), indexed][None, :] + room
 
         top = np.minimum(bound.max(1), high.max(1))
-        lowest = np.where(np.isfinite(asked), asked, top)
+        lowest = np.where(asked < np.inf, asked, top)
         done = ~(bound >= asked[:, None]).any(1)
         full = low > high
         seen = np.zeros(bound.shape, bool)
